@@ -23,15 +23,20 @@ def conform(
     unknown = set(values) - set(schema.names)
     if unknown:
         raise ValueError(f"not in the contract: {sorted(unknown)}")
-    present = set(df.columns)
+    present = dict(df.dtypes)
 
     def column(field: T.StructField) -> Column:
+        kind = field.dataType.simpleString()
         if field.name in values:
-            source = values[field.name]
+            source = values[field.name].cast(kind)
         elif field.name in present:
             source = F.col(field.name)
+            if present[field.name] != kind:
+                source = source.cast(kind)
         else:
-            source = F.lit(None)
-        return source.cast(field.dataType).alias(field.name, metadata=field.metadata)
+            source = F.expr(f"CAST(NULL AS {kind})")
+        if field.metadata:
+            return source.alias(field.name, metadata=field.metadata)
+        return source.alias(field.name)
 
     return df.select(*map(column, schema))

@@ -7,7 +7,7 @@ from typing import Literal
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.functions.ids import absent_or_valid_npi, valid_npi
+from claimloom.functions.ids import absent_or_valid, valid_npi
 
 Policy = Literal["null", "drop_row", "passthrough"]
 
@@ -20,8 +20,7 @@ def with_valid_id(df: DataFrame, source: str, target: str, policy: Policy) -> Da
     """
     if policy == "passthrough":
         return df.withColumn(target, F.col(source))
-    if policy == "drop_row":
-        df = df.where(absent_or_valid_npi(source))
-    elif policy != "null":
+    if policy not in ("null", "drop_row"):
         raise ValueError(f"unknown policy {policy!r}")
-    return df.withColumn(target, valid_npi(source))
+    checked = df.withColumn(target, valid_npi(source))
+    return checked.where(absent_or_valid(source, target)) if policy == "drop_row" else checked

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,9 +15,12 @@ def stage(df: DataFrame, schema: T.StructType) -> DataFrame:
     Metadata columns pass through with whatever type they arrive in. Columns outside the
     contract are not read.
     """
-    return df.select(
-        *(
-            F.col(f.name) if f.name in PASSTHROUGH else F.col(f.name).cast(f.dataType).alias(f.name)
-            for f in schema
-        )
-    )
+    present = dict(df.dtypes)
+
+    def column(field: T.StructField) -> Column:
+        kind = field.dataType.simpleString()
+        if field.name in PASSTHROUGH or present.get(field.name) == kind:
+            return F.col(field.name)
+        return F.col(field.name).cast(kind).alias(field.name)
+
+    return df.select(*map(column, schema))

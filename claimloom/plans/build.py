@@ -96,27 +96,31 @@ def staging_relations(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: stage(df, RAW_SCHEMAS[name]) for name, df in raw.items()}
 
 
-def intermediate_relations(
-    staged: dict[str, DataFrame],
+def intermediate_relation(
+    name: str,
+    raw: dict[str, DataFrame],
     profile: PayerProfile = DEFAULT_PROFILE,
     full_months_only: bool = False,
-) -> dict[str, DataFrame]:
-    """Normalized rows before the final filters, by output table. Lazy, nothing is stored."""
+) -> DataFrame:
+    """Normalized rows of an output before its final filter. Lazy, nothing is stored."""
+    staged = staging_relations({table: raw[table] for table in INPUTS[name]})
+    if name == "medical_claim":
+        return medical.intermediate_medical_claims(staged[MEDICAL_CLAIMS], profile)
+    if name == "pharmacy_claim":
+        return pharmacy.intermediate_pharmacy_claims(staged[PHARMACY_CLAIMS], profile)
     feeds = members.member_feeds(staged[HMO_MEMBER], staged[PPO_MEMBER])
-    return {
-        "eligibility": members.intermediate_member_eligibility(feeds, profile, full_months_only),
-        "provider_attribution": members.intermediate_provider_attribution(feeds, profile),
-        "medical_claim": medical.intermediate_medical_claims(staged[MEDICAL_CLAIMS], profile),
-        "pharmacy_claim": pharmacy.intermediate_pharmacy_claims(staged[PHARMACY_CLAIMS], profile),
-    }
+    if name == "eligibility":
+        return members.intermediate_member_eligibility(feeds, profile, full_months_only)
+    if name == "provider_attribution":
+        return members.intermediate_provider_attribution(feeds, profile)
+    raise ValueError(f"unknown output {name!r}")
 
 
-def final_relations(
-    raw: dict[str, DataFrame], profile: PayerProfile = DEFAULT_PROFILE
-) -> dict[str, DataFrame]:
-    """The four output tables as lazy frames."""
-    rows = intermediate_relations(staging_relations(raw), profile, full_months_only=True)
-    return {name: finalize(rows[name]) for name, finalize in FINALIZE.items()}
+def final_relation(
+    name: str, raw: dict[str, DataFrame], profile: PayerProfile = DEFAULT_PROFILE
+) -> DataFrame:
+    """One output table as a lazy frame."""
+    return FINALIZE[name](intermediate_relation(name, raw, profile, full_months_only=True))
 
 
 def named_relations(
@@ -125,7 +129,6 @@ def named_relations(
     """Staging and intermediate relations under the names SQL users know them by."""
     payer = profile.payer
     staged = staging_relations(raw)
-    rows = intermediate_relations(staged, profile)
     names = {
         "eligibility": "member_eligibility",
         "provider_attribution": "provider_attribution",
@@ -138,7 +141,10 @@ def named_relations(
         f"stg_{payer}_{PPO_MEMBER}": staged[PPO_MEMBER],
         f"stg_{payer}_medical_claims": staged[MEDICAL_CLAIMS],
         f"stg_{payer}_pharmacy_claims": staged[PHARMACY_CLAIMS],
-        **{f"int_{payer}_{names[name]}": df for name, df in rows.items()},
+        **{
+            f"int_{payer}_{short}": intermediate_relation(name, raw, profile)
+            for name, short in names.items()
+        },
     }
 
 
@@ -157,7 +163,6 @@ def build(
     independent jobs and run side by side.
     """
     staged = staging_relations(raw)
-    rows = intermediate_relations(staged, profile, full_months_only=True)
     report = BuildReport()
 
     def staging_check(name: str) -> list[Check]:
@@ -165,7 +170,8 @@ def build(
 
     def output(name: str) -> tuple[str, str, list[Check]]:
         seen = Observation(name)
-        observed = rows[name].observe(seen, *null_counts(INTERMEDIATE_NOT_NULL[name]))
+        rows = intermediate_relation(name, raw, profile, full_months_only=True)
+        observed = rows.observe(seen, *null_counts(INTERMEDIATE_NOT_NULL[name]))
         where = write(FINALIZE[name](observed), name)
         checks = [Check("intermediate", name, c, n) for c, n in seen.get.items()]
         stored = read(where)

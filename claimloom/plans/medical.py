@@ -1,7 +1,7 @@
 """Medical claims: the current version of each line that was not reversed.
 
-Shape of the plan. Renames, number reading and identifier checks are row-local and run before
-the shuffle, so that the shuffle carries short typed values instead of raw text. Then each row
+Shape of the plan. Renames and number reading are row-local and run before the shuffle, so that
+the shuffle carries short typed values instead of raw text. Then each row
 is shuffled once, by claim: reversal, version choice, claim type and claim span are windows over
 that one partitioning, in place of four aggregates joined back together. Claims too large for
 one task take a path of partial aggregates instead; both paths give the same rows.
@@ -15,9 +15,10 @@ from pyspark.sql.window import Window
 
 from claimloom.functions import codes
 from claimloom.functions.amounts import to_double, total_of
-from claimloom.functions.ids import absent_or_valid_npi, member_key, person_id, valid_npi
+from claimloom.functions.ids import member_key, person_id
 from claimloom.operators.classify import type_label
 from claimloom.operators.conform import conform
+from claimloom.operators.identifiers import with_valid_id
 from claimloom.operators.pick import best, row_hash
 from claimloom.operators.reversal import has_both_signs
 from claimloom.operators.skew import (
@@ -65,27 +66,26 @@ AMOUNTS = {
     "copayment_amount": "copay_amt",
     "deductible_amount": "deduct_amt",
 }
+# Raw columns carried along and read after the version choice, on fewer rows. Reading them
+# earlier would not shorten them, and would push the code generated for the scan beyond the
+# 8000 bytes per method that the JVM is willing to compile.
+READ_LATER = ("revenue_cd", "icd_subm_ind", "dw_netwk_ind", "sprovnpi", "bprovnpi")
 
 
 def read_lines(staged: DataFrame) -> DataFrame:
     """Row-local part: every output column that depends on one raw row alone.
 
-    Adds ``_current`` (the line's current flag) and ``_ids_ok`` (no invalid provider NPI).
+    Adds ``_current``, the line's current flag.
     """
     columns: dict[str, Column] = {new: F.col(raw) for new, raw in RENAMED.items()}
     columns |= {new: to_double(raw) for new, raw in AMOUNTS.items()}
+    columns |= {raw: F.col(raw) for raw in READ_LATER}
     columns |= {
         "member_id": member_key(),
-        "revenue_center_code": codes.revenue_center_code("revenue_cd"),
         "service_unit_quantity": to_double(F.coalesce("srv_units", "dw_srv_units")),
         "hcpcs_code": codes.procedure_code("hcpcs_proc_cd", "cpt_proc_cd"),
-        "rendering_npi": valid_npi("sprovnpi"),
-        "billing_npi": valid_npi("bprovnpi"),
         "total_cost_amount": total_of("dw_mem_liab_amt", "netpay", "cobamt"),
-        "diagnosis_code_type": codes.diagnosis_code_type("icd_subm_ind"),
-        "in_network_flag": codes.network_flag("dw_netwk_ind"),
         "_current": codes.is_yes("curr_clm_ind"),
-        "_ids_ok": absent_or_valid_npi("sprovnpi") & absent_or_valid_npi("bprovnpi"),
     }
     return staged.select(*(c.alias(name) for name, c in columns.items()))
 
@@ -179,9 +179,12 @@ def intermediate_medical_claims(
     versions = _by_window(rows_without(lines, hot)).unionByName(
         _by_aggregate(rows_with(lines, hot))
     )
+    kept = versions.where(~_line_dropped())
+    for source, target in (("sprovnpi", "rendering_npi"), ("bprovnpi", "billing_npi")):
+        kept = with_valid_id(kept, source, target, "drop_row")
     classified = F.col(CLAIM).isNotNull() & ~F.col("_any_reversed")
     return conform(
-        versions.where(~_line_dropped() & F.col("_ids_ok")),
+        kept,
         MEDICAL_CLAIM,
         {
             "claim_type": F.when(classified, type_label("_claim_bill", "_claim_place")),
@@ -190,6 +193,9 @@ def intermediate_medical_claims(
             "payer_type": F.lit(profile.payer_type),
             "claim_start_date": F.coalesce("_claim_first", "claim_line_start_date"),
             "claim_end_date": F.coalesce("_claim_last", "claim_line_start_date"),
+            "revenue_center_code": codes.revenue_center_code("revenue_cd"),
+            "diagnosis_code_type": codes.diagnosis_code_type("icd_subm_ind"),
+            "in_network_flag": codes.network_flag("dw_netwk_ind"),
             "drg_code_type": codes.tag_if_present("drg_code", "ms-drg"),
             "procedure_code_type": codes.tag_if_present("procedure_code_1", "icd-10-pcs"),
             "data_source": F.lit(profile.data_source),

@@ -75,7 +75,7 @@ def table_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eligibility written as a table in the shared folder and read back."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     root = tempfile.mkdtemp(prefix="run-") if shared is None else f"{shared}/table_sink"
-    table = build.final_relations(raw_tables(spark, sf_dir))["eligibility"]
+    table = build.final_relation("eligibility", raw_tables(spark, sf_dir))
     return _comparable(spark.read.parquet(write_files(table, "eligibility", root)))
 
 
@@ -321,8 +321,9 @@ def year_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def not_null_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All not-null checks of all layers."""
-    staged = _staged(spark, sf_dir)
-    rows = build.intermediate_relations(staged)
+    raw = raw_tables(spark, sf_dir)
+    staged = build.staging_relations(raw)
+    rows = {t: build.intermediate_relation(t, raw) for t in build.INTERMEDIATE_NOT_NULL}
     checks = [
         *(("staging", staged[t], t, cols) for t, cols in build.STAGING_NOT_NULL.items()),
         *(("intermediate", rows[t], t, cols) for t, cols in build.INTERMEDIATE_NOT_NULL.items()),
@@ -342,10 +343,13 @@ def not_null_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unique_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The uniqueness check of every output."""
-    tables = build.final_relations(raw_tables(spark, sf_dir))
+    raw = raw_tables(spark, sf_dir)
     return reduce(
         DataFrame.unionByName,
-        (quality.check_unique(tables[t], t, keys) for t, keys in build.FINAL_UNIQUE.items()),
+        (
+            quality.check_unique(build.final_relation(t, raw), t, keys)
+            for t, keys in build.FINAL_UNIQUE.items()
+        ),
     )
 
 
@@ -359,7 +363,7 @@ def duplicate_raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _final(name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _comparable(build.final_relations(raw_tables(spark, sf_dir))[name])
+        return _comparable(build.final_relation(name, raw_tables(spark, sf_dir)))
 
     return query
 
