@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -18,25 +17,22 @@ def conform(
 
     A column comes from ``values``, else from ``df``, else it is a typed NULL placeholder.
     Placeholders are added here, at the very end, so they never travel through a shuffle.
+    Types are reconciled as in a table insert: text never turns into a date or number silently.
     """
     values = values or {}
     unknown = set(values) - set(schema.names)
     if unknown:
         raise ValueError(f"not in the contract: {sorted(unknown)}")
-    present = dict(df.dtypes)
-
-    def column(field: T.StructField) -> Column:
-        kind = field.dataType.simpleString()
-        if field.name in values:
-            source = values[field.name].cast(kind)
-        elif field.name in present:
-            source = F.col(field.name)
-            if present[field.name] != kind:
-                source = source.cast(kind)
-        else:
-            source = F.expr(f"CAST(NULL AS {kind})")
-        if field.metadata:
-            return source.alias(field.name, metadata=field.metadata)
-        return source.alias(field.name)
-
-    return df.select(*map(column, schema))
+    return df.withColumns(dict(values)).to(schema)
+
+
+def renamed(
+    df: DataFrame, names: Mapping[str, str], computed: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """The columns of ``names`` (new name: old name) and the computed ones, nothing else."""
+    computed = dict(computed or {})
+    return (
+        df.withColumns(computed)
+        .withColumnsRenamed({old: new for new, old in names.items()})
+        .select(*names, *computed)
+    )

@@ -15,10 +15,9 @@ from pyspark.sql.window import Window
 
 from claimloom.functions import codes
 from claimloom.functions.amounts import to_double, total_of
-from claimloom.functions.ids import member_key, person_id
+from claimloom.functions.ids import absent_or_valid, member_key, person_id, valid_npi
 from claimloom.operators.classify import type_label
-from claimloom.operators.conform import conform
-from claimloom.operators.identifiers import with_valid_id
+from claimloom.operators.conform import conform, renamed
 from claimloom.operators.pick import best, row_hash
 from claimloom.operators.reversal import has_both_signs
 from claimloom.operators.skew import (
@@ -70,6 +69,8 @@ AMOUNTS = {
 # earlier would not shorten them, and would push the code generated for the scan beyond the
 # 8000 bytes per method that the JVM is willing to compile.
 READ_LATER = ("revenue_cd", "icd_subm_ind", "dw_netwk_ind", "sprovnpi", "bprovnpi")
+# Provider identifiers that drop their line when present and invalid.
+CHECKED_IDS = {"rendering_npi": "sprovnpi", "billing_npi": "bprovnpi"}
 
 
 def read_lines(staged: DataFrame) -> DataFrame:
@@ -77,17 +78,15 @@ def read_lines(staged: DataFrame) -> DataFrame:
 
     Adds ``_current``, the line's current flag.
     """
-    columns: dict[str, Column] = {new: F.col(raw) for new, raw in RENAMED.items()}
-    columns |= {new: to_double(raw) for new, raw in AMOUNTS.items()}
-    columns |= {raw: F.col(raw) for raw in READ_LATER}
-    columns |= {
+    computed: dict[str, Column] = {new: to_double(raw) for new, raw in AMOUNTS.items()}
+    computed |= {
         "member_id": member_key(),
         "service_unit_quantity": to_double(F.coalesce("srv_units", "dw_srv_units")),
         "hcpcs_code": codes.procedure_code("hcpcs_proc_cd", "cpt_proc_cd"),
         "total_cost_amount": total_of("dw_mem_liab_amt", "netpay", "cobamt"),
         "_current": codes.is_yes("curr_clm_ind"),
     }
-    return staged.select(*(c.alias(name) for name, c in columns.items()))
+    return renamed(staged, RENAMED | {raw: raw for raw in READ_LATER}, computed)
 
 
 def _version_order(lines: DataFrame) -> list[Column]:
@@ -131,6 +130,13 @@ def _claim_facts() -> dict[str, Column]:
     }
 
 
+def _checked_ids() -> dict[str, Column]:
+    """Once per winning line, and on this side of the claim window: further up, filter and
+    projection would each check again. A wrong identifier may drop its line only after the
+    claim's facts are known."""
+    return {target: valid_npi(source) for target, source in CHECKED_IDS.items()}
+
+
 def _by_window(lines: DataFrame) -> DataFrame:
     """Winning version of each line with line and claim facts; one shuffle, by claim."""
     by_line = Window.partitionBy(CLAIM, LINE).orderBy(
@@ -147,6 +153,7 @@ def _by_window(lines: DataFrame) -> DataFrame:
         )
         .where(F.col("_rank") == 1)
         .drop("_rank")
+        .withColumns(_checked_ids())
         .select("*", *(fact.over(by_claim).alias(name) for name, fact in _claim_facts().items()))
     )
 
@@ -161,7 +168,12 @@ def _by_aggregate(lines: DataFrame) -> DataFrame:
     per_claim = per_line.groupBy(CLAIM).agg(
         *(fact.alias(name) for name, fact in _claim_facts().items())
     )
-    return attach_broadcast(per_line, per_claim, [CLAIM]).select("*", "_row.*").drop("_row")
+    return (
+        attach_broadcast(per_line, per_claim, [CLAIM])
+        .select("*", "_row.*")
+        .drop("_row")
+        .withColumns(_checked_ids())
+    )
 
 
 def intermediate_medical_claims(
@@ -180,8 +192,8 @@ def intermediate_medical_claims(
         _by_aggregate(rows_with(lines, hot))
     )
     kept = versions.where(~_line_dropped())
-    for source, target in (("sprovnpi", "rendering_npi"), ("bprovnpi", "billing_npi")):
-        kept = with_valid_id(kept, source, target, "drop_row")
+    for target, source in CHECKED_IDS.items():
+        kept = kept.where(absent_or_valid(source, target))
     classified = F.col(CLAIM).isNotNull() & ~F.col("_any_reversed")
     return conform(
         kept,
@@ -205,4 +217,4 @@ def intermediate_medical_claims(
 
 def medical_claim(intermediate: DataFrame) -> DataFrame:
     """Final table: the intermediate rows, none filtered."""
-    return intermediate.select(*MEDICAL_CLAIM.names)
+    return conform(intermediate, MEDICAL_CLAIM)

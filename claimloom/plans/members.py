@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from claimloom.functions import codes
 from claimloom.functions.ids import member_key, person_id, valid_npi
-from claimloom.operators.conform import conform
+from claimloom.operators.conform import conform, renamed
 from claimloom.operators.pick import pick_current
 from claimloom.operators.snapshot import latest_snapshot
 from claimloom.operators.union import tagged_union
@@ -46,13 +46,10 @@ def member_feeds(hmo: DataFrame, ppo: DataFrame) -> DataFrame:
     return tagged_union({"HMO": hmo, "PPO": ppo}, "plan")
 
 
-def _keyed(feeds: DataFrame, renamed: dict[str, str], more: dict[str, Column]) -> DataFrame:
+def _keyed(feeds: DataFrame, names: dict[str, str], computed: dict[str, Column]) -> DataFrame:
     """Rows that have a member key, cut down to the columns the output needs."""
     has_key = F.col("cursubid").isNotNull() & F.col("bcmbrnbr").isNotNull()
-    columns = {new: F.col(raw) for new, raw in renamed.items()} | more
-    return feeds.where(has_key).select(
-        member_key().alias("member_id"), *(c.alias(name) for name, c in columns.items())
-    )
+    return renamed(feeds.where(has_key), names, {"member_id": member_key()} | computed)
 
 
 def intermediate_member_eligibility(
@@ -95,11 +92,12 @@ def intermediate_member_eligibility(
 
 def eligibility(intermediate: DataFrame) -> DataFrame:
     """Final table: members whose chosen row of a month covers exactly the full month."""
-    return intermediate.where(
+    full_months = intermediate.where(
         F.col("person_id").isNotNull()
         & F.col("member_id").isNotNull()
         & (F.col("x_mem_mth_cnt") == FULL_MONTH)
     )
+    return conform(full_months, ELIGIBILITY)
 
 
 def intermediate_provider_attribution(
@@ -138,4 +136,4 @@ def intermediate_provider_attribution(
 
 def provider_attribution(intermediate: DataFrame) -> DataFrame:
     """Final table: rows that have a person."""
-    return intermediate.where(F.col("person_id").isNotNull())
+    return conform(intermediate.where(F.col("person_id").isNotNull()), PROVIDER_ATTRIBUTION)

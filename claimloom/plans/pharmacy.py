@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from claimloom.functions.amounts import to_double, to_int, truncated
 from claimloom.functions.codes import is_yes
 from claimloom.functions.ids import member_key, person_id, valid_npi
-from claimloom.operators.conform import conform
+from claimloom.operators.conform import conform, renamed
 from claimloom.operators.pick import best, row_hash
 from claimloom.operators.reversal import has_both_signs, not_in_gate
 from claimloom.operators.snapshot import latest_snapshot
@@ -48,15 +48,14 @@ NUMBERS = {
 
 def read_claims(staged: DataFrame) -> DataFrame:
     """Row-local part. The dispenser's identifier is taken over unchecked."""
-    columns: dict[str, Column] = {new: F.col(raw) for new, raw in RENAMED.items()}
-    columns |= {new: to_double(raw) for new, raw in NUMBERS.items()}
-    columns |= {
+    computed: dict[str, Column] = {new: to_double(raw) for new, raw in NUMBERS.items()}
+    computed |= {
         "member_id": member_key(),
         "prescribing_provider_npi": valid_npi("clm_pdea_npi"),
         "refills": to_int("num_refills"),
         "_current": is_yes("rx_curr_clm_ind"),
     }
-    return staged.select(*(c.alias(name) for name, c in columns.items()))
+    return renamed(staged, RENAMED, computed)
 
 
 def intermediate_pharmacy_claims(
@@ -103,4 +102,4 @@ def intermediate_pharmacy_claims(
 
 def pharmacy_claim(intermediate: DataFrame) -> DataFrame:
     """Final table: the intermediate rows, none filtered."""
-    return intermediate.select(*PHARMACY_CLAIM.names)
+    return conform(intermediate, PHARMACY_CLAIM)

@@ -225,13 +225,15 @@ def test_id_policies(spark):
 
 def test_conform(spark):
     schema = contract("b:int a x:date c", {"a": "letters"})
-    df = spark.createDataFrame([("1", "z", "dropped")], "b string, a string, other string")
+    df = spark.createDataFrame([(1, "z", "dropped")], "b long, a string, other string")
     out = conform(df, schema, {"c": F.lit("k")})
     assert out.dtypes == [("b", "int"), ("a", "string"), ("x", "date"), ("c", "string")]
     assert tuple(out.first()) == (1, "z", None, "k")
     assert out.schema["a"].metadata == {"comment": "letters"}
     with pytest.raises(ValueError, match="nope"):
         conform(df, schema, {"nope": F.lit(1)})
+    with pytest.raises(Exception, match="INVALID_COLUMN_OR_FIELD_DATA_TYPE"):
+        conform(df, schema, {"b": F.lit("text")})
 
 
 def test_quality_checks(spark):

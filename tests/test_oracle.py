@@ -1,0 +1,32 @@
+"""Every registered query against its SQL twin on an independent engine."""
+
+import pytest
+from compare import connect, rows_of_spark, rows_of_sql
+
+import __spark_entry__ as registry
+
+# Their twins hold no rows on the smallest tables.
+MAY_BE_EMPTY = {"reversed_claims"}
+
+
+@pytest.fixture(scope="module")
+def con(sf_dir):
+    return connect(sf_dir)
+
+
+def test_every_query_has_a_twin():
+    assert set(registry.queries()) == set(registry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", registry.queries())
+def test_query_equals_sql(spark, con, sf_dir, name):
+    df = registry.queries()[name](spark, sf_dir)
+    names, expected = rows_of_sql(con, registry.oracle_sql()[name])
+    assert sorted(df.columns) == names
+    got = rows_of_spark(df)
+    assert got == expected
+    assert got or name in MAY_BE_EMPTY
+
+
+def test_entry(spark):
+    assert registry.entry(spark).count() > 0
