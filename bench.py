@@ -21,7 +21,7 @@ from claimloom.plans.build import FINALIZE, final_relation
 from claimloom.sources.tables import raw_from_files, write_files
 from workload.raw_tables import raw_tables
 
-ROUNDS = 3
+ROUNDS = 5
 
 
 def session() -> SparkSession:
@@ -34,6 +34,8 @@ def session() -> SparkSession:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        # Keep the generated code of all four plans between rounds.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

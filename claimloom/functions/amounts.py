@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 
 def to_double(column: str | Column) -> Column:
-    """Blank text is common in amounts and set aside first: failing to parse it costs the JVM an
+    """Empty text is common in amounts and set aside first: failing to parse it costs the JVM an
     exception per value."""
     text = F.col(column) if isinstance(column, str) else column
-    return F.when(F.trim(text) != "", text.try_cast("double"))
+    return F.when(F.octet_length(text) > 0, text.try_cast("double"))
 
 
 def to_int(column: str) -> Column:

@@ -25,19 +25,12 @@ def valid_npi(column: str | Column) -> Column:
     """The NPI reduced to its ten digits if its check digit holds, else NULL.
 
     Built from JVM expressions only, and without casting single digits, so that a short or
-    malformed value can never raise under ANSI mode. Ten plain ASCII characters that pass the
-    check are digits already; only other values pay for the clean-up by regular expression.
+    malformed value can never raise under ANSI mode.
     """
     text = (F.col(column) if isinstance(column, str) else column).cast("string")
     digits = F.regexp_replace(text, "[^0-9]", "")
-    is_clean = (F.length(text) == NPI_DIGITS) & (F.octet_length(text) == NPI_DIGITS)
-    return F.when(is_clean & _check_digit_holds(text), text).when(
-        (F.length(digits) == NPI_DIGITS) & _check_digit_holds(digits), digits
-    )
-
-
-def _check_digit_holds(digits: Column) -> Column:
-    return F.call_function("luhn_check", F.concat(F.lit(NPI_LUHN_PREFIX), digits))
+    check_holds = F.call_function("luhn_check", F.concat(F.lit(NPI_LUHN_PREFIX), digits))
+    return F.when((F.length(digits) == NPI_DIGITS) & check_holds, digits)
 
 
 def absent_or_valid(source: str, validated: str) -> Column:

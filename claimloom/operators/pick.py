@@ -1,4 +1,9 @@
-"""One current row per key."""
+"""One current row per key.
+
+Rows are ranked by the columns a caller prefers, highest first and NULL last, and then by all
+their other columns. Rows that still tie are equal, so the choice is the same in every run,
+whatever order the rows arrive in. The trailing columns are only ever compared on a tie.
+"""
 
 from __future__ import annotations
 
@@ -9,9 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def row_hash(df: DataFrame) -> Column:
-    """Last resort against ties: rows that still tie are then equal in every column."""
-    return F.xxhash64(*df.columns)
+def then_all_others(df: DataFrame, prefer: Sequence[str]) -> list[str]:
+    """Columns in ranking order: the preferred ones, then the rest."""
+    return [*prefer, *(c for c in df.columns if c not in prefer)]
 
 
 def pick_current(
@@ -20,22 +25,24 @@ def pick_current(
     prefer: Sequence[Column],
     tiebreak: Sequence[str] = (),
 ) -> DataFrame:
-    """The row of each key that ranks highest by ``prefer``, then ``tiebreak``; NULL ranks last.
+    """The row of each key that ranks highest by ``prefer``, then ``tiebreak``.
 
     NULL keys form a group. Spark keeps only the top row per key and map task before the
     shuffle (``WindowGroupLimit``), so a hot key costs a row per task.
     """
-    order = [F.desc_nulls_last(c) for c in (*prefer, *map(F.col, tiebreak), row_hash(df))]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    ranking = [*prefer, *then_all_others(df, tiebreak)]
+    rank = F.row_number().over(
+        Window.partitionBy(*keys).orderBy(*map(F.desc_nulls_last, ranking))
+    )
     return df.withColumn("_rank", rank).where(F.col("_rank") == 1).drop("_rank")
 
 
-def best(payload: Sequence[str], prefer: Sequence[Column]) -> Column:
-    """Aggregate form of the same choice: a struct of the highest-ranking row of the group.
+def best(ranking: Sequence[str]) -> Column:
+    """Aggregate form of the same choice: a struct of the group's highest-ranking row.
 
     For grouped aggregation next to other aggregates; combines on the map side.
     """
-    return F.max_by(F.struct(*payload), F.struct(*prefer))
+    return F.max(F.struct(*ranking))
 
 
 def number_lines(df: DataFrame, claim: str, order: Sequence[str], name: str) -> DataFrame:

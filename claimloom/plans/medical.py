@@ -18,7 +18,7 @@ from claimloom.functions.amounts import to_double, total_of
 from claimloom.functions.ids import absent_or_valid, member_key, person_id, valid_npi
 from claimloom.operators.classify import type_label
 from claimloom.operators.conform import conform, renamed
-from claimloom.operators.pick import best, row_hash
+from claimloom.operators.pick import best, then_all_others
 from claimloom.operators.reversal import has_both_signs
 from claimloom.operators.skew import (
     DEFAULT_RULE,
@@ -65,6 +65,8 @@ AMOUNTS = {
     "copayment_amount": "copay_amt",
     "deductible_amount": "deduct_amt",
 }
+# Which version of a line is the current one: highest first, NULL last.
+VERSION_ORDER = ("_current", "file_date", "ingest_datetime", "file_name")
 # Raw columns carried along and read after the version choice, on fewer rows. Reading them
 # earlier would not shorten them, and would push the code generated for the scan beyond the
 # 8000 bytes per method that the JVM is willing to compile.
@@ -89,16 +91,6 @@ def read_lines(staged: DataFrame) -> DataFrame:
     return renamed(staged, RENAMED | {raw: raw for raw in READ_LATER}, computed)
 
 
-def _version_order(lines: DataFrame) -> list[Column]:
-    return [
-        F.col("_current"),
-        F.col("file_date"),
-        F.col("ingest_datetime"),
-        F.col("file_name"),
-        row_hash(lines),
-    ]
-
-
 def _line_facts() -> dict[str, Column]:
     """What a line's versions say together."""
     current_date = F.when(F.col("_current"), F.col("claim_line_start_date"))
@@ -139,9 +131,8 @@ def _checked_ids() -> dict[str, Column]:
 
 def _by_window(lines: DataFrame) -> DataFrame:
     """Winning version of each line with line and claim facts; one shuffle, by claim."""
-    by_line = Window.partitionBy(CLAIM, LINE).orderBy(
-        *map(F.desc_nulls_last, _version_order(lines))
-    )
+    ranking = then_all_others(lines.drop(CLAIM, LINE), VERSION_ORDER)
+    by_line = Window.partitionBy(CLAIM, LINE).orderBy(*map(F.desc_nulls_last, ranking))
     all_versions = by_line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     by_claim = Window.partitionBy(CLAIM)
     return (
@@ -160,9 +151,8 @@ def _by_window(lines: DataFrame) -> DataFrame:
 
 def _by_aggregate(lines: DataFrame) -> DataFrame:
     """The same for few but huge claims: map-side combined, one broadcast row per claim."""
-    payload = [c for c in lines.columns if c not in (CLAIM, LINE)]
     per_line = lines.groupBy(CLAIM, LINE).agg(
-        best(payload, _version_order(lines)).alias("_row"),
+        best(then_all_others(lines.drop(CLAIM, LINE), VERSION_ORDER)).alias("_row"),
         *(fact.alias(name) for name, fact in _line_facts().items()),
     )
     per_claim = per_line.groupBy(CLAIM).agg(

@@ -13,7 +13,7 @@ from claimloom.functions.amounts import to_double, to_int, truncated
 from claimloom.functions.codes import is_yes
 from claimloom.functions.ids import member_key, person_id, valid_npi
 from claimloom.operators.conform import conform, renamed
-from claimloom.operators.pick import best, row_hash
+from claimloom.operators.pick import best, then_all_others
 from claimloom.operators.reversal import has_both_signs, not_in_gate
 from claimloom.operators.snapshot import latest_snapshot
 from claimloom.payer import DEFAULT_PROFILE, PayerProfile
@@ -45,6 +45,9 @@ NUMBERS = {
     "deductible_amount": "deduct_amt",
 }
 
+# Which version of a claim is the current one: highest first, NULL last.
+VERSION_ORDER = ("_current", "file_date", "ingest_datetime", "file_name")
+
 
 def read_claims(staged: DataFrame) -> DataFrame:
     """Row-local part. The dispenser's identifier is taken over unchecked."""
@@ -67,15 +70,8 @@ def intermediate_pharmacy_claims(
     first; if it has no drug code its claim is gone.
     """
     rows = read_claims(latest_snapshot(staged))
-    prefer = [
-        F.col("_current"),
-        F.col("file_date"),
-        F.col("ingest_datetime"),
-        F.col("file_name"),
-        row_hash(rows),
-    ]
     per_claim = rows.groupBy(CLAIM).agg(
-        best([c for c in rows.columns if c != CLAIM], prefer).alias("_row"),
+        best(then_all_others(rows.drop(CLAIM), VERSION_ORDER)).alias("_row"),
         F.min("allowed_amount").alias("_low"),
         F.max("allowed_amount").alias("_high"),
     )

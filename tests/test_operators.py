@@ -149,7 +149,7 @@ def test_best_is_the_same_choice(spark):
         "id % 11 as k", "if(id % 13 = 0, null, id % 17) as a", "id as b"
     )
     by_rank = pick.pick_current(df, ["k"], [F.col("a"), F.col("b")])
-    by_max = df.groupBy("k").agg(pick.best(["a", "b"], [F.col("a"), F.col("b")]).alias("r"))
+    by_max = df.groupBy("k").agg(pick.best(["a", "b"]).alias("r"))
     assert sorted(map(tuple, by_rank.collect())) == sorted(
         map(tuple, by_max.select("k", "r.*").collect())
     )

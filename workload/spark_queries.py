@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -74,7 +75,7 @@ def _stage_query(table: str, schema) -> Query:
 def table_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eligibility written as a table in the shared folder and read back."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = tempfile.mkdtemp(prefix="run-") if shared is None else f"{shared}/table_sink"
+    root = tempfile.mkdtemp(prefix="run-") if shared is None else f"{shared}/run-{uuid.uuid4()}"
     table = build.final_relation("eligibility", raw_tables(spark, sf_dir))
     return _comparable(spark.read.parquet(write_files(table, "eligibility", root)))
 
