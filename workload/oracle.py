@@ -270,6 +270,16 @@ def _unique_report() -> str:
     return _with(list(_FINAL.values()), "\nunion all ".join(parts))
 
 
+def _not_in(paid: str) -> str:
+    return _with(
+        ["rx_new"],
+        f""", signed as (select int_clm_num, s3_path, {paid} as paid from rx_new)
+select int_clm_num, paid, s3_path from signed where int_clm_num not in (
+  select int_clm_num from signed group by int_clm_num
+  having min({_dbl('paid')}) < 0 and max({_dbl('paid')}) > 0)""",
+    )
+
+
 _MEMBER_ROW = f"""{MEMBER_KEY} as member_id, plan, mem_mth_st_dt, mem_mth_end_dt, mem_mth_cnt,
   date_id, _run_time, filename"""
 
@@ -297,6 +307,13 @@ ORACLE: dict[str, str] = {
     "latest_snapshot_member_union": _with(
         ["feeds_new"], "select plan, date_id, filename from feeds_new"
     ),
+    "latest_snapshot_one_feed_behind": _with(
+        ["feeds"],
+        """, shifted as (select plan, filename,
+  date_id - (case when plan = 'HMO' then 31 else 0 end) as date_id from feeds)
+select plan, date_id, filename from shifted
+where date_id = (select max(date_id) from shifted)""",
+    ),
     "member_union": _with(["feeds"], f"select {_columns(MEMBER_RAW)}, plan from feeds"),
     "reversed_lines": _with(["bad_line"], "select * from bad_line"),
     "reversed_claims": _with(["bad_claim"], "select * from bad_claim"),
@@ -306,6 +323,11 @@ ORACLE: dict[str, str] = {
     "drop_reversed_claims_not_in": _with(
         ["rx_kept"], "select int_clm_num, paid, s3_path from rx_kept"
     ),
+    "not_in_with_nothing_reversed": _not_in("ltrim(paid, '-')"),
+    "not_in_with_null_reversed": _not_in(
+        "case when int_clm_num is not null then paid when clm_ndc is null"
+        " then '-' || ltrim(paid, '-') else ltrim(paid, '-') end"
+    ),
     "claim_type": _with(["types"], "select * from types"),
     "claim_type_of_lines": _with(
         ["types"],

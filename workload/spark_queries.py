@@ -103,6 +103,13 @@ def latest_snapshot_member_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_snapshot(_feeds(spark, sf_dir)).select("plan", "date_id", "filename")
 
 
+def latest_snapshot_one_feed_behind(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The HMO feed a month older than the PPO feed: all of it drops out."""
+    behind = F.when(F.col("plan") == "HMO", F.date_sub("date_id", 31)).otherwise(F.col("date_id"))
+    feeds = _feeds(spark, sf_dir).withColumn("date_id", behind)
+    return latest_snapshot(feeds).select("plan", "date_id", "filename")
+
+
 def member_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(_feeds(spark, sf_dir))
 
@@ -128,6 +135,23 @@ def drop_reversed_claims_not_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reversal.drop_reversed_not_in(rows, "int_clm_num", "paid")
 
 
+def _not_in(spark: SparkSession, sf_dir: str, paid: str) -> DataFrame:
+    rows = _pharmacy_snapshot(spark, sf_dir).withColumn("paid", F.expr(paid))
+    rows = rows.select("int_clm_num", "paid", "s3_path")
+    return reversal.drop_reversed_not_in(rows, "int_clm_num", "paid")
+
+
+def not_in_with_nothing_reversed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An empty set: every row passes, those without a claim number too."""
+    return _not_in(spark, sf_dir, "ltrim('-', paid)")
+
+
+def not_in_with_null_reversed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts signed by row, also where the claim number is missing: a NULL in the set."""
+    signed = "if(clm_ndc is null, '-', '') || ltrim('-', paid)"
+    return _not_in(spark, sf_dir, f"if(int_clm_num is null, {signed}, paid)")
+
+
 # --- claims ------------------------------------------------------------------------------
 
 
@@ -389,11 +413,14 @@ QUERIES: dict[str, Query] = {
     "latest_snapshot_medical": latest_snapshot_medical,
     "latest_snapshot_pharmacy": latest_snapshot_pharmacy,
     "latest_snapshot_member_union": latest_snapshot_member_union,
+    "latest_snapshot_one_feed_behind": latest_snapshot_one_feed_behind,
     "member_union": member_union,
     "reversed_lines": reversed_lines,
     "reversed_claims": reversed_claims,
     "drop_reversed_lines": drop_reversed_lines,
     "drop_reversed_claims_not_in": drop_reversed_claims_not_in,
+    "not_in_with_nothing_reversed": not_in_with_nothing_reversed,
+    "not_in_with_null_reversed": not_in_with_null_reversed,
     "claim_type": claim_type,
     "claim_type_of_lines": claim_type_of_lines,
     "claim_span": claim_span,
