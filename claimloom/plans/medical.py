@@ -73,6 +73,17 @@ VERSION_ORDER = ("_current", "file_date", "ingest_datetime", "file_name")
 READ_LATER = ("revenue_cd", "icd_subm_ind", "dw_netwk_ind", "sprovnpi", "bprovnpi")
 # Provider identifiers that drop their line when present and invalid.
 CHECKED_IDS = {"rendering_npi": "sprovnpi", "billing_npi": "bprovnpi"}
+# Columns that decide on a line or its claim.
+DECIDING = (
+    CLAIM,
+    LINE,
+    *VERSION_ORDER,
+    "claim_line_start_date",
+    "allowed_amount",
+    "place_of_service_code",
+    "bill_type_code",
+    *CHECKED_IDS.values(),
+)
 
 
 def read_lines(staged: DataFrame) -> DataFrame:
@@ -91,6 +102,15 @@ def read_lines(staged: DataFrame) -> DataFrame:
     return renamed(staged, RENAMED | {raw: raw for raw in READ_LATER}, computed)
 
 
+def pack(lines: DataFrame) -> DataFrame:
+    """Columns that take part in the choice stay columns; all others travel as one struct.
+
+    Shuffle, sort and windows then copy the struct as a block of bytes, not field by field.
+    """
+    rest = [c for c in lines.columns if c not in DECIDING]
+    return lines.select(*DECIDING, F.struct(*rest).alias("_rest"))
+
+
 def _line_facts() -> dict[str, Column]:
     """What a line's versions say together."""
     current_date = F.when(F.col("_current"), F.col("claim_line_start_date"))
@@ -176,7 +196,7 @@ def intermediate_medical_claims(
     The winning version is chosen first; if it then fails the provider check its line is gone.
     A claim with any reversed line keeps its other lines, without a claim type.
     """
-    lines = read_lines(latest_snapshot(staged))
+    lines = pack(read_lines(latest_snapshot(staged)))
     hot = hot_keys(lines, [CLAIM], rule)
     versions = _by_window(rows_without(lines, hot)).unionByName(
         _by_aggregate(rows_with(lines, hot))
@@ -186,7 +206,7 @@ def intermediate_medical_claims(
         kept = kept.where(absent_or_valid(source, target))
     classified = F.col(CLAIM).isNotNull() & ~F.col("_any_reversed")
     return conform(
-        kept,
+        kept.select("*", "_rest.*"),
         MEDICAL_CLAIM,
         {
             "claim_type": F.when(classified, type_label("_claim_bill", "_claim_place")),
