@@ -8,31 +8,48 @@ import sys
 from pyspark.sql import SparkSession
 
 from claimloom.payer import DEFAULT_PROFILE
-from claimloom.plans.build import build, named_relations
-from claimloom.sources.tables import Layers, raw_from_catalog, register_views, write_layer
+from claimloom.plans.build import build, named_relations, staging_views
+from claimloom.sources.tables import (
+    Layers,
+    TableSink,
+    newest_partition,
+    raw_from_catalog,
+    store_staging_views,
+    write_layer,
+)
 
 
 def main(argv: list[str] | None = None) -> int:
     layers = Layers.of(DEFAULT_PROFILE)
     parser = argparse.ArgumentParser(description="Build the claims tables.")
     parser.add_argument("--raw-database", default=layers.raw)
+    parser.add_argument("--staging-database", default=layers.staging)
+    parser.add_argument("--intermediate-database", default=layers.intermediate)
     parser.add_argument("--final-database", default=layers.final)
+    parser.add_argument("--store-intermediate", action="store_true")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     raw = raw_from_catalog(spark, args.raw_database)
-    register_views(named_relations(raw))
-    report = build(
-        raw,
-        write=lambda df, name: write_layer(df, name, args.final_database),
-        read=spark.read.table,
-    )
+    store_staging_views(spark, args.raw_database, args.staging_database, staging_views())
+    if args.store_intermediate:
+        for name, df in named_relations(raw).items():
+            if name.startswith("int_"):
+                write_layer(df, name, args.intermediate_database)
+    newest = {
+        name: date
+        for name in raw
+        if (date := newest_partition(spark, f"{args.raw_database}.{name}")) is not None
+    }
+    report = build(raw, TableSink(spark, args.final_database), newest=newest)
     for check in report.checks:
         verdict = "FAIL" if check.failures else "ok"
         print(f"{verdict} {check.layer} {check.table_name}.{check.column_name}: {check.failures}")
-    for name in report.skipped:
-        print(f"SKIPPED {name}: an input failed its check")
-    return 1 if report.failed else 0
+    for name, reason in report.skipped.items():
+        print(f"SKIPPED {name}: {reason}")
+    for name, error in report.errors.items():
+        print(f"ERROR {name}: {error.splitlines()[0]}")
+    return 0 if report.ok else 1
 
 
 if __name__ == "__main__":

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from claimloom.functions.amounts import to_double
 from claimloom.functions.codes import is_filled, is_yes
-from claimloom.operators.reversal import has_both_signs
+from claimloom.operators.reversal import has_both_signs, sign_facts
 from claimloom.operators.skew import DEFAULT_RULE, HotKeyRule, left_join_facts, with_group_facts
 
 
@@ -19,6 +19,30 @@ def type_label(has_bill_type: str, has_place: str) -> Column:
     )
 
 
+def type_facts(bill_type: str, place: str) -> dict[str, Column]:
+    """What a line's versions say about the type of its claim; every version counts."""
+    return {"_bill": F.max(is_filled(bill_type)), "_place": F.max(is_filled(place))}
+
+
+def claim_type_facts() -> dict[str, Column]:
+    """What a claim's lines say together, from their sign and type facts."""
+    return {
+        "_any_reversed": F.max(has_both_signs("_low", "_high")),
+        "_claim_bill": F.max("_bill"),
+        "_claim_place": F.max("_place"),
+    }
+
+
+def span_facts(current: Column, date: str) -> dict[str, Column]:
+    """First and last date of a group's current rows."""
+    current_date = F.when(current, F.col(date))
+    return {"_first": F.min(current_date), "_last": F.max(current_date)}
+
+
+def _named(facts: dict[str, Column]) -> list[Column]:
+    return [fact.alias(name) for name, fact in facts.items()]
+
+
 def classify_claims(
     df: DataFrame, claim: str, line: str, amount: str, bill_type: str, place: str
 ) -> DataFrame:
@@ -27,22 +51,14 @@ def classify_claims(
     Every line counts, current or not. NULL claims form a group that no reversal can match.
     Two grouped aggregates, no join: lines fold into claims.
     """
-    value = to_double(amount)
     lines = df.groupBy(claim, line).agg(
-        F.min(value).alias("_low"),
-        F.max(value).alias("_high"),
-        F.max(is_filled(bill_type)).alias("_bill"),
-        F.max(is_filled(place)).alias("_place"),
+        *_named(sign_facts(to_double(amount)) | type_facts(bill_type, place))
     )
     return (
         lines.groupBy(claim)
-        .agg(
-            F.max(has_both_signs("_low", "_high")).alias("_reversed"),
-            F.max("_bill").alias("_bill"),
-            F.max("_place").alias("_place"),
-        )
-        .where(~F.col("_reversed") | F.col(claim).isNull())
-        .select(claim, type_label("_bill", "_place").alias("claim_type"))
+        .agg(*_named(claim_type_facts()))
+        .where(~F.col("_any_reversed") | F.col(claim).isNull())
+        .select(claim, type_label("_claim_bill", "_claim_place").alias("claim_type"))
     )
 
 
@@ -60,9 +76,7 @@ def claim_span(
 
     A claim without a current line falls back to each line's own date.
     """
-    current_date = F.when(is_yes(flag), F.col(date))
-    facts = {"_first": F.min(current_date), "_last": F.max(current_date)}
-    return with_group_facts(df, [claim], facts, rule).withColumns(
+    return with_group_facts(df, [claim], span_facts(is_yes(flag), date), rule).withColumns(
         {
             "claim_start_date": F.coalesce("_first", date),
             "claim_end_date": F.coalesce("_last", date),

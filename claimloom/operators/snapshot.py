@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_snapshot(df: DataFrame, date_col: str = "date_id") -> DataFrame:
+def latest_snapshot(
+    df: DataFrame, date_col: str = "date_id", newest: dt.date | None = None
+) -> DataFrame:
     """Rows of the newest file date; rows without a date never qualify.
 
-    The maximum is a scalar subquery, not a driver round trip: on a table partitioned by the
-    file date it prunes directories, otherwise it reaches the Parquet reader as a filter. On a
-    union it is taken over all members together, so a feed that lags behind drops out.
+    A caller that knows the newest date (``sources.tables.newest_partition``) passes it: the
+    filter then prunes folders without reading a footer. Else the maximum is a scalar subquery,
+    not a driver round trip: on a table partitioned by the file date it prunes directories,
+    otherwise it reaches the Parquet reader as a filter. On a union it is taken over all members
+    together, so a feed that lags behind drops out.
     """
-    newest = df.select(F.max(date_col)).scalar()
-    return df.where(F.col(date_col) == newest)
+    date = df.select(F.max(date_col)).scalar() if newest is None else F.lit(newest)
+    return df.where(F.col(date_col) == date)

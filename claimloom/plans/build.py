@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation
+from pyspark.sql import types as T
 
 from claimloom.operators.quality import check_not_null, check_unique, null_counts
 from claimloom.operators.staging import stage
 from claimloom.payer import DEFAULT_PROFILE, PayerProfile
 from claimloom.plans import medical, members, pharmacy
 from claimloom.schemas import MEDICAL_RAW, MEMBER_RAW, PHARMACY_RAW
-from claimloom.sources.tables import HMO_MEMBER, MEDICAL_CLAIMS, PHARMACY_CLAIMS, PPO_MEMBER
+from claimloom.sources.tables import (
+    HMO_MEMBER,
+    MEDICAL_CLAIMS,
+    PHARMACY_CLAIMS,
+    PPO_MEMBER,
+    Sink,
+)
 
 RAW_SCHEMAS = {
     HMO_MEMBER: MEMBER_RAW,
@@ -82,14 +90,22 @@ class Check:
 
 @dataclass
 class BuildReport:
+    """``skipped`` and ``errors`` give the reason by output; errors of staging checks are listed
+    by raw table."""
+
     written: dict[str, str] = field(default_factory=dict)
-    skipped: list[str] = field(default_factory=list)
+    skipped: dict[str, str] = field(default_factory=dict)
+    errors: dict[str, str] = field(default_factory=dict)
     checks: list[Check] = field(default_factory=list)
 
     @property
     def failed(self) -> list[Check]:
         return [c for c in self.checks if c.failures]
 
+    @property
+    def ok(self) -> bool:
+        return not (self.failed or self.errors or self.skipped)
+
 
 def staging_relations(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Raw tables with the contract's columns and types."""
@@ -101,16 +117,22 @@ def intermediate_relation(
     raw: dict[str, DataFrame],
     profile: PayerProfile = DEFAULT_PROFILE,
     full_months_only: bool = False,
+    newest: dict[str, dt.date] | None = None,
 ) -> DataFrame:
-    """Normalized rows of an output before its final filter. Lazy, nothing is stored."""
+    """Normalized rows of an output before its final filter. Lazy, nothing is stored.
+
+    ``newest`` gives the newest file date of raw tables where a caller knows it.
+    """
     staged = staging_relations({table: raw[table] for table in INPUTS[name]})
+    dates = [(newest or {}).get(table) for table in INPUTS[name]]
+    date = None if None in dates else max(dates)
     if name == "medical_claim":
-        return medical.intermediate_medical_claims(staged[MEDICAL_CLAIMS], profile)
+        return medical.intermediate_medical_claims(staged[MEDICAL_CLAIMS], profile, newest=date)
     if name == "pharmacy_claim":
-        return pharmacy.intermediate_pharmacy_claims(staged[PHARMACY_CLAIMS], profile)
+        return pharmacy.intermediate_pharmacy_claims(staged[PHARMACY_CLAIMS], profile, date)
     feeds = members.member_feeds(staged[HMO_MEMBER], staged[PPO_MEMBER])
     if name == "eligibility":
-        return members.intermediate_member_eligibility(feeds, profile, full_months_only)
+        return members.intermediate_member_eligibility(feeds, profile, full_months_only, date)
     return members.intermediate_provider_attribution(feeds, profile)
 
 
@@ -121,26 +143,34 @@ def final_relation(
     return FINALIZE[name](intermediate_relation(name, raw, profile, full_months_only=True))
 
 
+def staging_views(profile: PayerProfile = DEFAULT_PROFILE) -> dict[str, tuple[str, T.StructType]]:
+    """Raw table and contract of each staging relation, by the name SQL users know it by."""
+    # Relation names.
+    names = {
+        HMO_MEMBER: HMO_MEMBER,
+        PPO_MEMBER: PPO_MEMBER,
+        MEDICAL_CLAIMS: "medical_claims",
+        PHARMACY_CLAIMS: "pharmacy_claims",
+    }
+    return {f"stg_{profile.payer}_{names[table]}": (table, RAW_SCHEMAS[table]) for table in names}
+
+
 def named_relations(
     raw: dict[str, DataFrame], profile: PayerProfile = DEFAULT_PROFILE
 ) -> dict[str, DataFrame]:
     """Staging and intermediate relations under the names SQL users know them by."""
-    payer = profile.payer
     staged = staging_relations(raw)
+    # Relation names.
     names = {
         "eligibility": "member_eligibility",
         "provider_attribution": "provider_attribution",
         "medical_claim": "medical_claims",
         "pharmacy_claim": "pharmacy_claims",
     }
-    # Relation names.
     return {
-        f"stg_{payer}_{HMO_MEMBER}": staged[HMO_MEMBER],
-        f"stg_{payer}_{PPO_MEMBER}": staged[PPO_MEMBER],
-        f"stg_{payer}_medical_claims": staged[MEDICAL_CLAIMS],
-        f"stg_{payer}_pharmacy_claims": staged[PHARMACY_CLAIMS],
+        **{name: staged[table] for name, (table, _) in staging_views(profile).items()},
         **{
-            f"int_{payer}_{short}": intermediate_relation(name, raw, profile)
+            f"int_{profile.payer}_{short}": intermediate_relation(name, raw, profile)
             for name, short in names.items()
         },
     }
@@ -148,17 +178,17 @@ def named_relations(
 
 def build(
     raw: dict[str, DataFrame],
-    write: Callable[[DataFrame, str], str],
-    read: Callable[[str], DataFrame],
+    sink: Sink,
     profile: PayerProfile = DEFAULT_PROFILE,
+    newest: dict[str, dt.date] | None = None,
 ) -> BuildReport:
     """Write all outputs and check every layer.
 
-    ``write(df, name)`` stores a table and returns where; ``read(where)`` loads it again.
-    Staging is checked first, and an output with a failed input is skipped. Checks of the
-    intermediate rows ride along with the write as an observation, so they cost no second
-    pass. Final checks read their few columns back from the stored table. The four outputs are
-    independent jobs and run side by side.
+    Staging is checked first, and an output with a failed input is skipped. An output is stored
+    as pending, and its intermediate rows, all of them, are observed on the way, at no second
+    pass. It is published only if they pass; else the published table stays as it was. Final
+    checks read their few columns back from the published table. The four outputs are independent
+    jobs and run side by side; one that raises is reported and stops no other.
     """
     staged = staging_relations(raw)
     report = BuildReport()
@@ -166,25 +196,40 @@ def build(
     def staging_check(name: str) -> list[Check]:
         return _run("staging", check_not_null(staged[name], name, STAGING_NOT_NULL[name]))
 
-    def output(name: str) -> tuple[str, str, list[Check]]:
+    def output(name: str) -> None:
         seen = Observation(name)
-        rows = intermediate_relation(name, raw, profile, full_months_only=True)
-        observed = rows.observe(seen, *null_counts(INTERMEDIATE_NOT_NULL[name]))
-        where = write(FINALIZE[name](observed), name)
+        observed = intermediate_relation(name, raw, profile, newest=newest).observe(
+            seen, *null_counts(INTERMEDIATE_NOT_NULL[name])
+        )
+        pending = sink.store(FINALIZE[name](observed), name)
         checks = [Check("intermediate", name, c, n) for c, n in seen.get.items()]
-        stored = read(where)
-        checks += _run("final", check_not_null(stored, name, FINAL_NOT_NULL[name]))
-        checks += _run("final", check_unique(stored, name, FINAL_UNIQUE[name]))
-        return name, where, checks
+        report.checks += checks
+        if any(c.failures for c in checks):
+            sink.discard(pending)
+            report.skipped[name] = "a check of its intermediate rows failed"
+            return
+        report.written[name] = sink.publish(pending, name)
+        stored = sink.read(report.written[name])
+        report.checks += _run("final", check_not_null(stored, name, FINAL_NOT_NULL[name]))
+        report.checks += _run("final", check_unique(stored, name, FINAL_UNIQUE[name]))
 
     with ThreadPoolExecutor(len(FINALIZE)) as pool:
-        for checks in pool.map(staging_check, STAGING_NOT_NULL):
-            report.checks += checks
-        bad = {c.table_name for c in report.failed}
-        report.skipped = [name for name in FINALIZE if bad & set(INPUTS[name])]
-        for name, where, checks in pool.map(output, [n for n in FINALIZE if n not in report.skipped]):
-            report.written[name] = where
-            report.checks += checks
+        jobs = {name: pool.submit(staging_check, name) for name in STAGING_NOT_NULL}
+        for name, job in jobs.items():
+            try:
+                report.checks += job.result()
+            except Exception as error:
+                report.errors[name] = str(error)
+        bad = {c.table_name for c in report.failed} | set(report.errors)
+        for name in FINALIZE:
+            if inputs := sorted(bad & set(INPUTS[name])):
+                report.skipped[name] = f"an input failed its check: {', '.join(inputs)}"
+        jobs = {name: pool.submit(output, name) for name in FINALIZE if name not in report.skipped}
+        for name, job in jobs.items():
+            try:
+                job.result()
+            except Exception as error:
+                report.errors[name] = str(error)
     return report
 
 

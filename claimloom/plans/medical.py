@@ -9,6 +9,8 @@ one task take a path of partial aggregates instead; both paths give the same row
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -16,10 +18,10 @@ from pyspark.sql.window import Window
 from claimloom.functions import codes
 from claimloom.functions.amounts import to_double, total_of
 from claimloom.functions.ids import absent_or_valid, member_key, person_id, valid_npi
-from claimloom.operators.classify import type_label
+from claimloom.operators.classify import claim_type_facts, span_facts, type_facts, type_label
 from claimloom.operators.conform import conform, renamed
 from claimloom.operators.pick import best, then_all_others
-from claimloom.operators.reversal import has_both_signs
+from claimloom.operators.reversal import matches_reversal, sign_facts
 from claimloom.operators.skew import (
     DEFAULT_RULE,
     HotKeyRule,
@@ -113,30 +115,21 @@ def pack(lines: DataFrame) -> DataFrame:
 
 def _line_facts() -> dict[str, Column]:
     """What a line's versions say together."""
-    current_date = F.when(F.col("_current"), F.col("claim_line_start_date"))
-    return {
-        "_low": F.min("allowed_amount"),
-        "_high": F.max("allowed_amount"),
-        "_first": F.min(current_date),
-        "_last": F.max(current_date),
-        "_bill": F.max(codes.is_filled("bill_type_code")),
-        "_place": F.max(codes.is_filled("place_of_service_code")),
-    }
+    return (
+        sign_facts("allowed_amount")
+        | span_facts(F.col("_current"), "claim_line_start_date")
+        | type_facts("bill_type_code", "place_of_service_code")
+    )
 
 
 def _line_dropped() -> Column:
     """A reversed line; lines without claim or line number can not be matched to a reversal."""
-    return (
-        has_both_signs("_low", "_high") & F.col(CLAIM).isNotNull() & F.col(LINE).isNotNull()
-    )
+    return matches_reversal([CLAIM, LINE])
 
 
 def _claim_facts() -> dict[str, Column]:
     """What a claim's lines say together: type over all lines, span over the kept ones."""
-    return {
-        "_any_reversed": F.max(has_both_signs("_low", "_high")),
-        "_claim_bill": F.max("_bill"),
-        "_claim_place": F.max("_place"),
+    return claim_type_facts() | {
         "_claim_first": F.min(F.when(~_line_dropped(), F.col("_first"))),
         "_claim_last": F.max(F.when(~_line_dropped(), F.col("_last"))),
     }
@@ -190,13 +183,14 @@ def intermediate_medical_claims(
     staged: DataFrame,
     profile: PayerProfile = DEFAULT_PROFILE,
     rule: HotKeyRule = DEFAULT_RULE,
+    newest: dt.date | None = None,
 ) -> DataFrame:
     """Staged medical claims to the output contract.
 
     The winning version is chosen first; if it then fails the provider check its line is gone.
     A claim with any reversed line keeps its other lines, without a claim type.
     """
-    lines = pack(read_lines(latest_snapshot(staged)))
+    lines = pack(read_lines(latest_snapshot(staged, newest=newest)))
     hot = hot_keys(lines, [CLAIM], rule)
     versions = _by_window(rows_without(lines, hot)).unionByName(
         _by_aggregate(rows_with(lines, hot))
@@ -211,6 +205,7 @@ def intermediate_medical_claims(
         {
             "claim_type": F.when(classified, type_label("_claim_bill", "_claim_place")),
             "person_id": person_id(profile, "member_id"),
+            "ingest_datetime": F.col("ingest_datetime").cast("timestamp"),
             "payer": F.lit(profile.payer),
             "payer_type": F.lit(profile.payer_type),
             "claim_start_date": F.coalesce("_claim_first", "claim_line_start_date"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +39,7 @@ ATTRIBUTION_RENAMED = {
     "plan": "plan",
     "member_effective_date": "mem_mth_st_dt",
     "member_term_date": "mem_mth_end_dt",
+    "payer_attributed_provider": "pcp_npi",
     **_LINEAGE,
 }
 
@@ -53,7 +56,10 @@ def _keyed(feeds: DataFrame, names: dict[str, str], computed: dict[str, Column])
 
 
 def intermediate_member_eligibility(
-    feeds: DataFrame, profile: PayerProfile = DEFAULT_PROFILE, full_months_only: bool = False
+    feeds: DataFrame,
+    profile: PayerProfile = DEFAULT_PROFILE,
+    full_months_only: bool = False,
+    newest: dt.date | None = None,
 ) -> DataFrame:
     """One row per member and month of the newest file date over both feeds.
 
@@ -64,7 +70,7 @@ def intermediate_member_eligibility(
     before the shuffle. Rows above one still take part: they hide their month.
     """
     months = _keyed(
-        latest_snapshot(feeds), ELIGIBILITY_RENAMED, {"gender": codes.gender("mem_gender")}
+        latest_snapshot(feeds, newest=newest), ELIGIBILITY_RENAMED, {"gender": codes.gender("mem_gender")}
     )
     if full_months_only:
         months = months.where(F.col("x_mem_mth_cnt") >= FULL_MONTH)
@@ -80,6 +86,7 @@ def intermediate_member_eligibility(
         {
             "person_id": person_id(profile, "member_id"),
             "subscriber_id": F.col("member_id"),
+            "ingest_datetime": F.col("ingest_datetime").cast("timestamp"),
             "death_flag": F.when(F.col("death_date").isNotNull(), 1).otherwise(0),
             "payer": F.lit(profile.payer),
             "payer_type": F.lit(profile.payer_type),
@@ -107,10 +114,7 @@ def intermediate_provider_attribution(
     months = _keyed(
         feeds,
         ATTRIBUTION_RENAMED,
-        {
-            "year_month": codes.year_month("mem_mth_st_dt"),
-            "payer_attributed_provider": valid_npi("pcp_npi"),
-        },
+        {"year_month": codes.year_month("mem_mth_st_dt")},
     )
     picked = pick_current(
         months,
@@ -124,6 +128,9 @@ def intermediate_provider_attribution(
         {
             "person_id": person_id(profile, "member_id"),
             "patient_id": F.col("member_id"),
+            # Checked once per month kept, not on every row of every cumulative delivery.
+            "payer_attributed_provider": valid_npi("payer_attributed_provider"),
+            "ingest_datetime": F.col("ingest_datetime").cast("timestamp"),
             "payer": F.lit(profile.payer),
             "data_source": F.lit(profile.data_source),
             "payer_attributed_provider_lob": F.lit(profile.line_of_business),

@@ -1,11 +1,13 @@
 """Pharmacy claims: the current version of each claim that was not reversed.
 
 A reversal removes a claim as a whole, so choosing the current version and detecting reversals
-can share one grouped aggregate: one scan, one shuffle, combined on the map side, and no join.
+can share one grouped aggregate: one wide shuffle, combined on the map side, and no join.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,13 @@ from claimloom.functions.codes import is_yes
 from claimloom.functions.ids import member_key, person_id, valid_npi
 from claimloom.operators.conform import conform, renamed
 from claimloom.operators.pick import best, then_all_others
-from claimloom.operators.reversal import has_both_signs, not_in_gate
+from claimloom.operators.reversal import (
+    has_both_signs,
+    is_any_reversed,
+    kept_by_not_in,
+    reversed_in,
+    sign_facts,
+)
 from claimloom.operators.snapshot import latest_snapshot
 from claimloom.payer import DEFAULT_PROFILE, PayerProfile
 from claimloom.schemas import PHARMACY_CLAIM
@@ -26,6 +34,7 @@ RENAMED = {
     "claim_id": "int_clm_num",
     "plan": "lob",
     "dispensing_provider_npi": "pharm_npi",
+    "prescribing_provider_npi": "clm_pdea_npi",
     "dispensing_date": "svcdt",
     "ndc_code": "clm_ndc",
     "paid_date": "pddate",
@@ -50,35 +59,49 @@ VERSION_ORDER = ("_current", "file_date", "ingest_datetime", "file_name")
 
 
 def read_claims(staged: DataFrame) -> DataFrame:
-    """Row-local part. The dispenser's identifier is taken over unchecked."""
+    """Row-local part. Provider identifiers are taken over as they are."""
     computed: dict[str, Column] = {new: to_double(raw) for new, raw in NUMBERS.items()}
     computed |= {
         "member_id": member_key(),
-        "prescribing_provider_npi": valid_npi("clm_pdea_npi"),
         "refills": to_int("num_refills"),
         "_current": is_yes("rx_curr_clm_ind"),
     }
     return renamed(staged, RENAMED, computed)
 
 
+def _current_versions(rows: DataFrame) -> DataFrame:
+    """The best version of each claim, and whether the claim was reversed."""
+    per_claim = rows.groupBy(CLAIM).agg(
+        best(then_all_others(rows.drop(CLAIM), VERSION_ORDER)).alias("_row"),
+        *(fact.alias(name) for name, fact in sign_facts("allowed_amount").items()),
+    )
+    return per_claim.select(CLAIM, "_row.*", has_both_signs("_low", "_high").alias("_reversed"))
+
+
 def intermediate_pharmacy_claims(
-    staged: DataFrame, profile: PayerProfile = DEFAULT_PROFILE
+    staged: DataFrame, profile: PayerProfile = DEFAULT_PROFILE, newest: dt.date | None = None
 ) -> DataFrame:
     """Staged pharmacy claims to the output contract.
 
     Reversed claims are removed with the meaning of NOT IN. The winning version is chosen
     first; if it has no drug code its claim is gone.
+
+    Claims without a number are a branch of their own, whose test for NULL reaches the Parquet
+    reader. They alone depend on whether anything was reversed; the pass that finds out has "is
+    there such a claim" among its filters, and where the table is partitioned by file date it
+    opens no file if there is none.
     """
-    rows = read_claims(latest_snapshot(staged))
-    per_claim = rows.groupBy(CLAIM).agg(
-        best(then_all_others(rows.drop(CLAIM), VERSION_ORDER)).alias("_row"),
-        F.min("allowed_amount").alias("_low"),
-        F.max("allowed_amount").alias("_high"),
+    rows = read_claims(latest_snapshot(staged, newest=newest))
+    unnamed, named = rows.where(F.col(CLAIM).isNull()), rows.where(F.col(CLAIM).isNotNull())
+    amount = "allowed_amount"
+    null_reversed = reversed_in(unnamed, amount)
+    any_unnamed = unnamed.select(F.count("*") > 0).scalar()
+    any_reversed = is_any_reversed(named.where(any_unnamed), [CLAIM], amount)
+    winners = (
+        _current_versions(named)
+        .where(kept_by_not_in("_reversed", null_reversed))
+        .unionByName(_current_versions(unnamed).where(~F.col("_reversed") & ~any_reversed))
     )
-    both_signs = has_both_signs("_low", "_high")
-    # The gate re-reads claim number and amount only.
-    gate = not_in_gate(per_claim.where(both_signs).select(CLAIM), CLAIM)
-    winners = per_claim.where(~both_signs & gate).select(CLAIM, "_row.*")
     return conform(
         winners.where(F.col("ndc_code").isNotNull()),
         PHARMACY_CLAIM,
@@ -86,6 +109,9 @@ def intermediate_pharmacy_claims(
             # One row per claim is left, so numbering the lines of a claim always gives 1.
             "claim_line_number": F.lit(1),
             "person_id": person_id(profile, "member_id"),
+            # Checked once per claim, not on every delivered row.
+            "prescribing_provider_npi": valid_npi("prescribing_provider_npi"),
+            "ingest_datetime": F.col("ingest_datetime").cast("timestamp"),
             "payer": F.lit(profile.payer),
             "payer_type": F.lit(profile.payer_type),
             # Strict casts: only after the choice, so that a discarded row can not fail the job.

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimloom.payer import PayerProfile
-from claimloom.schemas import TABLE_COMMENTS
+from claimloom.schemas import PASSTHROUGH, TABLE_COMMENTS
 
 # Names of the raw tables.
 HMO_MEMBER = "commercial_hmo_member"
@@ -53,23 +57,173 @@ def database_of(spark: SparkSession, layer: str | None) -> str:
     return spark.catalog.currentDatabase() if layer is None else layer.strip()
 
 
+class TableSink:
+    """Full refreshes of a layer's tables, in two steps.
+
+    ``store`` writes a pending table and touches nothing else, so a write that fails leaves the
+    published table as it was. ``publish`` switches by renaming: the old table steps aside, the
+    pending one takes its name, and only then the old one is dropped.
+    """
+
+    def __init__(self, spark: SparkSession, layer: str | None = None, fmt: str = "parquet"):
+        self.spark, self.fmt = spark, fmt
+        self.database = database_of(spark, layer)
+
+    def store(self, df: DataFrame, name: str) -> str:
+        """A pending table with the rows; returns its name."""
+        self.spark.sql("CREATE DATABASE IF NOT EXISTS IDENTIFIER(:db)", args={"db": self.database})
+        pending = f"{self.database}.{name}__pending_{uuid.uuid4().hex[:12]}"
+        try:
+            df.write.format(self.fmt).saveAsTable(pending)
+            if name in TABLE_COMMENTS:
+                self._sql(f"COMMENT ON TABLE IDENTIFIER(:t) IS {_literal(TABLE_COMMENTS[name])}", t=pending)
+        except Exception:
+            self.discard(pending)
+            raise
+        return pending
+
+    def publish(self, pending: str, name: str) -> str:
+        """The pending table under its own name; returns that."""
+        table = f"{self.database}.{name}"
+        old = f"{self.database}.{name}__old_{uuid.uuid4().hex[:12]}"
+        replaces = self.spark.catalog.tableExists(table)
+        if replaces:
+            self._rename(table, old)
+        try:
+            self._rename(pending, table)
+        except Exception:
+            if replaces:
+                self._rename(old, table)
+            raise
+        if replaces:
+            self._sql("DROP TABLE IDENTIFIER(:t)", t=old)
+        return table
+
+    def discard(self, pending: str) -> None:
+        self._sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", t=pending)
+
+    def read(self, where: str) -> DataFrame:
+        return self.spark.read.table(where)
+
+    def _rename(self, old: str, new: str) -> None:
+        self._sql("ALTER TABLE IDENTIFIER(:old) RENAME TO IDENTIFIER(:new)", old=old, new=new)
+
+    def _sql(self, text: str, **names: str) -> None:
+        self.spark.sql(text, args=names)
+
+
+class FileSink:
+    """Full refreshes of folders below ``root``, in the same two steps, where there is no catalog.
+
+    Names that begin with a dot are not read by Spark. On stores without a rename of folders the
+    switch copies; readers should go through a catalog there.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
+        self.spark, self.root, self.fmt = spark, root.rstrip("/"), fmt
+
+    def store(self, df: DataFrame, name: str) -> str:
+        pending = f"{self.root}/.{name}-pending-{uuid.uuid4().hex}"
+        try:
+            df.write.format(self.fmt).save(pending)
+        except Exception:
+            self.discard(pending)
+            raise
+        return pending
+
+    def publish(self, pending: str, name: str) -> str:
+        path = f"{self.root}/{name}"
+        old = f"{self.root}/.{name}-old-{uuid.uuid4().hex}"
+        replaces = self._system(path).exists(self._path(path))
+        if replaces:
+            self._rename(path, old)
+        try:
+            self._rename(pending, path)
+        except Exception:
+            if replaces:
+                self._rename(old, path)
+            raise
+        if replaces:
+            self.discard(old)
+        return path
+
+    def discard(self, pending: str) -> None:
+        self._system(pending).delete(self._path(pending), True)
+
+    def read(self, where: str) -> DataFrame:
+        return self.spark.read.format(self.fmt).load(where)
+
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(name)
+
+    def _system(self, name: str):
+        return self._path(name).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _rename(self, old: str, new: str) -> None:
+        if not self._system(old).rename(self._path(old), self._path(new)):
+            raise OSError(f"{old} could not become {new}")
+
+
+Sink = TableSink | FileSink
+
+
 def write_layer(df: DataFrame, name: str, layer: str | None = None, fmt: str = "parquet") -> str:
     """Full refresh of a layer's table; returns its qualified name. Column comments go along."""
-    spark = df.sparkSession
-    database = database_of(spark, layer)
-    spark.sql("CREATE DATABASE IF NOT EXISTS IDENTIFIER(:db)", args={"db": database})
-    table = f"{database}.{name}"
-    df.write.mode("overwrite").format(fmt).saveAsTable(table)
-    if name in TABLE_COMMENTS:
-        spark.sql(f"COMMENT ON TABLE {table} IS '{TABLE_COMMENTS[name]}'")
-    return table
+    sink = TableSink(df.sparkSession, layer, fmt)
+    return sink.publish(sink.store(df, name), name)
 
 
 def write_files(df: DataFrame, name: str, root: str, fmt: str = "parquet") -> str:
     """Full refresh of a folder, where there is no catalog; returns its path."""
-    path = f"{root}/{name}"
-    df.write.mode("overwrite").format(fmt).save(path)
-    return path
+    sink = FileSink(df.sparkSession, root, fmt)
+    return sink.publish(sink.store(df, name), name)
+
+
+def store_staging_views(
+    spark: SparkSession, raw_database: str, layer: str, views: dict[str, tuple[str, T.StructType]]
+) -> list[str]:
+    """Staging relations as stored views (name: raw table and contract); returns their names.
+
+    Their SELECT follows from the contract: strict casts of the raw columns, in order. As stored
+    objects they outlive the session.
+    """
+    database = database_of(spark, layer)
+    spark.sql("CREATE DATABASE IF NOT EXISTS IDENTIFIER(:db)", args={"db": database})
+    stored = []
+    for name, (table, schema) in views.items():
+        columns = ", ".join(
+            f"`{f.name}`" if f.name in PASSTHROUGH else f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+            for f in schema
+        )
+        spark.sql(
+            f"CREATE OR REPLACE VIEW IDENTIFIER(:v) AS SELECT {columns} FROM `{raw_database.strip()}`.`{table}`",
+            args={"v": f"{database}.{name}"},
+        )
+        stored.append(f"{database}.{name}")
+    return stored
+
+
+def newest_partition(spark: SparkSession, table: str, column: str = "date_id") -> dt.date | None:
+    """The newest date of a table partitioned by it that has rows, from the catalog.
+
+    Reads no data file but those of the newest partitions, until one has a row. None for a table
+    that is partitioned otherwise or not at all.
+    """
+    if [c.name for c in spark.catalog.listColumns(table) if c.isPartition] != [column]:
+        return None
+    listed = spark.sql("SHOW PARTITIONS IDENTIFIER(:t)", args={"t": table}).collect()
+    values = {row[0].split("=", 1)[1] for row in listed}
+    for value in sorted((v for v in values if v != "__HIVE_DEFAULT_PARTITION__"), reverse=True):
+        date = dt.date.fromisoformat(value)
+        if not spark.read.table(table).where(F.col(column) == F.lit(date)).isEmpty():
+            return date
+    return None
+
+
+def _literal(text: str) -> str:
+    """A SQL string."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def register_views(relations: dict[str, DataFrame]) -> None:

@@ -1,25 +1,31 @@
 """Sources, sinks and the whole build."""
 
+import uuid
+
 import pytest
 from compare import rows_of_spark
-from conftest import run_time
+from conftest import DAY, OLD_DAY, run_time
 from pyspark.sql import functions as F
 
 from claimloom import DEFAULT_PROFILE
 from claimloom.__main__ import main
+from claimloom.operators.snapshot import latest_snapshot
 from claimloom.plans import build
+from claimloom.sources import tables
 from claimloom.sources.tables import (
     HMO_MEMBER,
     MEDICAL_CLAIMS,
     PHARMACY_CLAIMS,
     PPO_MEMBER,
     RAW_TABLES,
+    FileSink,
     Layers,
+    TableSink,
     database_of,
+    newest_partition,
     raw_from_catalog,
     raw_from_files,
     register_views,
-    write_files,
     write_layer,
 )
 from workload.raw_tables import raw_tables
@@ -37,7 +43,7 @@ def clean_raw(medical_rows, pharmacy_rows, member_rows):
 
 
 def files(spark, root):
-    return dict(write=lambda df, name: write_files(df, name, str(root)), read=spark.read.parquet)
+    return dict(sink=FileSink(spark, str(root)))
 
 
 def test_layer_names():
@@ -87,25 +93,102 @@ def test_build_writes_four_tables_and_passes(spark, tmp_path, clean_raw):
 def test_build_skips_outputs_of_a_failed_input(spark, tmp_path, clean_raw, pharmacy_rows):
     raw = clean_raw | {PHARMACY_CLAIMS: pharmacy_rows(dict(), dict(int_clm_num=None))}
     report = build.build(raw, **files(spark, tmp_path))
-    assert report.skipped == ["pharmacy_claim"]
+    assert list(report.skipped) == ["pharmacy_claim"] and not report.errors
     assert [(c.layer, c.table_name, c.failures) for c in report.failed] == [
         ("staging", PHARMACY_CLAIMS, 1)
     ]
     assert set(report.written) == {"eligibility", "provider_attribution", "medical_claim"}
 
 
-def test_build_counts_failures_of_written_rows(spark, tmp_path, clean_raw, medical_rows):
-    raw = clean_raw | {
-        MEDICAL_CLAIMS: medical_rows(
-            dict(), dict(clm_line_num=2, bcmbrnbr=None), dict(clm_line_num=None)
-        )
+def broken_medical(medical_rows):
+    return {MEDICAL_CLAIMS: medical_rows(dict(), dict(clm_line_num=2, bcmbrnbr=None))}
+
+
+@pytest.fixture(params=["files", "tables"])
+def sink(request, spark, tmp_path):
+    if request.param == "files":
+        return FileSink(spark, str(tmp_path))
+    return TableSink(spark, f"safe_{uuid.uuid4().hex[:8]}")
+
+
+def test_failed_intermediate_check_keeps_the_published_table(sink, clean_raw, medical_rows):
+    first = build.build(clean_raw, sink)
+    assert first.ok
+    before = rows_of_spark(sink.read(first.written["medical_claim"]))
+    report = build.build(clean_raw | broken_medical(medical_rows), sink)
+    assert {(c.layer, c.column_name, c.failures) for c in report.failed} == {
+        ("intermediate", "person_id", 1)
     }
+    assert list(report.skipped) == ["medical_claim"] and not report.ok
+    assert set(report.written) == set(build.FINALIZE) - {"medical_claim"}
+    assert rows_of_spark(sink.read(first.written["medical_claim"])) == before
+
+
+def test_raising_refresh_keeps_the_published_table(sink, clean_raw):
+    where = sink.publish(sink.store(clean_raw[MEDICAL_CLAIMS], "some"), "some")
+    before = rows_of_spark(sink.read(where))
+    with pytest.raises(Exception, match="too bad"):
+        sink.store(clean_raw[MEDICAL_CLAIMS].withColumn("lob", F.raise_error(F.lit("too bad"))), "some")
+    assert rows_of_spark(sink.read(where)) == before
+    again = sink.publish(sink.store(clean_raw[MEDICAL_CLAIMS].limit(1), "some"), "some")
+    assert again == where and sink.read(where).count() == 1
+
+
+def test_nothing_pending_is_left(spark, clean_raw, medical_rows):
+    sink = TableSink(spark, "tidy")
+    build.build(clean_raw, sink)
+    build.build(clean_raw | broken_medical(medical_rows), sink)
+    assert {t.name for t in spark.catalog.listTables("tidy")} == set(build.FINALIZE)
+
+
+def test_final_checks_are_reported(spark, tmp_path, clean_raw, medical_rows):
+    raw = clean_raw | {MEDICAL_CLAIMS: medical_rows(dict(), dict(clm_line_num=None))}
     report = build.build(raw, **files(spark, tmp_path))
     assert {(c.layer, c.column_name, c.failures) for c in report.failed} == {
-        ("intermediate", "person_id", 1),
-        ("final", "person_id", 1),
-        ("final", "claim_line_number", 1),
+        ("final", "claim_line_number", 1)
     }
+    assert "medical_claim" in report.written
+
+
+def test_one_bad_value_stops_its_tables_only(sink, clean_raw):
+    raw = clean_raw | {
+        HMO_MEMBER: clean_raw[HMO_MEMBER].withColumn("mem_birth_dt", F.lit("19x0-01-01"))
+    }
+    report = build.build(raw, sink)
+    assert set(report.written) == set(build.FINALIZE) - {"eligibility"}
+    assert "19x0-01-01" in report.errors["eligibility"] and not report.ok
+    assert {c.table_name for c in report.checks if c.layer == "final"} == set(report.written)
+
+
+def test_intermediate_check_sees_every_row(spark, tmp_path, clean_raw, monkeypatch):
+    """Rows that can not become full months are checked, too."""
+    seen = []
+    whole = build.intermediate_relation
+
+    def spy(name, raw, profile, full_months_only=False, newest=None):
+        seen.append(full_months_only)
+        return whole(name, raw, profile, full_months_only, newest)
+
+    monkeypatch.setattr(build, "intermediate_relation", spy)
+    build.build(clean_raw, **files(spark, tmp_path))
+    assert seen == [False] * 4
+
+
+def test_comments_may_hold_quotes(spark, monkeypatch):
+    monkeypatch.setitem(tables.TABLE_COMMENTS, "quoted", "it's a \\ 'table'")
+    table = write_layer(spark.range(1), "quoted", "layer_q")
+    details = {r.col_name: r.data_type for r in spark.sql(f"describe extended {table}").collect()}
+    assert details["Comment"] == "it's a \\ 'table'"
+
+
+def test_newest_partition_has_rows(spark, medical_rows):
+    spark.sql("create database if not exists parts")
+    rows = medical_rows(dict(date_id=OLD_DAY), dict(date_id=DAY), dict(date_id=DAY))
+    rows.write.mode("overwrite").partitionBy("date_id").saveAsTable("parts.medical")
+    spark.sql("alter table parts.medical add partition (date_id = date'2024-05-31')")
+    assert newest_partition(spark, "parts.medical") == DAY
+    raw = spark.read.table("parts.medical")
+    assert latest_snapshot(raw, newest=DAY).count() == latest_snapshot(raw).count() == 2
 
 
 def test_job_from_catalog(spark, clean_raw, capsys):
@@ -117,8 +200,10 @@ def test_job_from_catalog(spark, clean_raw, capsys):
     out = capsys.readouterr().out
     assert code == 0 and "FAIL" not in out and "SKIPPED" not in out
     assert spark.read.table("job_out.medical_claim").count() == 3
-    assert spark.read.table("int_bcbs_member_eligibility").count() == 3
-    assert spark.read.table("stg_bcbs_medical_claims").count() == 3
+    assert spark.read.table("bcbs_staging.stg_bcbs_medical_claims").count() == 3
+    assert not spark.catalog.tableExists("bcbs_intermediate.int_bcbs_member_eligibility")
+    main(["--raw-database", "delivered", "--final-database", "job_out", "--store-intermediate"])
+    assert spark.read.table("bcbs_intermediate.int_bcbs_member_eligibility").count() == 3
 
 
 def test_raw_from_files_in_any_format(spark, tmp_path, clean_raw):

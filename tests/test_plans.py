@@ -46,6 +46,8 @@ def test_contract_sizes():
 def always_null(df):
     """Columns that the optimizer knows to be NULL literals."""
     top = df._jdf.queryExecution().optimizedPlan()
+    while top.nodeName() == "Union":
+        top = top.children().apply(0)
     null_columns = []
     for expression in top.projectList().mkString("\u0001").split("\u0001"):
         if expression.startswith("null AS "):
@@ -77,6 +79,20 @@ def test_medical_placeholders(spark, sf_dir):
     assert all(counts[p] == 0 for p in placeholders)
 
 
+@pytest.mark.parametrize("name", ["provider_attribution", "pharmacy_claim", "medical_claim"])
+def test_identifiers_are_checked_after_the_choice(spark, sf_dir, name):
+    """No check digit is computed below the grouping or window that chooses a row."""
+    plan = build.final_relation(name, raw_tables(spark, sf_dir))._jdf.queryExecution().optimizedPlan()
+    lines = plan.toString().splitlines()
+    depth = {n: len(line) - len(line.lstrip(" :+-")) for n, line in enumerate(lines)}
+    checks = [n for n, line in enumerate(lines) if "uhn" in line]
+    chooses = [n for n, line in enumerate(lines) if line.lstrip(" :+-").startswith(("Window", "Aggregate"))]
+    assert checks and chooses
+    for check in checks:
+        below = [n for n in chooses if n > check and depth[n] > depth[check]]
+        assert below, lines[check][:200]
+
+
 @pytest.mark.parametrize("name", FINAL)
 def test_final_columns_and_types(spark, sf_dir, name):
     df = build.final_relation(name, raw_tables(spark, sf_dir))

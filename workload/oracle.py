@@ -10,7 +10,7 @@ from __future__ import annotations
 from claimloom.payer import DEFAULT_PROFILE as P
 from claimloom.plans.build import FINAL_NOT_NULL, FINAL_UNIQUE, INTERMEDIATE_NOT_NULL
 from claimloom.schemas import MEDICAL_RAW, MEMBER_RAW, PHARMACY_RAW
-from workload.raw_tables import MEDICAL_SQL, MEMBER_SQL, PHARMACY_SQL, TABLES
+from workload.raw_tables import MEDICAL_NULL_KEYS_SQL, MEDICAL_SQL, MEMBER_SQL, PHARMACY_SQL, TABLES
 
 _NAMES = {t: t for t in TABLES}
 
@@ -211,7 +211,8 @@ _READS = {
 }
 
 
-def _with(tables: list[str], select: str) -> str:
+def _with(tables: list[str], select: str, **instead: str) -> str:
+    """``select`` after the tables it needs; ``instead`` replaces some of them."""
     needed: list[str] = []
 
     def visit(name: str) -> None:
@@ -222,7 +223,8 @@ def _with(tables: list[str], select: str) -> str:
 
     for name in tables:
         visit(name)
-    return "with " + ",\n".join(f"{n} as ({CTE[n]})" for n in needed) + "\n" + select
+    text = CTE | instead
+    return "with " + ",\n".join(f"{n} as ({text[n]})" for n in needed) + "\n" + select
 
 
 def _columns(schema) -> str:
@@ -270,14 +272,32 @@ def _unique_report() -> str:
     return _with(list(_FINAL.values()), "\nunion all ".join(parts))
 
 
+def _passing(paid: str) -> str:
+    return f"""select int_clm_num, {paid} as paid, s3_path from rx_new
+where int_clm_num not in (
+  select int_clm_num from rx_new group by int_clm_num
+  having min({_dbl(paid)}) < 0 and max({_dbl(paid)}) > 0)"""
+
+
 def _not_in(paid: str) -> str:
-    return _with(
-        ["rx_new"],
-        f""", signed as (select int_clm_num, s3_path, {paid} as paid from rx_new)
-select int_clm_num, paid, s3_path from signed where int_clm_num not in (
-  select int_clm_num from signed group by int_clm_num
-  having min({_dbl('paid')}) < 0 and max({_dbl('paid')}) > 0)""",
-    )
+    return _with(["rx_new"], _passing(paid))
+
+
+UNSIGNED = "ltrim(paid, '-')"
+NULL_SIGNED = (
+    "case when int_clm_num is not null then paid when clm_ndc is null"
+    " then '-' || ltrim(paid, '-') else ltrim(paid, '-') end"
+)
+
+
+def _case_counts() -> str:
+    cases = {"some reversed": "paid", "nothing reversed": UNSIGNED, "null reversed": NULL_SIGNED}
+    parts = [
+        f"select count(int_clm_num) as named, count(*) filter (where int_clm_num is null) as unnamed,"
+        f" '{name}' as passing from ({_passing(paid)})"
+        for name, paid in cases.items()
+    ]
+    return _with(["rx_new"], "\nunion all ".join(parts))
 
 
 _MEMBER_ROW = f"""{MEMBER_KEY} as member_id, plan, mem_mth_st_dt, mem_mth_end_dt, mem_mth_cnt,
@@ -293,6 +313,24 @@ ORACLE: dict[str, str] = {
     "stage_medical": _with(["med"], f"select {_columns(MEDICAL_RAW)} from med"),
     "stage_pharmacy": _with(["rx"], f"select {_columns(PHARMACY_RAW)} from rx"),
     "table_sink": _with(["final_eligibility"], "select * from final_eligibility"),
+    "raw_files": _with(["rx"], f"select {_columns(PHARMACY_RAW)} from rx"),
+    "staging_view": _with(["rx"], f"select {_columns(PHARMACY_RAW)} from rx"),
+    "layer_table": _with(["final_attribution"], "select * from final_attribution"),
+    "lineage_from_text": _with(
+        ["final_attribution"],
+        "select member_id, plan, year_month, file_name, file_date, ingest_datetime"
+        " from final_attribution",
+    ),
+    "medical_claim_from_text": _with(["final_medical"], "select * from final_medical"),
+    **{
+        name: _with(
+            ["final_medical"],
+            "select * from final_medical",
+            med=MEDICAL_NULL_KEYS_SQL.format(**_NAMES),
+        )
+        for name in ("medical_claim_null_keys", "medical_claim_null_keys_hot")
+    },
+    "pharmacy_claim_from_files": _with(["final_pharmacy"], "select * from final_pharmacy"),
     "lineage": _with(
         ["med"],
         """select int_clm_num as claim_id, clm_line_num as claim_line_number,
@@ -323,11 +361,9 @@ where date_id = (select max(date_id) from shifted)""",
     "drop_reversed_claims_not_in": _with(
         ["rx_kept"], "select int_clm_num, paid, s3_path from rx_kept"
     ),
-    "not_in_with_nothing_reversed": _not_in("ltrim(paid, '-')"),
-    "not_in_with_null_reversed": _not_in(
-        "case when int_clm_num is not null then paid when clm_ndc is null"
-        " then '-' || ltrim(paid, '-') else ltrim(paid, '-') end"
-    ),
+    "not_in_with_nothing_reversed": _not_in(UNSIGNED),
+    "not_in_with_null_reversed": _not_in(NULL_SIGNED),
+    "not_in_case_counts": _case_counts(),
     "claim_type": _with(["types"], "select * from types"),
     "claim_type_of_lines": _with(
         ["types"],

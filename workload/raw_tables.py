@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimloom.schemas import PASSTHROUGH
+from claimloom.schemas import MEDICAL_RAW, PASSTHROUGH
 from claimloom.sources.tables import HMO_MEMBER, MEDICAL_CLAIMS, PHARMACY_CLAIMS, PPO_MEMBER
 
 MEDICAL_SQL = """
@@ -110,6 +110,16 @@ select case when event_id % 997 = 0 then null else cast(event_id % 4000 as strin
 from {events}
 """
 
+# Medical lines with missing claim numbers, line numbers and service dates mixed in.
+MISSING = {
+    "int_clm_num": "case when bprovnpi = '' then null else int_clm_num end",
+    "clm_line_num": "case when revenue_cd = '*' then null else clm_line_num end",
+    "svcdt": "case when dw_netwk_ind is null then null else svcdt end",
+}
+MEDICAL_NULL_KEYS_SQL = "select {} from ({}) as lines".format(
+    ", ".join(f"{MISSING.get(name, name)} as {name}" for name in MEDICAL_RAW.names), MEDICAL_SQL
+)
+
 TABLES = ("lineitem", "orders", "customer", "events")
 
 
@@ -130,8 +140,16 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def as_delivered(df: DataFrame) -> DataFrame:
-    """The same table with every contract column as text, as a raw file would have it."""
+def medical_with_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _derive(spark, sf_dir, MEDICAL_NULL_KEYS_SQL)
+
+
+def as_delivered(df: DataFrame, metadata: tuple[str, ...] = ()) -> DataFrame:
+    """The same table with every contract column as text, as a raw file would have it.
+
+    Metadata columns keep their types but for those named.
+    """
+    typed = set(PASSTHROUGH) - set(metadata)
     return df.select(
-        *(F.col(c) if c in PASSTHROUGH else F.col(c).cast(T.StringType()).alias(c) for c in df.columns)
+        *(F.col(c) if c in typed else F.col(c).cast(T.StringType()).alias(c) for c in df.columns)
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -12,20 +11,24 @@ from pyspark.sql import functions as F
 
 from claimloom.functions import amounts, codes, ids
 from claimloom.operators import classify, identifiers, pick, quality, reversal
-from claimloom.operators.skew import HotKeyRule
+from claimloom.operators.skew import DEFAULT_RULE, HotKeyRule
 from claimloom.operators.snapshot import latest_snapshot
 from claimloom.operators.staging import stage
 from claimloom.payer import DEFAULT_PROFILE
 from claimloom.plans import build, medical, members
 from claimloom.schemas import MEDICAL_RAW, MEMBER_RAW, PHARMACY_RAW
+from claimloom.sources.shared import new_folder
 from claimloom.sources.tables import (
     HMO_MEMBER,
     MEDICAL_CLAIMS,
     PHARMACY_CLAIMS,
     PPO_MEMBER,
+    raw_from_files,
+    store_staging_views,
     write_files,
+    write_layer,
 )
-from workload.raw_tables import as_delivered, raw_tables
+from workload.raw_tables import as_delivered, medical_with_null_keys, raw_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,10 +77,67 @@ def _stage_query(table: str, schema) -> Query:
 
 def table_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eligibility written as a table in the shared folder and read back."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = tempfile.mkdtemp(prefix="run-") if shared is None else f"{shared}/run-{uuid.uuid4()}"
     table = build.final_relation("eligibility", raw_tables(spark, sf_dir))
-    return _comparable(spark.read.parquet(write_files(table, "eligibility", root)))
+    where = write_files(table, "eligibility", new_folder(spark, "sink"))
+    return _comparable(spark.read.parquet(where))
+
+
+def _delivered_files(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All raw tables written as deliveries, by file date, and read with the file reader."""
+    root = new_folder(spark, "raw")
+    for name, df in raw_tables(spark, sf_dir).items():
+        df.write.partitionBy("date_id").parquet(f"{root}/{name}")
+    return raw_from_files(spark, root)
+
+
+def raw_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pharmacy deliveries as the file reader returns them."""
+    return _comparable(_delivered_files(spark, sf_dir)[PHARMACY_CLAIMS].select(*PHARMACY_RAW.names))
+
+
+def pharmacy_claim_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _comparable(build.final_relation("pharmacy_claim", _delivered_files(spark, sf_dir)))
+
+
+def _database(spark: SparkSession) -> str:
+    """A database of its own below the shared folder."""
+    name = f"run_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{new_folder(spark, 'db')}'")
+    return name
+
+
+def layer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Attribution written to a layer's database, twice, and read back from the catalog."""
+    database = _database(spark)
+    table = build.final_relation("provider_attribution", raw_tables(spark, sf_dir))
+    write_layer(table.limit(1), "provider_attribution", f" {database} ")
+    return _comparable(spark.read.table(write_layer(table, "provider_attribution", database)))
+
+
+def staging_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored staging view of pharmacy deliveries that are text, read by name."""
+    database = _database(spark)
+    write_layer(as_delivered(raw_tables(spark, sf_dir)[PHARMACY_CLAIMS]), PHARMACY_CLAIMS, database)
+    name = "stg_bcbs_pharmacy_claims"
+    views = {name: build.staging_views()[name]}
+    return _comparable(spark.read.table(store_staging_views(spark, database, database, views)[0]))
+
+
+def _text_deliveries(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    raw = raw_tables(spark, sf_dir)
+    return {name: as_delivered(df, ("_run_time",)) for name, df in raw.items()}
+
+
+def lineage_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineage of member months whose ingestion time arrives as text."""
+    rows = build.intermediate_relation("provider_attribution", _text_deliveries(spark, sf_dir))
+    return _comparable(
+        rows.select("member_id", "plan", "year_month", "file_name", "file_date", "ingest_datetime")
+    )
+
+
+def medical_claim_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _comparable(build.final_relation("medical_claim", _text_deliveries(spark, sf_dir)))
 
 
 def lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,6 +212,23 @@ def not_in_with_null_reversed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _not_in(spark, sf_dir, f"if(int_clm_num is null, {signed}, paid)")
 
 
+def not_in_case_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that pass, of those with and without a claim number, in each of the three cases."""
+    cases = {
+        "some reversed": drop_reversed_claims_not_in,
+        "nothing reversed": not_in_with_nothing_reversed,
+        "null reversed": not_in_with_null_reversed,
+    }
+    counts = [F.count("int_clm_num").alias("named"), F.count_if(F.col("int_clm_num").isNull()).alias("unnamed")]
+    return reduce(
+        DataFrame.unionByName,
+        (
+            query(spark, sf_dir).agg(*counts).withColumn("passing", F.lit(name))
+            for name, query in cases.items()
+        ),
+    )
+
+
 # --- claims ------------------------------------------------------------------------------
 
 
@@ -403,13 +480,25 @@ def medical_claim_with_hot_claims(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def _null_keys(rule: HotKeyRule) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        staged = stage(medical_with_null_keys(spark, sf_dir), MEDICAL_RAW)
+        return _comparable(medical.intermediate_medical_claims(staged, rule=rule))
+
+    return query
+
+
 QUERIES: dict[str, Query] = {
     "stage_hmo_members": _stage_query(HMO_MEMBER, MEMBER_RAW),
     "stage_ppo_members": _stage_query(PPO_MEMBER, MEMBER_RAW),
     "stage_medical": _stage_query(MEDICAL_CLAIMS, MEDICAL_RAW),
     "stage_pharmacy": _stage_query(PHARMACY_CLAIMS, PHARMACY_RAW),
     "table_sink": table_sink,
+    "raw_files": raw_files,
+    "layer_table": layer_table,
+    "staging_view": staging_view,
     "lineage": lineage,
+    "lineage_from_text": lineage_from_text,
     "latest_snapshot_medical": latest_snapshot_medical,
     "latest_snapshot_pharmacy": latest_snapshot_pharmacy,
     "latest_snapshot_member_union": latest_snapshot_member_union,
@@ -421,6 +510,7 @@ QUERIES: dict[str, Query] = {
     "drop_reversed_claims_not_in": drop_reversed_claims_not_in,
     "not_in_with_nothing_reversed": not_in_with_nothing_reversed,
     "not_in_with_null_reversed": not_in_with_null_reversed,
+    "not_in_case_counts": not_in_case_counts,
     "claim_type": claim_type,
     "claim_type_of_lines": claim_type_of_lines,
     "claim_span": claim_span,
@@ -451,5 +541,9 @@ QUERIES: dict[str, Query] = {
     "provider_attribution": _final("provider_attribution"),
     "medical_claim": _final("medical_claim"),
     "medical_claim_with_hot_claims": medical_claim_with_hot_claims,
+    "medical_claim_from_text": medical_claim_from_text,
+    "medical_claim_null_keys": _null_keys(DEFAULT_RULE),
+    "medical_claim_null_keys_hot": _null_keys(FEW_ROWS_ARE_HOT),
     "pharmacy_claim": _final("pharmacy_claim"),
+    "pharmacy_claim_from_files": pharmacy_claim_from_files,
 }
