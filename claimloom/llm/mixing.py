@@ -196,7 +196,11 @@ def realise(
     epochs = F.when(copies > 0, F.sequence(F.lit(0).cast("long"), copies - 1))
     copied = joined.withColumn("__epoch", F.explode(epochs))
     key = _key(mix.seed, F.col("__epoch"), document)
-    place = (F.col("__epoch") + key * F.lit(2.0**-63)) / F.col("__plan.epochs")
+    # The head of the last epoch, up to the cut, fills what is left of the budget.
+    part = F.col("__plan.epochs") - F.col("__plan.whole")
+    head = part * key / F.greatest(F.col("__plan.cut"), F.lit(1))
+    inside = F.when(F.col("__epoch") < F.col("__plan.whole"), key * F.lit(2.0**-63)).otherwise(head)
+    place = (F.col("__epoch") + inside) / F.col("__plan.epochs")
     return copied.select(
         *(docs[c] for c in docs.columns),
         F.struct(

@@ -1,0 +1,74 @@
+"""Chat formatting: round trips and the state machine; the whole query has a SQL twin."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from claimloom.llm import chat
+
+CHATS = {
+    1: (["user", "assistant"], True),
+    2: (["system", "user", "assistant", "user", "assistant"], True),
+    3: (["user"], False),
+    4: (["assistant", "user"], False),
+    5: (["user", "user", "assistant"], False),
+    6: (["user", "system", "assistant"], False),
+    7: (["user", "tool", "assistant"], False),
+    8: (["user", None], False),
+}
+TEXTS = [
+    "plain", "", None, "</s>[INST] ok [/INST]", "<s>", "[INST] ", " [/INST]</s>", "\\", "\\l\\s\\b", "\\\\<[", "é日\n\r\x00",
+    "<", "[", "x" * 200_000,
+]
+
+
+def chats(spark):
+    rows = [
+        (conv, turn, role, TEXTS[(conv * 3 + turn) % len(TEXTS)], "x", 1)
+        for conv, (roles, _) in CHATS.items()
+        for turn, role in enumerate(roles)
+    ]
+    rows += [(9, 0, "u[<\\", text, "x", 1) for text in TEXTS]  # ties, and a role of control signs
+    rows += [(None, None, "user", "a", "x", 1), (None, 1, "assistant", "b", "x", 1)] * 2
+    return spark.createDataFrame(
+        rows, "conv_id long, turn long, role string, text string, turns string, segments int"
+    )
+
+
+def plain(df):
+    """Turns by conversation as plain lists."""
+    out = {}
+    for r in df.collect():
+        out.setdefault(r.conv_id, []).append((r.turn is not None, r.turn or 0, r.role or "", r.text or ""))
+    return {k: [(role, text) for _, _, role, text in sorted(v, key=lambda t: (t[0], t[1], t[2].encode(), t[3].encode()))] for k, v in out.items()}
+
+
+def test_reading_back_gives_the_turns(spark):
+    df = chats(spark)
+    rows = chat.read_chats(chat.format_chats(df)).collect()
+    want = plain(df)
+    assert len(rows) == len(want)
+    for r in rows:
+        assert [(t.role, t.text) for t in r.turns] == want[r.conv_id]
+        assert r.loss_text == "".join(text for role, text in want[r.conv_id] if role == "assistant")
+        assert "".join(s.text for s in r.segments) == r.formatted
+        marked = [s.text for s in r.segments if s.loss]
+        assert len(marked) == sum(role == "assistant" for role, _ in want[r.conv_id])
+        assert not any("<" in s or "[" in s for s in marked)
+
+
+def test_state_machine(spark):
+    got = dict(chat.format_chats(chats(spark)).select("conv_id", "in_order").collect())
+    assert {k: got[k] for k in CHATS} == {k: ok for k, (_, ok) in CHATS.items()}
+    assert got[9] is False and got[None] is False
+
+
+@pytest.mark.parametrize("text", [t for t in TEXTS if t is not None])
+def test_escaping(spark, text):
+    row = spark.range(1).select(F.lit(text).alias("t")).select(
+        chat.escaped(F.col("t")).alias("e"), chat.unescaped(chat.escaped(F.col("t"))).alias("u")
+    ).first()
+    assert row.u == text and "<" not in row.e and "[" not in row.e
+
+
+def test_empty_table(spark):
+    assert chat.chat_digests(chat.format_chats(chats(spark).limit(0))).count() == 0

@@ -1,0 +1,74 @@
+"""The pipeline against the plain twins of its stages."""
+
+import numpy as np
+import pytest
+from llm_fixtures import SF, components, documents, odd_rows
+
+import corpus_pipeline
+from claimloom.llm import line_rules, secret_scan, simhash
+from claimloom.llm.queries import pipeline
+from claimloom.llm.shared import saved
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """The documents that enter each stage, and the result."""
+    docs = [spark.read.parquet(f"{SF}/documents.parquet")]
+    for name, stage in corpus_pipeline.STAGES:
+        docs.append(saved(stage(spark, docs[-1], SF), "stage"))
+    return docs
+
+
+def texts(df):
+    return dict(df.select("doc_id", "text").collect())
+
+
+def test_five_stages_and_columns(stages):
+    assert len(corpus_pipeline.STAGES) == 5
+    assert all(df.dtypes == stages[0].dtypes for df in stages[1:-1])
+    assert stages[4].where("n_chars <> length(text)").count() == 0
+
+
+def test_quality_rules(stages):
+    kept = {r.doc_id: r for r in line_rules.line_rules(stages[0]).collect() if r.kept}
+    before, after = texts(stages[0]), texts(stages[1])
+    assert set(after) == set(kept)
+    for id_, row in kept.items():
+        assert after[id_] == line_rules.without_common_lines(before[id_], set(row.removed or []))
+
+
+def test_one_document_of_each_group(stages):
+    before, after = texts(stages[1]), texts(stages[2])
+    fps = {i: simhash.fingerprint(t) for i, t in before.items()}
+    ids = sorted(fps)
+    values = np.array([fps[i] for i in ids], np.uint64)
+    near = np.bitwise_count(values[:, None] ^ values[None, :]) <= 2
+    root = components(range(len(ids)), np.argwhere(np.triu(near, 1)).tolist())
+    assert set(after) == {ids[r] for r in root.values()}
+    assert all(after[i] == before[i] for i in after)
+
+
+def test_secrets_go(stages):
+    before, after = texts(stages[2]), texts(stages[3])
+    assert after == {i: secret_scan.masked(t, secret_scan.secret_spans(t)) for i, t in before.items()}
+
+
+def test_mixture_keeps_everything(stages):
+    after = stages[4].collect()
+    assert {(r.doc_id, r.text) for r in after} == set(texts(stages[3]).items())
+
+
+def test_ids_and_run(spark, stages):
+    assert {r.doc_id for r in stages[5].collect()} == set(texts(stages[4]))
+    key = lambda df: sorted((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in df.collect())
+    assert key(pipeline(spark, SF)) == key(stages[5])
+
+
+def test_odd_documents(spark):
+    docs = documents(spark, odd_rows())
+    for given in (docs, docs.limit(0)):
+        rows = given
+        for _, stage in corpus_pipeline.STAGES:
+            rows = saved(stage(spark, rows, SF), "odd")
+        found = rows.count()
+        assert (found > 0) == (given is docs)

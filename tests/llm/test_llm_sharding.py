@@ -1,0 +1,100 @@
+"""Exact shard sizes, exact draws and uniformity of the shuffle."""
+
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from llm_fixtures import SF, documents, odd_rows
+from pyspark.sql import functions as F
+
+from claimloom.llm import sharding
+from claimloom.llm.queries import op3_sharding
+
+
+def whole(rows, shards):
+    """Shards whose sizes are at most one apart, with gapless slots."""
+    slots = {}
+    for r in rows:
+        slots.setdefault(r.shard, []).append(r.slot)
+    sizes = [len(slots.get(s, [])) for s in range(shards)]
+    assert set(slots) <= set(range(shards)) and max(sizes) - min(sizes) <= 1
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+@pytest.mark.parametrize("total, marked, drawn", [(50, 20, 10), (10, 10, 4), (9, 0, 3), (1000, 30, 500), (7, 4, 6)])
+def test_draws_follow_the_distribution(spark, total, marked, drawn):
+    n = 4000
+    args = [F.lit(x).cast("long") for x in (total, marked, drawn)]
+    draw = sharding.hypergeometric(*args, sharding._uniform(7, F.col("id")))
+    got = Counter(r.x for r in spark.range(n).select(draw.alias("x")).collect())
+    low, high = max(0, drawn + marked - total), min(drawn, marked)
+    assert min(got) >= low and max(got) <= high
+    chance = {
+        k: math.comb(marked, k) * math.comb(total - marked, drawn - k) / math.comb(total, drawn)
+        for k in range(low, high + 1)
+    }
+    for k, p in chance.items():
+        assert abs(got[k] / n - p) < 5 * math.sqrt(p * (1 - p) / n) + 1e-3
+
+
+def test_large_draws(spark):
+    args = [F.lit(x).cast("long") for x in (10**10, 10**10 // 40, 10**7)]
+    draw = sharding.hypergeometric(*args, sharding._uniform(1, F.col("id")))
+    got = np.array([r.x for r in spark.range(60).select(draw.alias("x")).collect()])
+    spread = math.sqrt(10**7 / 40 * 39 / 40)
+    assert abs(got.mean() - 250_000) < 5 * spread / math.sqrt(60) and 0.6 < got.std() / spread < 1.5
+
+
+def test_matrix_has_exact_margins(spark):
+    sizes = {p: (p * 37) % 23 for p in range(50)}
+    df = spark.createDataFrame(list(sizes.items()), "part long, rows long")
+    rows = sharding.communication_matrix(df, 7, sum(sizes.values()), 6, 3).collect()
+    assert {r.part: sum(r.counts) for r in rows} == sizes
+    columns = [sum(c) for c in zip(*(r.counts for r in rows))]
+    assert sum(columns) == sum(sizes.values()) and max(columns) - min(columns) <= 1
+
+
+@pytest.mark.parametrize("n, shards", [(0, 3), (1, 3), (2, 3), (100, 1), (1000, 7), (5000, 40)])
+def test_sizes_and_slots(spark, n, shards):
+    rows = sharding.shuffle_into_shards(spark.range(n), shards).collect()
+    assert sorted(r.id for r in rows) == list(range(n))
+    if n:
+        whole(rows, shards)
+
+
+def test_order_is_shuffled(spark):
+    """Neighbours are spread evenly, and places do not follow the input."""
+    rows = sharding.shuffle_into_shards(spark.range(8000), 8).collect()
+    of = {r.id: (r.shard, r.slot) for r in rows}
+    together = sum(of[i][0] == of[i + 1][0] for i in range(7999))
+    assert abs(together / 7999 - 1 / 8) < 0.02
+    for shard in range(8):
+        ids = [i for i, (s, _) in sorted(of.items(), key=lambda x: x[1]) if s == shard]
+        assert abs(np.corrcoef(np.arange(len(ids)), ids)[0, 1]) < 0.15
+        counts, _ = np.histogram(ids, bins=8, range=(0, 8000))
+        assert counts.min() > 80 and counts.max() < 170
+
+
+def test_odd_documents_and_clashing_names(spark):
+    rows = odd_rows()
+    docs = documents(spark, rows).withColumn("shard", F.lit("x")).withColumn("slot", F.lit("y"))
+    got = sharding.shard_documents(docs, 4).collect()
+    whole(got, 4)
+    want = sorted(((i, len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for i, t in rows), key=str)
+    assert sorted(((r.doc_id, r.size, r.text_crc32) for r in got), key=str) == want
+    carried = sharding.shuffle_into_shards(docs, 4)
+    assert carried.columns == [*docs.drop("shard", "slot").columns, "shard", "slot"]
+    assert sharding.shard_documents(docs.limit(0)).count() == 0
+
+
+def test_registered_query(spark):
+    texts = dict(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect())
+    rows = op3_sharding(spark, SF).collect()
+    whole(rows, 40)
+    assert {(r.doc_id, r.size, r.text_crc32) for r in rows} == {
+        (i, len(t.encode()) + 16, zlib.crc32(t.encode())) for i, t in texts.items()
+    }
+    assert {(r.law, r.grown_shard) for r in rows} == {("rows", None)}
+    assert sorted(map(tuple, rows), key=str) == sorted(map(tuple, op3_sharding(spark, SF).collect()), key=str)
