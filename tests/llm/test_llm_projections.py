@@ -66,7 +66,8 @@ def test_hot_cells_in_blocks(spark):
     links = p.class_links(classes, plan, block=20).groupBy("cid").sum("links")
     got = {r[0]: r[1] for r in links.collect()}
     want = {i: n for i, n, _ in plain(rows) if n}
-    assert sum(got.values()) >= 0.98 * sum(want.values())
+    # Pairs just above the threshold, each found with chance 0.98 or a little more.
+    assert sum(got.values()) >= 0.94 * sum(want.values())
     assert all(got[i] <= want[i] for i in got)
 
 
