@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
@@ -27,6 +28,8 @@ ARCHIVE_BYTES = 64 << 20
 #: Ranges this close are read together, up to so many bytes at once.
 GAP_BYTES = 64 << 10
 READ_BYTES = 8 << 20
+#: Compressed bytes that a reading task is meant for.
+TASK_BYTES = 16 << 20
 #: Payloads of fewer bytes are never revisits.
 MIN_BYTES = 0
 
@@ -231,9 +234,13 @@ def read_warc(
 ) -> DataFrame:
     """The records of the index rows given, with ``payload`` (responses) where asked for.
 
-    A task reads whole archives' shares in offset order; a read is ``read_bytes`` or one record.
+    A task reads the shares of whole archives in offset order, about ``TASK_BYTES`` in all; a read
+    is ``read_bytes`` or one record. Tasks follow from the bytes to read: the index rows are too
+    small to tell.
     """
-    dealt = index.select("file", "offset", "length").repartition("file")
+    total = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, math.ceil(total / TASK_BYTES))
+    dealt = index.select("file", "offset", "length").repartition(tasks, "file")
     ordered = dealt.sortWithinPartitions("file", "offset")
     schema = RECORD + ", payload binary" * payloads
     return ordered.mapInArrow(_reader(folder, gap_bytes, read_bytes, payloads), schema)
