@@ -177,8 +177,10 @@ def communication_matrix(sizes: DataFrame, shards: int, total: int, groups: int,
         .select(F.explode(_deal_to(F.col("groups"), room, (seed, 1))).alias("g"))
         .select(F.col("g.part").alias("grp"), F.col("g.counts").alias("room"))
     )
+    # A number of its own: the few bytes of a group do not tell how long its draws take.
     return (
         grouped.join(top, "grp")
+        .repartition(max(1, groups // 4), "grp")
         .select(F.explode(_deal_to(F.col("parts"), F.col("room"), (seed, 2))).alias("m"))
         .select("m.part", "m.counts")
     )
