@@ -1,5 +1,6 @@
 """Line rules on fixtures; the whole query has a SQL twin."""
 
+import random
 from collections import Counter
 
 import pytest
@@ -69,3 +70,29 @@ def test_odd_documents(spark):
     assert r.apply_line_rules(docs.limit(0)).count() == 0
     # Repeated rows of a kept document stay, columns as they were.
     assert r.apply_line_rules(docs).where("doc_id = 2").count() == 2
+
+
+def prose(rng, words=12):
+    return " ".join(f"w{rng.randrange(100_000)}" for _ in range(words))
+
+
+def gone(spark, rows, **limits):
+    """Words removed by document."""
+    got = r.line_rules(documents(spark, rows), **limits).collect()
+    return {row.doc_id: row.removed_words for row in got}
+
+
+@pytest.mark.parametrize("template, own", [(20, 3), (8, 3), (4, 3), (100, 3)])
+def test_template_lines_go_however_many(spark, template, own):
+    rng = random.Random(template)
+    rows, want = [], {}
+    for host in range(3):
+        shared = [prose(rng) for _ in range(template)]
+        for n in range(60):
+            rows.append((host * 1000 + n, "\n".join(shared + [prose(rng) for _ in range(own)]), f"h{host}"))
+    # Brute force: distinct texts by line, there being no copies.
+    holders = Counter((h, line) for _, text, h in rows for line in set(text.split("\n")))
+    for n, text, h in rows:
+        want[n] = sum(len(line.split()) for line in text.split("\n") if holders[h, line] > r.LINE_DOCS)
+    assert set(want.values()) == {template * 12}
+    assert gone(spark, rows) == want
