@@ -96,3 +96,27 @@ def test_template_lines_go_however_many(spark, template, own):
         want[n] = sum(len(line.split()) for line in text.split("\n") if holders[h, line] > r.LINE_DOCS)
     assert set(want.values()) == {template * 12}
     assert gone(spark, rows) == want
+
+
+def edited(rng, text, edits=3):
+    """``text`` with some words replaced inside its lines."""
+    lines = [line.split() for line in text.split("\n")]
+    for _ in range(edits):
+        words = rng.choice(lines)
+        words[rng.randrange(len(words))] = f"e{rng.randrange(100_000)}"
+    return "\n".join(map(" ".join, lines))
+
+
+def test_notice_of_distinct_documents_goes_beside_more_near_copies(spark):
+    rng = random.Random(2)
+    notice = prose(rng)
+    page = "\n".join([notice, prose(rng, 70), prose(rng, 60)])
+    rows = [(n, "\n".join([notice, prose(rng, 70)]), "a") for n in range(30)]
+    # Near copies of one page, more than twice the distinct documents, and exact copies.
+    rows += [(100 + n, page.split("\n")[0] + "\n" + edited(rng, page.split("\n", 1)[1]), "a") for n in range(90)]
+    rows += [(300 + n, page, "a") for n in range(90)]
+    # At another host there are only the near copies: nothing is common there.
+    rows += [(1000 + n, edited(rng, page, 2), "b") for n in range(90)]
+    got = gone(spark, rows)
+    assert {got[n] for n in got if n < 1000} == {12}
+    assert {got[n] for n in got if n >= 1000} == {0}
