@@ -120,3 +120,14 @@ def test_notice_of_distinct_documents_goes_beside_more_near_copies(spark):
     got = gone(spark, rows)
     assert {got[n] for n in got if n < 1000} == {12}
     assert {got[n] for n in got if n >= 1000} == {0}
+
+
+def test_limit_does_not_grow_with_copies_or_the_source(spark):
+    rng = random.Random(3)
+    line = prose(rng)
+    rows = [(n, "\n".join([line, prose(rng, 60)]), "a") for n in range(11)]
+    rows += [(100 + n, prose(rng, 60), "a") for n in range(1500)]
+    rows += [(2000, "a b " * 40, "a")] * 1500
+    got = gone(spark, rows)
+    assert {got[n] for n in range(11)} == {12} and {got[n] for n in got if n >= 11} == {0}
+    assert set(gone(spark, rows[1:]).values()) == {0}
