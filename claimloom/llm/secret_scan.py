@@ -49,6 +49,18 @@ PATTERNS = {
     ),
 }
 HEX = re.compile(r"[0-9a-f]{24,}")
+#: Length of an account number by country.
+ACCOUNT_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+        32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 BASE62 = string.digits + string.ascii_uppercase + string.ascii_lowercase
 
 
@@ -67,12 +79,28 @@ def mod97_holds(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
 
 
+def account_end(m: re.Match) -> int | None:
+    """Where the account number ends whose checksum holds; words may follow it.
+
+    The country says how long it is. Of an unknown country, or where that fails, the match as a
+    whole counts, and of an unknown country then every end of a word, the last first.
+    """
+    found = m[1]
+    ends = [at for at in range(1, len(found) + 1) if at == len(found) or found[at] == " "]
+    plain = [at - found.count(" ", 0, at) for at in ends]
+    length = ACCOUNT_LENGTHS.get(found[:2].upper())
+    if length is None:
+        tried = [end for end, n in zip(ends, plain) if n >= 15][::-1]
+    else:
+        tried = [end for end, n in zip(ends, plain) if n == length] + [len(found)]
+    return next((m.start(1) + end for end in tried if mod97_holds(found[:end])), None)
+
+
 HOLDS = {
     "assign": lambda m: len(m[2]) >= 6,
     "access": lambda m: len(m[0]) >= 20,
     "forge": lambda m: crc32_holds(m[1], m[2]),
     "registry": lambda m: crc32_holds(m[1], m[2]),
-    "iban": lambda m: mod97_holds(m[1]),
 }
 
 
@@ -103,7 +131,8 @@ def secret_spans(text: str | None) -> list[tuple[str, int, int]]:
     """``(kind, start, end)`` in code points, by start and then kind.
 
     Per kind, matches are leftmost and do not overlap; one that fails its condition is dropped
-    but still takes its place. NULL counts as empty.
+    but still takes its place. An account number ends where its checksum holds; one that fails
+    takes no place, as the words after it matched too. NULL counts as empty.
     """
     if not text:
         return []
@@ -116,11 +145,16 @@ def secret_spans(text: str | None) -> list[tuple[str, int, int]]:
                 hits.setdefault(kind, []).append(end - length + 1)
     spans = [("hex", m.start(), m.end()) for m in HEX.finditer(line)]
     for kind, starts in hits.items():
-        pattern, holds, free = PATTERNS[kind], HOLDS[kind], 0
+        pattern, free = PATTERNS[kind], 0
         for start in sorted(starts):
             if start >= free and (m := pattern.match(line, start)):
+                if kind == "iban":
+                    if (end := account_end(m)) is not None:
+                        free = end
+                        spans.append((kind, start, free))
+                    continue
                 free = m.end()
-                if holds(m):
+                if HOLDS[kind](m):
                     spans.append((kind, start, free))
     if len(data) != len(text):
         points = _code_points(data, [x for _, a, b in spans for x in (a, b)])

@@ -65,6 +65,32 @@ def test_checksums_decide():
     assert not s.secret_spans("IBAN: GB83 WEST 1234 5698 7654 32")
 
 
+@pytest.mark.parametrize(
+    "number",
+    [
+        "GB82WEST12345698765432", "GB82 WEST 1234 5698 7654 32", "gb82 west 1234 5698 7654 32",
+        "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947", "FR14 2004 1010 0505 0001 3M02 606",
+        "MT84 MALT 0110 0001 2345 MTLC AST0 01S",
+    ],
+)
+def test_account_numbers_in_prose(number):
+    after = ["", " please pay now", " is my account", " 12 a B c d e f g h", " by iban", ", thanks", "\n2 x", "  z"]
+    for rest in after:
+        text = f"é IBAN: {number}{rest}"
+        assert s.joined(s.secret_spans(text)) == f"iban:2:{8 + len(number)}", text
+        assert s.masked(text, s.secret_spans(text)) == f"é [iban]{rest}"
+    # Of two, a wrong one does not take the place of the next.
+    assert [k for k, *_ in s.secret_spans(f"iban GB83WEST12345698765432 or iban {number} now")] == ["iban"]
+    assert not s.secret_spans("IBAN GB83 WEST 1234 5698 7654 32 is wrong")
+
+
+def test_account_number_of_an_unlisted_country():
+    body = "1234567890123456"
+    check = next(n for n in range(2, 99) if s.mod97_holds(f"ZZ{n:02}{body}"))
+    number = f"ZZ{check:02}{body}"
+    assert s.joined(s.secret_spans(f"iban {number} is mine")) == f"iban:0:{5 + len(number)}"
+
+
 @pytest.mark.parametrize("text", [None, "", " "])
 def test_nothing_to_find(text):
     assert s.secret_spans(text) == [] and s.masked(text, []) == text
