@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 #: Token rows that one recursive query starts with, and characters of texts held at once.
 QUERY_ROWS = 200_000
 BATCH_CHARS = 2_000_000
+#: Tokens that one query decodes; a longer document is decoded in consecutive ranges.
+DECODE_ROWS = 1_000_000
 #: Distinct pieces whose ids a worker remembers.
 KNOWN_PIECES = 500_000
 
@@ -199,21 +201,37 @@ class Codec:
         return [np.frombuffer(b"".join([known[p] for p in pieces]), "<i4") for pieces in split]
 
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
-        lengths = [len(x) for x in ids]
-        out = [b""] * len(ids)
-        if sum(lengths):
-            tokens = pa.table(
-                {
-                    "doc": np.repeat(np.arange(len(ids)), lengths),
-                    "pos": np.concatenate([np.arange(n) for n in lengths]),
-                    "id": np.concatenate(ids),
-                }
-            )
-            self.db.register("tokens", tokens)
-            for doc, text in self.db.execute(DECODE).fetchall():
-                out[doc] = bytes.fromhex(text)
-            self.db.unregister("tokens")
-        return out
+        """The bytes of each document, however long."""
+        out: list[list[bytes]] = [[] for _ in ids]
+        docs, ranges, held = [], [], 0
+        for doc, tokens in enumerate(ids):
+            for at in range(0, len(tokens), DECODE_ROWS):
+                part = tokens[at : at + DECODE_ROWS]
+                if held + len(part) > DECODE_ROWS:
+                    self._decode_into(out, docs, ranges)
+                    docs, ranges, held = [], [], 0
+                docs.append(doc)
+                ranges.append(part)
+                held += len(part)
+        self._decode_into(out, docs, ranges)
+        return [b"".join(parts) for parts in out]
+
+    def _decode_into(self, out: list[list[bytes]], docs: list[int], ranges: list[np.ndarray]) -> None:
+        """Add the bytes of each range, at most one of a document, to those of its document."""
+        if not ranges:
+            return
+        lengths = [len(x) for x in ranges]
+        tokens = pa.table(
+            {
+                "doc": np.repeat(docs, lengths),
+                "pos": np.concatenate([np.arange(n) for n in lengths]),
+                "id": np.concatenate(ranges),
+            }
+        )
+        self.db.register("tokens", tokens)
+        for doc, text in self.db.execute(DECODE).fetchall():
+            out[doc].append(bytes.fromhex(text))
+        self.db.unregister("tokens")
 
 
 @cache

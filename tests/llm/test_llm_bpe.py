@@ -71,3 +71,17 @@ def test_registered_query_equals_the_library(spark, reference):
     assert len(rows) == len(texts)
     for r in rows:
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == digests(texts[r.doc_id], reference)
+
+
+def test_document_of_millions_of_tokens_decodes():
+    coder = bpe.codec(RANK_FILE, PATTERN)
+    tokens = {rank: token for token, rank in coder.ranks.items()}
+    some = np.array(sorted(tokens)[:997], "<i4")
+    long = np.resize(some, 4_500_000)
+    short = some[:5]
+    got = coder.decode([short, long, long[:0], short])
+    whole = b"".join(tokens[i] for i in some.tolist())
+    first = b"".join(tokens[i] for i in short.tolist())
+    times, rest = divmod(len(long), len(some))
+    assert got[1] == whole * times + b"".join(tokens[i] for i in some[:rest].tolist())
+    assert (got[0], got[2], got[3]) == (first, b"", first)
