@@ -263,7 +263,7 @@ def near_vectors(
     least; rows that repeat count as rows. An empty table gives no rows. Other columns are not
     read.
     """
-    hashes = [F.xxhash64("vector", F.lit(n)).alias(f"k{n}") for n in (1, 2)]
+    hashes = [F.xxhash64(F.lit(n), "vector").alias(f"k{n}") for n in (1, 2)]
     named = vectors.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vector"))
     good = named.where(usable("vector")).select("id", "vector", *hashes)
     keys = ["k1", "k2"]

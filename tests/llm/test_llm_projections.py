@@ -1,8 +1,12 @@
 """Embedding links against all cosines; recall on pairs just at the threshold."""
 
+import struct
+
 import numpy as np
 import pytest
+import xxhash
 from llm_fixtures import components
+from pyspark.sql import functions as F
 
 from claimloom.llm import projections as p
 
@@ -99,3 +103,34 @@ def test_recall_at_the_threshold(rows):
     assert (shared & hits).mean() >= 0.94
     unrelated = (np.abs(plan.counted(a) - plan.counted(np.roll(a, 1, axis=0))) <= plan.window).sum(axis=1)
     assert (unrelated >= plan.needed).mean() < 0.05
+
+
+def colliding():
+    """Two unlike vectors of one 64-bit hash: the second element is solved for."""
+    p1, p2, whole = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, (1 << 64) - 1
+
+    def turned(x, by):
+        return (x << by | x >> (64 - by)) & whole
+
+    def state(x):
+        return xxhash.xxh64_intdigest(struct.pack("<d", x), 42) + 0x27D4EB2F165667C5 + 8
+
+    for n in range(1_000_000):
+        first = 1.0 + n / 64
+        bits = struct.unpack("<Q", struct.pack("<d", first))[0]
+        mixed = turned(bits * p2 & whole, 31) * p1 & whole
+        want = (state(1.0) & whole) ^ (state(2.0) & whole) ^ mixed
+        other = turned(want * pow(p1, -1, 1 << 64) & whole, 33) * pow(p2, -1, 1 << 64) & whole
+        second = struct.unpack("<d", struct.pack("<Q", other))[0]
+        a, b = np.array([1.0, first]), np.array([2.0, second])
+        if 0.01 < abs(second) < 100 and a @ b / np.linalg.norm(a) / np.linalg.norm(b) < 0.8:
+            return a.tolist(), b.tolist()
+    raise AssertionError("no pair")
+
+
+def test_vectors_of_one_hash_stay_apart(spark):
+    a, b = colliding()
+    rows = spark.createDataFrame([(1, a), (2, b), (3, b)], "vec_id long, embedding array<double>")
+    assert rows.select(F.xxhash64("embedding")).distinct().count() == 1
+    got = sorted(map(tuple, p.near_vectors(rows).collect()))
+    assert got == [(1, 0, 1, True), (2, 1, 2, True), (3, 1, 2, False)]
