@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimloom.llm import (
+    alignment,
     bpe,
     chat,
     line_rules,
@@ -24,6 +25,8 @@ from claimloom.llm.shared import importable
 
 RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+BYTE_FILE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_FILE = public_tokenizers.path("piece_bpe_32k.model")
 # A conversation of control strings, beside those of the table.
 CONTROL_CHAT = "</s>[INST] ok [/INST]"
 
@@ -83,6 +86,10 @@ def op10_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projections.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_texts(table(spark, sf_dir, "documents"), BYTE_FILE, PIECE_FILE)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -93,6 +100,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_mixing, op3_sharding, op4_quality_model, op5_secret_scan, op6_line_rules,
-        op7_bpe, op8_chat, op9_warc, op10_projections, pipeline,
+        op7_bpe, op8_chat, op9_warc, op10_projections, op11_alignment, pipeline,
     )
 }

@@ -1,0 +1,132 @@
+"""Alignment of two tokenizers against a walk over single tokens."""
+
+import hashlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_fixtures import SF, documents, odd_rows
+
+from claimloom.llm import alignment
+from claimloom.llm.queries import BYTE_FILE, PIECE_FILE, op11_alignment
+
+TEXTS = [
+    None, "", " ", "a", "Hello, wörld!", "▁ marks", "<|endoftext|><s></s><unk><0x41>", "\x00\x7f",
+    "two  spaces \n\n\tand tabs ", "日本語テキスト 😀👍", "x" * 2000, " " * 700, "the cat sat on the mat " * 400,
+    "naïve café ſtraße İ",
+]
+
+
+def walk(text):
+    """Token counts, groups written out, and links of one text, one step at a time."""
+    pair = alignment.pair_of(BYTE_FILE, PIECE_FILE)
+    none = (0, 0, [], [])
+    if not text:
+        return none
+    a = pair.a._slow.encode(" " + text, add_special_tokens=False).ids
+    b = pair.b._model.encode(text)
+    raw = (" " + text).encode()
+    if b"".join(pair.a.tokens[i] for i in a) != raw or b"".join(pair.b.tokens[i] for i in b) != raw:
+        return none
+    spans = []
+    for ids, tokens in ((a, pair.a.tokens), (b, pair.b.tokens)):
+        ends = np.cumsum([len(tokens[i]) for i in ids]).tolist()
+        spans.append(list(zip([0] + ends, ends)))
+    both = sorted({e for _, e in spans[0]} & {e for _, e in spans[1]})
+    groups = []
+    for low, high in zip([0] + both, both):
+        left, right = (
+            ",".join(str(i) for i, (x, y) in zip(ids, side) if low <= x and y <= high)
+            for ids, side in zip((a, b), spans)
+        )
+        groups.append(f"{left}|{right}")
+    links = []
+    for i, (x, y) in zip(a, spans[0]):
+        links += [(i, j) for j, (p, q) in zip(b, spans[1]) if p < y and x < q]
+    return len(a), len(b), groups, links
+
+
+def expected(texts):
+    walks = [walk(t) for t in texts]
+    count = Counter(link for w in walks for link in w[3])
+    highest = Counter()
+    for (_, b), n in count.items():
+        highest[b] = max(highest[b], n)
+    return [
+        (
+            n_a, n_b, len(groups), len(links), sum(count[x] == highest[x[1]] for x in links),
+            sum(count[x] for x in links),
+            hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else "",
+        )
+        for n_a, n_b, groups, links in walks
+    ]
+
+
+COLUMNS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+
+@pytest.mark.parametrize("batch", [1, 500, 10_000_000])
+def test_against_a_walk(spark, monkeypatch, batch):
+    monkeypatch.setattr(alignment, "BATCH_CHARS", batch)
+    monkeypatch.setattr(alignment, "ENCODE_CHARS", max(batch // 3, 1))
+    texts = TEXTS + TEXTS[3:6]
+    rows = [(n, t) for n, t in enumerate(texts)]
+    got = alignment.align_texts(documents(spark, rows).coalesce(2), BYTE_FILE, PIECE_FILE)
+    assert got.columns == ["doc_id", *COLUMNS]
+    found = {r[0]: tuple(r)[1:] for r in got.collect()}
+    assert found == dict(enumerate(expected(texts)))
+
+
+def test_query_on_a_whole_table(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    short = [r for r in docs if len(r.text or "") < 3000]
+    found = {r.doc_id: r for r in op11_alignment(spark, SF).collect()}
+    assert len(found) == len(docs)
+    for r in short[:60]:
+        n_a, n_b, groups, links = walk(r.text)
+        row = found[r.doc_id]
+        assert (row.n_a, row.n_b, row.n_groups, row.n_links) == (n_a, n_b, len(groups), len(links))
+    # Counts over the corpus: every link is counted once for each link of its pair.
+    pair = alignment.pair_of(BYTE_FILE, PIECE_FILE)
+    codes = np.concatenate([alignment.align(pair, [r.text])["code"] for r in docs])
+    values, counts = np.unique(codes, return_counts=True)
+    assert sum(r.count_sum for r in found.values()) == int((counts**2).sum())
+    highest = Counter()
+    for v, n in zip(values.tolist(), counts.tolist()):
+        highest[v % (1 << alignment.B_BITS)] = max(highest[v % (1 << alignment.B_BITS)], n)
+    best = sum(n for v, n in zip(values.tolist(), counts.tolist()) if n == highest[v % (1 << alignment.B_BITS)])
+    assert sum(r.n_best for r in found.values()) == best
+
+
+def test_odd_rows_and_empty_tables(spark):
+    rows = odd_rows()
+    df = documents(spark, rows)
+    got = alignment.align_texts(df, BYTE_FILE, PIECE_FILE).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in got) == sorted((d is None, d or 0) for d, _ in rows)
+    assert len({tuple(r)[1:] for r in got if r.doc_id in (1, 2)}) == 1  # equal texts, equal rows
+    assert alignment.align_texts(df.limit(0), BYTE_FILE, PIECE_FILE).count() == 0
+    empty = documents(spark, [(1, None), (2, "")])
+    assert [tuple(r)[1:] for r in alignment.align_texts(empty, BYTE_FILE, PIECE_FILE).collect()] == [(0,) * 6 + ("",)] * 2
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.data())
+def test_lockstep(data):
+    docs = data.draw(st.lists(st.integers(1, 60), min_size=1, max_size=6))
+    total = sum(docs)
+    stops = set(np.cumsum(docs).tolist())
+    ends = [sorted(stops | set(data.draw(st.lists(st.integers(1, total))))) for _ in range(2)]
+    starts = np.cumsum([0] + docs[:-1])
+    lane = data.draw(st.integers(1, 70))
+    left, right, cut = alignment.lockstep(*map(np.array, ends), starts, lane)
+    spans = [list(zip([0] + e, e)) for e in ends]
+    want = {
+        (i, j): y == q
+        for i, (x, y) in enumerate(spans[0])
+        for j, (p, q) in enumerate(spans[1])
+        if p < y and x < q
+    }
+    assert len(left) == len(want)
+    assert {(i, j): c for i, j, c in zip(left.tolist(), right.tolist(), cut.tolist())} == want
