@@ -137,9 +137,54 @@ JOIN (SELECT vec_id, count(b) AS n_links FROM embeddings LEFT JOIN links ON a =
 USING (vec_id)
 """
 
+# CRC-32 of a text of digits: eight steps for each byte, low bits first.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda ch: ord(ch)::BIGINT)),
+    lambda crc, b: list_reduce(list_prepend(xor(crc, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                               lambda c, _: xor(c >> 1, 3988292384 * (c & 1)))))"""
+
+TRIE = f"""
+WITH turns AS (
+    SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS n
+    FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+    SELECT conv_id, conv_id - conv_id % 100 AS first, {_CRC32.format('conv_id')} % 6 AS h
+    FROM (SELECT DISTINCT conv_id FROM turns)
+), rebuilt AS (
+    SELECT ids.conv_id, n, role, text FROM ids JOIN turns ON turns.conv_id = first AND n <= h
+    UNION ALL
+    SELECT ids.conv_id, n + 6, role, text FROM ids JOIN turns ON turns.conv_id = ids.conv_id AND n > h
+), prefixes AS (
+    SELECT conv_id, row_number() OVER o AS depth, length(text) AS chars,
+           sha256(string_agg(concat_ws(':', length(role), role, length(text), text), ';') OVER o) AS node
+    FROM rebuilt WINDOW o AS (PARTITION BY conv_id ORDER BY n)
+    UNION ALL SELECT conv_id, 0, 0, '' FROM ids
+), led AS (
+    SELECT *, lag(node) OVER o AS parent, lead(node) OVER o IS NULL AS ends
+    FROM prefixes WINDOW o AS (PARTITION BY conv_id ORDER BY depth)
+), nodes AS (
+    SELECT node, depth, any_value(parent) AS parent, min(conv_id) AS conv_id, count(*) AS n_convs,
+           any_value(chars) AS chars, bool_and(ends) AS leaf,
+           string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends) AS ended
+    FROM led GROUP BY node, depth
+), sums AS (
+    SELECT p.node, count(*) FILTER (n.leaf) AS n_leaves, sum((n.n_convs - 1) * n.chars) AS saved_tokens
+    FROM nodes n JOIN prefixes p ON p.conv_id = n.conv_id AND p.depth <= n.depth GROUP BY p.node
+), born AS (
+    SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent
+)
+SELECT nodes.conv_id, nodes.depth, above.conv_id AS parent_conv_id, nodes.n_convs,
+       coalesce(n_children, 0) AS n_children, n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(nodes.ended, '')) AS ends_sha256
+FROM nodes JOIN sums USING (node) LEFT JOIN born USING (node)
+LEFT JOIN nodes above ON above.node = nodes.parent
+"""
+
 ORACLE = {
     "op6_line_rules": LINE_RULES,
     "op8_chat": CHAT,
     "op9_warc": WARC,
     "op10_projections": PROJECTIONS,
+    "op12_prefix_trie": TRIE,
 }

@@ -14,6 +14,7 @@ from claimloom.llm import (
     chat,
     line_rules,
     mixing,
+    prefix_trie,
     projections,
     quality_model,
     secret_scan,
@@ -90,6 +91,10 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_texts(table(spark, sf_dir, "documents"), BYTE_FILE, PIECE_FILE)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -100,6 +105,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_mixing, op3_sharding, op4_quality_model, op5_secret_scan, op6_line_rules,
-        op7_bpe, op8_chat, op9_warc, op10_projections, op11_alignment, pipeline,
+        op7_bpe, op8_chat, op9_warc, op10_projections, op11_alignment, op12_prefix_trie, pipeline,
     )
 }
