@@ -181,10 +181,27 @@ FROM nodes JOIN sums USING (node) LEFT JOIN born USING (node)
 LEFT JOIN nodes above ON above.node = nodes.parent
 """
 
+# The pages of the table mark their article, and hold these character references.
+HTML_TEXT = """
+WITH blocks AS (
+    SELECT page_id, url, unnest(regexp_split_to_array(
+               regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's'), '</?(?:p|h[1-6])>')) AS block
+    FROM pages
+), texts AS (
+    SELECT page_id, url, list_filter(list(trim(regexp_replace(
+               regexp_replace(regexp_replace(regexp_replace(block, '<br>', ' ', 'g'), '<[^>]*>', '', 'g'),
+                              '&quot;?', '"', 'g').regexp_replace('&amp;?', '&', 'g'),
+               '[ \\t\\n\\r\\f]+', ' ', 'g'))), lambda t: t <> '') AS parts
+    FROM blocks GROUP BY page_id, url
+)
+SELECT page_id, url, array_to_string(parts, chr(10) || chr(10)) AS text, length(text) AS n_chars FROM texts
+"""
+
 ORACLE = {
     "op6_line_rules": LINE_RULES,
     "op8_chat": CHAT,
     "op9_warc": WARC,
     "op10_projections": PROJECTIONS,
     "op12_prefix_trie": TRIE,
+    "op13_html_text": HTML_TEXT,
 }

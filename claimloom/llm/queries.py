@@ -12,6 +12,7 @@ from claimloom.llm import (
     alignment,
     bpe,
     chat,
+    html_text,
     line_rules,
     mixing,
     prefix_trie,
@@ -95,6 +96,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
 
 
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -105,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_mixing, op3_sharding, op4_quality_model, op5_secret_scan, op6_line_rules,
-        op7_bpe, op8_chat, op9_warc, op10_projections, op11_alignment, op12_prefix_trie, pipeline,
+        op7_bpe, op8_chat, op9_warc, op10_projections, op11_alignment, op12_prefix_trie,
+        op13_html_text, pipeline,
     )
 }
