@@ -2,8 +2,9 @@
 
 Lines are normalised and hashed, distinct documents are counted per host and line, and lines in
 more documents than the limit are removed. A document that loses most of its words is rejected.
-Copies and near copies of a document count as one. Near copies are told apart from pages of one
-template by what each has of its own: lines that the other holds not even in an edited form.
+Documents are distinct when their normalised lines differ: copies, and copies that differ in case
+or white space only, count once. The rule is a count alone, so it depends on no order and no
+partitioning; edited copies are documents of their own.
 """
 
 from __future__ import annotations
@@ -11,11 +12,9 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter
-from dataclasses import dataclass
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,19 +26,10 @@ MIN_WORDS = 50
 REPEATED_PERCENT = 50
 #: A line is common at a host in more distinct documents than this, however large the host.
 LINE_DOCS = 10
-#: No longer decides; the SQL twin and callers still name it.
-LINE_PERCENT = 1
 #: A document is depleted when less than this share of its words is left.
 KEPT_PERCENT = 30
 #: Hexadecimal digits of a line's MD5.
 DIGITS = 16
-#: Hashes of three-word runs by which an edited line is recognised.
-SHAPES = 6
-#: Near copies have no more words of their own than this, or than this share of their words.
-OWN_WORDS = 8
-OWN_PERCENT = 2
-#: Documents that a task holds for undecided lines before it passes them on.
-HELD = 20_000
 
 
 def normalised(line: str) -> str:
@@ -65,29 +55,22 @@ def repeated_words(words: list[bytes]) -> int:
     return total
 
 
-def shapes(words: list[bytes]) -> list[int]:
-    """The least hashes of a line's runs of three words; a few edits leave some of them."""
-    runs = {b" ".join(words[at : at + 3]) for at in range(max(len(words) - 2, 1))}
-    return sorted(xxhash.xxh32_intdigest(run) >> 1 for run in runs)[:SHAPES]
-
-
-def statistics(text: str | None) -> tuple[dict, dict[str, tuple[int, list[int]]]]:
-    """The counts of one text, and words and shapes by line key."""
+def statistics(text: str | None) -> tuple[dict, str, dict[str, int]]:
+    """The counts of one text, the key of its normalised lines, and words by line key."""
     text = text or ""
     words = text.encode().split()
-    lines: dict[str, tuple[int, list[int]]] = {}
+    lines: dict[str, int] = {}
+    plain: list[bytes] = []
     seen: set[str] = set()
     duplicates = 0
     for line in text.split("\n"):
-        plain = line.encode().lower().split()
-        if plain:
+        found = line.encode().lower().split()
+        if found:
             duplicates += line in seen
             seen.add(line)
-            key = line_key(line)
-            if key in lines:
-                lines[key] = (lines[key][0] + len(plain), lines[key][1])
-            else:
-                lines[key] = (len(plain), shapes(plain))
+            plain.append(b" ".join(found))
+            key = hashlib.md5(plain[-1]).hexdigest()[:DIGITS]
+            lines[key] = lines.get(key, 0) + len(found)
     counts = {
         "n_words": len(words),
         "word_chars": len(text.translate(SPACES)),
@@ -95,44 +78,38 @@ def statistics(text: str | None) -> tuple[dict, dict[str, tuple[int, list[int]]]
         "n_dup_lines": duplicates,
         "n_repeat_words": repeated_words(words),
     }
-    return counts, lines
+    return counts, hashlib.md5(b"\n".join(plain)).hexdigest(), lines
 
 
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
-LINES = "text_key string, lines array<struct<key:string,words:int,shapes:array<int>>>"
+LINES = "text_key string, lines_key string, lines array<struct<key:string,words:int>>"
 
 
 def line_facts(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
-    """Statistics and lines (keys, words, shapes) of every document."""
+    """Statistics of every document, keys of its text and of its normalised lines, and its lines."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        line = [("key", pa.string()), ("words", pa.int32()), ("shapes", pa.list_(pa.int32()))]
-        kind = pa.list_(pa.struct(line))
+        kind = pa.list_(pa.struct([("key", pa.string()), ("words", pa.int32())]))
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 texts = part.column(2).to_pylist()
                 found = [statistics(t) for t in texts]
                 columns = [
-                    pa.array([counts[name] for counts, _ in found], pa.int64())
+                    pa.array([counts[name] for counts, _, _ in found], pa.int64())
                     for name in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
                 ]
                 columns += [
                     pa.array([hashlib.md5((t or "").encode()).hexdigest() for t in texts], pa.string()),
-                    pa.array(
-                        [
-                            [{"key": k, "words": n, "shapes": s} for k, (n, s) in lines.items()]
-                            for _, lines in found
-                        ],
-                        kind,
-                    ),
+                    pa.array([key for _, key, _ in found], pa.string()),
+                    pa.array([[{"key": k, "words": n} for k, n in lines.items()] for _, _, lines in found], kind),
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), *columns], schema=schema_of(part, columns)
                 )
 
     def schema_of(part: pa.RecordBatch, columns: list) -> pa.Schema:
-        names = [c.split()[0] for c in (COUNTS + ", text_key x, lines x").split(", ")]
+        names = [c.split()[0] for c in (COUNTS + ", text_key x, lines_key x, lines x").split(", ")]
         fields = [pa.field("id", part.schema.field(0).type), pa.field("host", pa.string())]
         return pa.schema(fields + [pa.field(n, c.type) for n, c in zip(names, columns)])
 
@@ -144,133 +121,17 @@ def line_facts(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> Da
     ).mapInArrow(run, f"id {kind}, host string, {COUNTS}, {LINES}")
 
 
-@dataclass(eq=False)
-class Holder:
-    """A document that holds a line: words and shapes of all its lines."""
-
-    text_key: str
-    words: list[int]
-    shapes: list[list[int]]
-
-    def __post_init__(self) -> None:
-        self.all_shapes = {shape for line in self.shapes for shape in line}
-        self.most = max(OWN_WORDS, sum(self.words) * OWN_PERCENT / 100)
-
-    def adds(self, other: Holder) -> bool:
-        """Whether more than a few words stand in lines that ``other`` lacks, edited or not."""
-        known = other.all_shapes
-        return sum(n for n, line in zip(self.words, self.shapes) if known.isdisjoint(line)) > self.most
-
-    def copies(self, other: Holder) -> bool:
-        """Whether both are one document: copies or near copies."""
-        return self.text_key == other.text_key or not (self.adds(other) or other.adds(self))
-
-
-HOLDERS = (
-    "host string, key string, decided boolean, text_key string, words array<int>, shapes array<array<int>>"
-)
-
-
-def _distinct_holders(line_docs: int):
-    """Per line, documents that are no copies of each other; past ``line_docs`` only that it is so."""
-
-    def batch(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.string(), pa.string(), pa.bool_(), pa.string(), pa.list_(pa.int32())]
-        kinds.append(pa.list_(pa.list_(pa.int32())))
-        names = [c.split()[0] for c in HOLDERS.split(", ")]
-        columns = zip(*rows) if rows else [[]] * len(kinds)
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
-
-    def told(found: dict[tuple[str, str], list[Holder] | None]) -> Iterator[pa.RecordBatch]:
-        rows = []
-        for (host, key), holders in found.items():
-            if holders is None:
-                rows.append((host, key, True, "", [], []))
-            for h in holders or ():
-                rows.append((host, key, False, h.text_key, h.words, h.shapes))
-            if len(rows) >= 1024:
-                yield batch(rows)
-                rows = []
-        yield batch(rows)
-
-    def add(found: dict, line: tuple[str, str], new: Holder, same: dict[str, bool]) -> int:
-        """One if ``new`` joins the holders of ``line``, less those that a decision sets free."""
-        holders = found.setdefault(line, [])
-        if holders is None:
-            return 0
-        for old in holders:
-            if old.text_key not in same:
-                same[old.text_key] = new.copies(old)
-            if same[old.text_key]:
-                return 0
-        if len(holders) == line_docs:
-            found[line] = None
-            return -line_docs
-        holders.append(new)
-        return 1
-
-    def by_document(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict = {}
-        held = 0
-        for part in batches:
-            for at in range(0, part.num_rows, 256):
-                columns = [c.to_pylist() for c in part.slice(at, 256).columns]
-                for host, text_key, keys, words, marks in zip(*columns):
-                    new, same = Holder(text_key, words, marks), {}
-                    held += sum(add(found, (host, key), new, same) for key in keys)
-                    if held > HELD or len(found) > 10 * HELD:
-                        yield from told(found)
-                        found, held = {}, 0
-        yield from told(found)
-
-    def by_line(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict = {}  # of one line: rows are sorted by line
-        for part in batches:
-            common = []
-            for at in range(0, part.num_rows, 256):
-                columns = [c.to_pylist() for c in part.slice(at, 256).columns]
-                for host, key, decided, text_key, words, marks in zip(*columns):
-                    if (host, key) not in found:
-                        found = {(host, key): []}
-                    if found[host, key] is None:
-                        continue
-                    if decided:
-                        found[host, key] = None
-                    else:
-                        add(found, (host, key), Holder(text_key, words, marks), {})
-                    if found[host, key] is None:
-                        common.append((host, key))
-            hosts, keys = zip(*common) if common else ([], [])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(keys, pa.string())], names=["host", "key"]
-            )
-
-    return by_document, by_line
-
-
 def common_lines(facts: DataFrame, line_docs: int = LINE_DOCS) -> DataFrame:
     """``host, key`` of lines in more than ``line_docs`` distinct documents of a host.
 
-    Lines in so many distinct texts are counted first, combined on the map side. For those, tasks
-    gather documents that are no near copies of each other, at most ``line_docs`` a line, so a
-    line that a third of all documents share costs a few rows per task. Where being a near copy
-    does not carry over from one document to the next, the count depends on their order.
+    Both steps combine on the map side: a line that a third of all documents share is dealt by
+    document, and then costs one row a task.
     """
-    rows = facts.select("host", "text_key", F.explode("lines.key").alias("key"))
-    often = (
-        rows.distinct().groupBy("host", "key").agg(F.count(F.lit(1)).alias("texts"))
-        .where(F.col("texts") > line_docs).select("host", "key")
+    rows = facts.select("host", "lines_key", F.explode("lines.key").alias("key"))
+    return (
+        rows.distinct().groupBy("host", "key").agg(F.count(F.lit(1)).alias("documents"))
+        .where(F.col("documents") > line_docs).select("host", "key")
     )
-    holding = rows.join(often, ["host", "key"]).groupBy("host", "text_key").agg(
-        F.collect_set("key").alias("keys")
-    )
-    by_document, by_line = _distinct_holders(line_docs)
-    documents = facts.join(holding, ["host", "text_key"]).select(
-        "host", "text_key", "keys", F.col("lines.words").alias("words"), F.col("lines.shapes").alias("shapes")
-    )
-    holders = documents.mapInArrow(by_document, HOLDERS).repartition("host", "key")
-    order = ["host", "key", F.desc("decided"), "text_key"]
-    return holders.sortWithinPartitions(*order).mapInArrow(by_line, "host string, key string")
 
 
 def removals(facts: DataFrame, common: DataFrame) -> DataFrame:
@@ -299,17 +160,17 @@ def line_rules(
     host_col: str = "source",
     *,
     line_docs: int = LINE_DOCS,
-    line_percent: float = LINE_PERCENT,
     kept_percent: int = KEPT_PERCENT,
 ) -> DataFrame:
     """Statistics and verdict of every document, with ``host``, ``text_key`` and ``removed``.
 
     A document fails the base rules below ``MIN_WORDS`` words or when over half of its words
     stand in repeated windows. Else it is kept while ``kept_percent`` of its words are left after
-    common lines went. ``line_docs`` alone says which lines are common, however large the host;
-    ``line_percent`` is still taken but decides nothing. NULL texts have no words, NULL hosts are one host (the empty one), NULL
-    and repeated identifiers keep their rows. Equal texts of a host share a verdict. An empty
-    table gives no rows. Other columns are not read.
+    common lines went. A line is common in more than ``line_docs`` distinct documents of a host,
+    however large the host and however many copies hold it; the rows' order and partitioning do
+    not matter. NULL texts have no words, NULL hosts are one host (the empty one), NULL and
+    repeated identifiers keep their rows. Equal texts of a host share a verdict. An empty table
+    gives no rows. Other columns are not read.
     """
     facts = saved(line_facts(docs, id_col, text_col, host_col), "lines")
     found = removals(facts, common_lines(facts, line_docs))
@@ -318,7 +179,7 @@ def line_rules(
         F.col("n_repeat_words") * 100 > F.col("n_words") * REPEATED_PERCENT
     )
     left = (F.col("n_words") - lost) * 100 >= F.col("n_words") * kept_percent
-    return facts.drop("lines").join(found, ["host", "text_key"], "left").select(
+    return facts.drop("lines", "lines_key").join(found, ["host", "text_key"], "left").select(
         F.col("id").alias(id_col),
         "n_words",
         "word_chars",

@@ -92,16 +92,14 @@ WITH docs AS (
     FROM (SELECT r, line, count(*) AS n FROM texts GROUP BY ALL) GROUP BY r
 ), keys AS (
     SELECT r, host, key, CAST(sum(n) AS BIGINT) AS n FROM texts GROUP BY ALL
-), known AS (
-    SELECT *, CASE WHEN key = k[1] THEN coalesce(k[2], '') ELSE k[1] END AS known_by
-    FROM (SELECT *, list(key) OVER (PARTITION BY r ORDER BY key
-          ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS k FROM keys)
+), plain AS (
+    SELECT r, md5(array_to_string(list_filter(list_transform(string_split({_LOWER.format('text')}, chr(10)),
+               lambda line: array_to_string(regexp_extract_all(line, {_WORD}), ' ')), lambda line: line <> ''), chr(10)))
+           AS lines_key
+    FROM docs
 ), common AS (
-    SELECT host, key FROM known JOIN (SELECT host, count(*) AS host_docs FROM docs GROUP BY host) USING (host)
-    GROUP BY host, key, host_docs
-    HAVING count(DISTINCT known_by) > {line_rules.LINE_DOCS}
-       AND count(DISTINCT known_by) * 2 > count(*)
-       AND count(DISTINCT known_by) * 100 > host_docs * {line_rules.LINE_PERCENT}
+    SELECT host, key FROM keys JOIN plain USING (r)
+    GROUP BY host, key HAVING count(DISTINCT lines_key) > {line_rules.LINE_DOCS}
 ), lost AS (
     SELECT r, CAST(sum(n) AS BIGINT) AS removed_words FROM keys SEMI JOIN common USING (host, key) GROUP BY r
 ), counted AS (

@@ -37,7 +37,7 @@ PAGES = {
     "not tags": ("<p>1 < 2 and a<3 <> </ x></p>", "1 < 2 and a<3 <> </ x>"),
     "unclosed": ("<div><p><b>one<br><p>two<li>three<script>no", "one\n\ntwo\n\nthree"),
     "cut in a tag": ("<p>one</p><p cla", "one"),
-    "stray ends": ("</div></p></article><p>one</b></i></p></section>two three", "one\n\ntwo three"),
+    "stray ends": ("</div></p></article><p>one and some more</b></i></p></section>two three", "one and some more\n\ntwo three"),
     "upper case": ("<P>one<SCRIPT>x</Script><BR>two</P><NAV>no</NAV>", "one two"),
     "nothing": ("<nav>menu</nav><script>x</script>", ""),
     "plain": ("just  text", "just text"),
