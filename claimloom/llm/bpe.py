@@ -5,6 +5,13 @@ the merge table and contracts each piece's leftmost pair of minimum rank until n
 Further occurrences of the same pair go in the same step as long as no merge before them makes a
 pair of lower rank: the same sequence in fewer steps. Decoding joins ids with the vocabulary and
 aggregates the bytes in order.
+
+A long piece is contracted in windows that overlap. Two windows are joined at a token that both
+have. That is exact: tokens are the encoding of their bytes if and only if every two neighbours
+are the encoding of theirs. For a merge across a border that no merge crossed before would be the
+minimum among the two tokens' own pairs as well, so the two alone would merge across it too. All
+neighbours in a joined sequence are neighbours in some window, and parts of an encoding that begin
+and end at its tokens are encodings.
 """
 
 from __future__ import annotations
@@ -27,11 +34,15 @@ QUERY_ROWS = 200_000
 BATCH_CHARS = 2_000_000
 #: Tokens that one query decodes; a longer document is decoded in consecutive ranges.
 DECODE_ROWS = 1_000_000
-#: Distinct pieces whose ids a worker remembers.
+#: Distinct pieces whose ids a worker remembers, and bytes of those ids.
 KNOWN_PIECES = 500_000
+KNOWN_BYTES = 64_000_000
 
-#: Pieces of more bytes take the form that contracts several pairs a step.
+#: Pieces of more bytes are contracted in windows of so many, each beginning ``STRIDE`` after the
+#: one before. Where two have no token in common (long runs of one sign), a wide window takes over.
 LONG = 255
+STRIDE = 191
+WIDE = 32_768
 
 #: ``piece`` rows (loc, id) lie one after the other, ``loc`` being piece number * 256 + offset. A
 #: step contracts the leftmost pair of minimum rank of every live piece (``key``: its rank, then
@@ -60,7 +71,7 @@ WITH RECURSIVE step(loc, next_loc, id, next_id, live) AS (
 SELECT loc >> 8 AS w, id FROM step WHERE NOT live ORDER BY loc
 """
 
-#: The same for long pieces, on rows (w, pos, id). ``hits`` are the pairs of minimum rank;
+#: The same for wide windows, on rows (w, pos, id). ``hits`` are the pairs of minimum rank;
 #: of overlapping ones the leftmost counts, then every second. ``early``: the merge makes a pair of
 #: lower rank with a neighbour, so later hits have to wait. A token that its left one took has -1.
 CONTRACT_LONG = """
@@ -118,7 +129,11 @@ class Codec:
             }
         self.split = regex.compile(pattern).findall
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
+        self.lengths = np.zeros(max(self.ranks.values()) + 1, np.int64)
+        for token, rank in self.ranks.items():
+            self.lengths[rank] = len(token)
         self.known: dict[str, bytes] = {}
+        self.known_bytes = 0
         self.db = duckdb.connect(
             config={"threads": 1, "memory_limit": "400MB", "temp_directory": "", "preserve_insertion_order": False}
         )
@@ -150,7 +165,7 @@ class Codec:
             self.db.unregister("given")
 
     def _contract(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Ids of pieces that are all long or all short."""
+        """Ids of pieces that are all of at most ``LONG`` bytes or all longer."""
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
         starts = np.cumsum(lengths) - lengths
         raw = np.frombuffer(b"".join(pieces), np.uint8)
@@ -168,25 +183,27 @@ class Codec:
 
     def learn(self, pieces: set[str]) -> None:
         """Make the ids of ``pieces`` known."""
-        if len(self.known) > KNOWN_PIECES:
+        if len(self.known) > KNOWN_PIECES or self.known_bytes > KNOWN_BYTES:
             self.known.clear()
-        queues: dict[bool, list[tuple[str, bytes]]] = {True: [], False: []}
-        rows = {True: 0, False: 0}
+            self.known_bytes = 0
+        queue: list[tuple[str, bytes]] = []
+        rows = 0
         for piece in pieces:
             if piece in self.known:
                 continue
             data = piece.encode()
             if (rank := self.ranks.get(data)) is not None:
                 self.known[piece] = rank.to_bytes(4, "little")
-                continue
-            long = len(data) > LONG
-            queues[long].append((piece, data))
-            rows[long] += len(data)
-            if rows[long] >= QUERY_ROWS:
-                self._flush(queues[long])
-                rows[long] = 0
-        self._flush(queues[True])
-        self._flush(queues[False])
+            elif len(data) > LONG:
+                self.known[piece] = self._long(data).tobytes()
+                self.known_bytes += len(self.known[piece])
+            else:
+                queue.append((piece, data))
+                rows += len(data)
+                if rows >= QUERY_ROWS:
+                    self._flush(queue)
+                    rows = 0
+        self._flush(queue)
 
     def _flush(self, queue: list[tuple[str, bytes]]) -> None:
         if queue:
@@ -194,6 +211,51 @@ class Codec:
             self.known.update(zip(names, (ids.tobytes() for ids in self._contract(list(data)))))
             queue.clear()
 
+    def _long(self, data: bytes) -> np.ndarray:
+        """Ids of a long piece, from windows of bounded size."""
+        starts = range(0, max(len(data) - LONG, 0) + STRIDE, STRIDE)
+        distinct = list({data[at : at + LONG] for at in starts})
+        known: dict[bytes, np.ndarray] = {}
+        per = QUERY_ROWS // LONG
+        for at in range(0, len(distinct), per):
+            some = distinct[at : at + per]
+            known.update(zip(some, self._contract(some)))
+        # ``ids`` and ``ends`` are the window at hand; before ``first`` its tokens are not its own.
+        ids = known[data[:LONG]]
+        ends = np.cumsum(self.lengths[ids])
+        first, out = 0, []
+        while ends[-1] < len(data):
+            # The last window that begins well inside the one at hand.
+            at = max((int(ends[-1]) - (LONG - STRIDE)) // STRIDE, 0) * STRIDE
+            new = known[data[at : at + LONG]]
+            new_ends = at + np.cumsum(self.lengths[new])
+            here = new_ends[-1] > ends[-1] and _same_token(ids, ends, first, new, new_ends)
+            if not here:
+                new, new_ends, here = self._wide(data, ids, ends, first)
+            mine, theirs = here
+            out.append(ids[first : mine + 1])
+            ids, ends, first = new, new_ends, theirs + 1
+        return np.concatenate([*out, ids[first:]])
+
+    def _wide(self, data: bytes, ids: np.ndarray, ends: np.ndarray, first: int):
+        """A wide window that begins at a token of the window at hand and has it too, and where.
+
+        Windows grow to the whole rest; from the first token on that is the rest's own encoding.
+        """
+        size = WIDE
+        while True:
+            for mine in range(max(first, (first + 3 * len(ids)) // 4), first - 1, -max(len(ids) // 8, 1)):
+                start = int(ends[mine - 1]) if mine else int(ends[0]) - int(self.lengths[ids[0]])
+                window = data[start : start + size]
+                if len(window) <= LONG or start + len(window) <= ends[-1]:
+                    continue
+                new = self._contract([window])[0]
+                if new[0] == ids[mine]:
+                    return new, start + np.cumsum(self.lengths[new]), (mine, 0)
+            if size >= len(data):
+                raise ValueError(f"a piece of {len(data)} bytes has no window that can be joined")
+            size *= 4
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         split = [self.split(text or "") for text in texts]
         self.learn(set().union(*split))
@@ -234,6 +296,17 @@ class Codec:
         self.db.unregister("tokens")
 
 
+def _same_token(ids, ends, first: int, new, new_ends) -> tuple[int, int] | None:
+    """Places of the first token that two windows share, from ``first`` on in one of them."""
+    low = int(ends.searchsorted(new_ends[0]))
+    mine = np.arange(max(low, first, 1), len(ends))
+    theirs = np.minimum(new_ends.searchsorted(ends[mine]), len(new_ends) - 1)
+    same = (new_ends[theirs] == ends[mine]) & (ids[mine] == new[theirs])
+    # Equal tokens that end at one place are the same bytes.
+    found = np.flatnonzero(same)
+    return (int(mine[found[0]]), int(theirs[found[0]])) if len(found) else None
+
+
 @cache
 def codec(rank_file: str, pattern: str) -> Codec:
     return Codec(rank_file, pattern)

@@ -41,6 +41,36 @@ def test_long_pieces(reference):
     same(long + ["".join(rng.choices("abcde", k=3000)), "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=1500))], reference)
 
 
+@pytest.mark.parametrize("size", [256, 257, 400, 700, 40_000])
+def test_windows_join_exactly(reference, size):
+    """Words that fall into windows: random, periodic, and runs that no two windows cut alike."""
+    rng = random.Random(size)
+    texts = ["".join(rng.choices(letters, k=size)) for letters in ("ab", "etaoin", "abcdefghijklmnopqrstuvwxyz", "éàüßñ", "日本語中")]
+    texts += [run * (size // len(run)) for run in ("a", "=", "-=", "abc", "hello", " ", "\n", "é", "0", "the")]
+    texts += ["a" * (size // 2) + "".join(rng.choices("ab", k=size // 2)) + "b" * 300 + "a" * size]
+    same(texts + [f" {t}." for t in texts], reference)
+
+
+def test_a_window_that_shares_no_token(reference, monkeypatch):
+    """Wide windows take over, and grow."""
+    monkeypatch.setattr(bpe, "WIDE", 300)
+    monkeypatch.setattr(bpe, "_same_token", lambda *args: None)
+    rng = random.Random(9)
+    same(["a" * 2500, "".join(rng.choices("abcd", k=2500)), "=" * 1111 + "-" * 1500], reference)
+
+
+@pytest.mark.parametrize("kind", ["equal", "spaces", "random"])
+def test_a_word_of_a_million_letters(reference, kind):
+    rng = random.Random(7)
+    letters = {"equal": "a", "spaces": " ", "random": "abcdefghijklmnopqrstuvwxyz"}[kind]
+    word = letters * 1_000_000 if len(letters) == 1 else "".join(rng.choices(letters, k=1_000_000))
+    coder = bpe.codec(RANK_FILE, PATTERN)
+    # The word is one piece; the library's own pattern engine overflows on a million spaces.
+    got = coder.encode(["short", word])[1]
+    assert got.tolist() == reference._core_bpe.encode_single_piece(word.encode())
+    assert coder.decode([got]) == [word.encode()]
+
+
 def test_small_memory_of_pieces(reference, monkeypatch):
     monkeypatch.setattr(bpe, "KNOWN_PIECES", 10)
     monkeypatch.setattr(bpe, "QUERY_ROWS", 50)
