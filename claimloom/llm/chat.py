@@ -1,7 +1,7 @@
 """Chat formatting: roles through a state machine, turns through a declarative template.
 
-Everything is DataFrame expressions. The output of a conversation is a list of text segments, each
-with a loss flag. Control strings of the template begin with ``<`` or ``[``. Neither character
+Everything is DataFrame expressions. The output of a conversation is a list of text segments,
+each with a loss flag. Control strings of the template begin with ``<`` or ``[``. Neither character
 survives in an escaped text, so a control string inside a text can never be taken for a mark, and
 unescaping is exact.
 """
@@ -24,32 +24,77 @@ TURNS = {
 #: States in which a conversation may end.
 ENDS = ("assistant",)
 
-#: What an escape stands for. The escape character comes first when escaping, last when undoing.
-ESCAPES = (("\\", "\\s"), ("<", "\\l"), ("[", "\\b"))
+#: The escape character, and what may follow it: the first stands for itself, the next for the
+#: marking characters in the order of their code points.
+ESCAPE = "\\"
+CODES = "slbcdefghijkmnopqrtuvwxyz0123456789"
+
+
+def marking(control: str) -> str:
+    """The character that marks a control string: its first sign, or else its first character."""
+    return next((c for c in control if not c.isalnum() and not c.isspace()), control[0])
 
 
 @dataclass(frozen=True)
 class Template:
-    """A turn is ``opening, role, heading, text, closing``; texts of ``trained`` roles have loss."""
+    """A turn is ``opening, role, heading, text, closing``; texts of ``trained`` roles have loss.
+
+    Opening and heading are not empty, no string holds the escape character, and no opening can be
+    read across or inside another string, whatever text stands beside it.
+    """
 
     opening: str = "<s>"
     heading: str = "[INST] "
     closing: str = " [/INST]</s>"
     trained: tuple[str, ...] = ("assistant",)
 
+    def __post_init__(self) -> None:
+        if not self.opening or not self.heading:
+            raise ValueError("a template needs an opening and a heading")
+        if ESCAPE in self.opening + self.heading + self.closing:
+            raise ValueError(f"control strings must not hold the escape character {ESCAPE}")
+        for other in (self.heading, self.closing, self.opening[1:]):
+            if _can_lie_over(self.opening, other):
+                raise ValueError(f"an opening {self.opening!r} could be read in {other!r}")
+
+    @property
+    def escapes(self) -> list[tuple[str, str]]:
+        """What each escape stands for. The escape character is escaped first and undone last."""
+        marks = sorted({marking(c) for c in (self.opening, self.heading, self.closing) if c})
+        codes = [c for c in CODES if c not in marks]
+        return [(plain, ESCAPE + code) for plain, code in zip([ESCAPE, *marks], codes)]
+
+
+def _can_lie_over(control: str, other: str) -> bool:
+    """Whether ``control``, its marking character in ``other``, fits there with any text around."""
+    place = control.index(marking(control))
+    return any(
+        all(
+            control[at] == other[at + start]
+            for at in range(len(control))
+            if 0 <= at + start < len(other)
+        )
+        for start in (at - place for at, c in enumerate(other) if c == control[place])
+    )
+
 
-def escaped(text: Column) -> Column:
-    for plain, code in ESCAPES:
+def escaped(text: Column, template: Template = Template()) -> Column:
+    for plain, code in template.escapes:
         text = F.replace(text, F.lit(plain), F.lit(code))
     return text
 
 
-def unescaped(text: Column) -> Column:
-    for plain, code in reversed(ESCAPES):
+def unescaped(text: Column, template: Template = Template()) -> Column:
+    for plain, code in reversed(template.escapes):
         text = F.replace(text, F.lit(code), F.lit(plain))
     return text
 
 
+def literal_pattern(text: str) -> str:
+    """A pattern that matches just ``text``."""
+    return "\\Q" + text.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+
+
 def in_order(roles: Column) -> Column:
     """Whether the state machine accepts the roles."""
     allowed = F.array(*(F.lit(f"{state}>{role}") for state, to in TURNS.items() for role in to))
@@ -93,9 +138,9 @@ def format_chats(
         trained = turn["role"].isin(*template.trained)
         return F.array(
             segment(F.lit(template.opening)),
-            segment(escaped(turn["role"])),
+            segment(escaped(turn["role"], template)),
             segment(F.lit(template.heading)),
-            segment(escaped(turn["text"]), trained),
+            segment(escaped(turn["text"], template), trained),
             segment(F.lit(template.closing)),
         )
 
@@ -114,10 +159,11 @@ def read_chats(chats: DataFrame, template: Template = Template()) -> DataFrame:
         role = F.substring_index(part, template.heading, 1)
         start = F.length(role) + heading + 1
         text = F.substring(part, start, F.length(part) - start - closing + 1)
-        return F.struct(unescaped(role).alias("role"), unescaped(text).alias("text"))
+        return F.struct(unescaped(role, template).alias("role"), unescaped(text, template).alias("text"))
 
-    trained = F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescaped(s["text"]))
-    parts = F.split("formatted", template.opening.replace("[", "\\["))
+    marked = F.filter("segments", lambda s: s["loss"])
+    trained = F.transform(marked, lambda s: unescaped(s["text"], template))
+    parts = F.split("formatted", literal_pattern(template.opening))
     return (
         chats.withColumn("formatted", F.array_join("segments.text", ""))
         .withColumn("turns", F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), turn))

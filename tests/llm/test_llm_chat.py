@@ -56,6 +56,43 @@ def test_reading_back_gives_the_turns(spark):
         assert not any("<" in s or "[" in s for s in marked)
 
 
+TEMPLATES = [
+    chat.Template(),
+    chat.Template("<|im_start|>", "\n", "<|im_end|>\n"),
+    chat.Template("### ", ":\n", "\n\n", trained=("user", "u ### v")),
+    chat.Template("USER", "says", "over"),
+    chat.Template("{$^.*+?()|}", "$1\\E".replace("\\", "") + "]", ""),
+    chat.Template("« ", " » ", " §", trained=()),
+]
+ROLES = ["user", "assistant", "a ### ssistant", "<|im_start|>", "[INST] ", "says", "u ### v", "USERsays", "\n", "«", "", "$1E]"]
+
+
+@pytest.mark.parametrize("template", TEMPLATES, ids=lambda t: repr(t.opening))
+def test_round_trip_of_templates(spark, template):
+    marks = [template.opening, template.heading, template.closing]
+    texts = [*TEXTS, *marks, "".join(marks), "\\s\\l\\b\\c", *(m[:-1] for m in marks), *(m[1:] for m in marks), "### x USER y <|im_end|>\n"]
+    rows = [
+        (conv, turn, ROLES[(conv + turn) % len(ROLES)], text, "x", 1)
+        for conv in range(len(ROLES))
+        for turn, text in enumerate(texts)
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, turns string, segments int")
+    got = {r.conv_id: r for r in chat.read_chats(chat.format_chats(df, template), template).collect()}
+    for conv, want in plain(df).items():
+        assert [(t.role, t.text) for t in got[conv].turns] == want
+        assert got[conv].loss_text == "".join(text for role, text in want if role in template.trained)
+        assert got[conv].formatted.count(template.opening) == len(want)
+
+
+@pytest.mark.parametrize(
+    "strings",
+    [("", "h", "c"), ("o", "", "c"), ("<s>", "\\", "c"), ("<s>", "h", "x<s>"), ("a<", "h", "<b"), ("<a", "x<", ""), ("<<", "h", "c")],
+)
+def test_templates_that_cannot_be_read_are_refused(strings):
+    with pytest.raises(ValueError):
+        chat.Template(*strings)
+
+
 def test_state_machine(spark):
     got = dict(chat.format_chats(chats(spark)).select("conv_id", "in_order").collect())
     assert {k: got[k] for k in CHATS} == {k: ok for k, (_, ok) in CHATS.items()}
