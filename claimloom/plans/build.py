@@ -208,7 +208,11 @@ def build(
             sink.discard(pending)
             report.skipped[name] = "a check of its intermediate rows failed"
             return
-        report.written[name] = sink.publish(pending, name)
+        try:
+            report.written[name] = sink.publish(pending, name)
+        except Exception:
+            sink.discard(pending)
+            raise
         stored = sink.read(report.written[name])
         report.checks += _run("final", check_not_null(stored, name, FINAL_NOT_NULL[name]))
         report.checks += _run("final", check_unique(stored, name, FINAL_UNIQUE[name]))

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from claimloom.payer import PayerProfile
 from claimloom.schemas import PASSTHROUGH, TABLE_COMMENTS
+from claimloom.sources.journal import SWITCHING, Files, Journal
 
 # Names of the raw tables.
 HMO_MEMBER = "commercial_hmo_member"
@@ -58,72 +59,140 @@ def database_of(spark: SparkSession, layer: str | None) -> str:
 
 
 class TableSink:
-    """Full refreshes of a layer's tables, in two steps.
+    """Full refreshes of a layer's tables, each in a folder of its own below the layer's.
 
-    ``store`` writes a pending table and touches nothing else, so a write that fails leaves the
-    published table as it was. ``publish`` switches by renaming: the old table steps aside, the
-    pending one takes its name, and only then the old one is dropped.
+    ``store`` writes a version and touches nothing else, so a write that fails leaves the published
+    table as it was. ``publish`` points the table to the version: one step in the catalog, before
+    which readers see the old rows and after which they see the new ones. The version before stays
+    until the next refresh, so that readers who began with it can finish. A journal tells the next
+    refresh of the table what a stopped one left. One writer per table at a time.
+
+    Where the columns change, the catalog needs two steps; a run stopped between them leaves no
+    table until the next refresh or ``recover``.
     """
 
     def __init__(self, spark: SparkSession, layer: str | None = None, fmt: str = "parquet"):
-        self.spark, self.fmt = spark, fmt
+        self.spark, self.fmt, self.files = spark, fmt, Files(spark)
         self.database = database_of(spark, layer)
+        self._schemas: dict[str, T.StructType] = {}
 
     def store(self, df: DataFrame, name: str) -> str:
-        """A pending table with the rows; returns its name."""
+        """A version with the rows; returns its folder."""
         self.spark.sql("CREATE DATABASE IF NOT EXISTS IDENTIFIER(:db)", args={"db": self.database})
-        pending = f"{self.database}.{name}__pending_{uuid.uuid4().hex[:12]}"
+        self.recover(name)
+        pending = self.files.absolute(f"{self._versions(name)}/{uuid.uuid4().hex}")
+        self._journal(name).begin(path=pending)
+        self._schemas[pending] = df.schema
         try:
-            df.write.format(self.fmt).saveAsTable(pending)
-            if name in TABLE_COMMENTS:
-                self._sql(f"COMMENT ON TABLE IDENTIFIER(:t) IS {_literal(TABLE_COMMENTS[name])}", t=pending)
+            df.write.format(self.fmt).save(pending)
         except Exception:
             self.discard(pending)
             raise
         return pending
 
     def publish(self, pending: str, name: str) -> str:
-        """The pending table under its own name; returns that."""
-        table = f"{self.database}.{name}"
-        old = f"{self.database}.{name}__old_{uuid.uuid4().hex[:12]}"
-        replaces = self.spark.catalog.tableExists(table)
-        if replaces:
-            self._rename(table, old)
-        try:
-            self._rename(pending, table)
-        except Exception:
-            if replaces:
-                self._rename(old, table)
-            raise
-        if replaces:
-            self._sql("DROP TABLE IDENTIFIER(:t)", t=old)
-        return table
+        """The table, with the rows of the version; returns its name."""
+        journal = self._journal(name)
+        number = next(e.number for e in journal.entries() if e.facts.get("path") == pending)
+        journal.switching(number, old=self._location(name))
+        return self._point(name, pending)
+
+    def recover(self, name: str) -> dict[str, str]:
+        """Finish or undo what stopped refreshes left; returns what was done, by version.
+
+        Without a stopped refresh this drops the version before the published one.
+        """
+        journal, done = self._journal(name), {}
+        entries = journal.entries()
+        current = self._location(name)
+        for entry in entries:
+            path = entry.facts["path"]
+            if current is None and entry.mark == SWITCHING:
+                self._point(name, path)
+                current = path
+            if path == current:
+                self._retire(entry.facts.get("old"), current)
+                done[path] = "finished"
+            else:
+                self.files.delete(path)
+                done[path] = "undone"
+            journal.close(entry.number)
+        return done
 
     def discard(self, pending: str) -> None:
-        self._sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", t=pending)
+        self.files.delete(pending)
+        journal = Journal(self.files, f"{pending.rpartition('/')[0]}/_journal")
+        for entry in journal.entries():
+            if entry.facts.get("path") == pending:
+                journal.close(entry.number)
 
     def read(self, where: str) -> DataFrame:
         return self.spark.read.table(where)
 
-    def _rename(self, old: str, new: str) -> None:
-        self._sql("ALTER TABLE IDENTIFIER(:old) RENAME TO IDENTIFIER(:new)", old=old, new=new)
+    def _point(self, name: str, path: str) -> str:
+        table = f"{self.database}.{name}"
+        schema = self._schemas.get(path) or self.spark.read.format(self.fmt).load(path).schema
+        if self.spark.catalog.tableExists(table):
+            if _shape(self.spark.read.table(table).schema) == _shape(schema):
+                self._set_location(table, path)
+                self.spark.catalog.refreshTable(table)
+                return table
+            self._drop(table)
+        self._create(table, path, schema, TABLE_COMMENTS.get(name))
+        return table
+
+    def _set_location(self, table: str, path: str) -> None:
+        self.spark.sql(f"ALTER TABLE IDENTIFIER(:t) SET LOCATION {_literal(path)}", args={"t": table})
 
-    def _sql(self, text: str, **names: str) -> None:
-        self.spark.sql(text, args=names)
+    def _drop(self, table: str) -> None:
+        self.spark.sql("DROP TABLE IDENTIFIER(:t)", args={"t": table})
+
+    def _create(self, table: str, path: str, schema: T.StructType, comment: str | None) -> None:
+        self.spark.catalog.createTable(table, path, self.fmt, schema, comment)
+
+    def _location(self, name: str) -> str | None:
+        """Where the published rows are."""
+        table = f"{self.database}.{name}"
+        if not self.spark.catalog.tableExists(table):
+            return None
+        rows = self.spark.sql("DESCRIBE EXTENDED IDENTIFIER(:t)", args={"t": table}).collect()
+        details = [r.col_name for r in rows].index("# Detailed Table Information")
+        return self.files.absolute(next(r.data_type for r in rows[details:] if r.col_name == "Location"))
+
+    def _versions(self, name: str) -> str:
+        rows = self.spark.sql("DESCRIBE DATABASE IDENTIFIER(:db)", args={"db": self.database}).collect()
+        return f"{next(r.info_value for r in rows if r.info_name == 'Location')}/{name}__versions"
+
+    def _journal(self, name: str) -> Journal:
+        return Journal(self.files, f"{self._versions(name)}/_journal")
+
+    def _retire(self, old: str | None, current: str) -> None:
+        """Drop a version that the table no longer points to."""
+        if old and old != current and not current.startswith(f"{old}/"):
+            self.files.delete(old)
+
+
+def _shape(schema: T.StructType) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in schema]
 
 
 class FileSink:
-    """Full refreshes of folders below ``root``, in the same two steps, where there is no catalog.
+    """Full refreshes of folders below ``root``, where there is no catalog.
 
-    Names that begin with a dot are not read by Spark. On stores without a rename of folders the
-    switch copies; readers should go through a catalog there.
+    A folder can not change in one step: it steps aside, and the pending one takes its place. A
+    journal covers the instant between. Readers through ``read`` then get the new rows from where
+    they are; readers of the plain path find no folder, never wrong rows, and the next refresh of
+    the name (or ``recover``) finishes the switch. Names that begin with a dot are not read by
+    Spark. On stores without a rename of folders use a catalog.
     """
 
     def __init__(self, spark: SparkSession, root: str, fmt: str = "parquet"):
-        self.spark, self.root, self.fmt = spark, root.rstrip("/"), fmt
+        self.spark, self.root, self.fmt, self.files = spark, root.rstrip("/"), fmt, Files(spark)
 
     def store(self, df: DataFrame, name: str) -> str:
+        self.recover(name)
         pending = f"{self.root}/.{name}-pending-{uuid.uuid4().hex}"
+        self._journal(name).begin(path=pending)
         try:
             df.write.format(self.fmt).save(pending)
         except Exception:
@@ -132,36 +201,56 @@ class FileSink:
         return pending
 
     def publish(self, pending: str, name: str) -> str:
-        path = f"{self.root}/{name}"
-        old = f"{self.root}/.{name}-old-{uuid.uuid4().hex}"
-        replaces = self._system(path).exists(self._path(path))
+        path, journal = f"{self.root}/{name}", self._journal(name)
+        entry = next(e for e in journal.entries() if e.facts.get("path") == pending)
+        old = f"{self.root}/.{name}-old-{entry.number}"
+        journal.switching(entry.number, old=old)
+        replaces = self.files.exists(path)
         if replaces:
-            self._rename(path, old)
+            self.files.rename(path, old)
         try:
-            self._rename(pending, path)
+            self.files.rename(pending, path)
         except Exception:
             if replaces:
-                self._rename(old, path)
+                self.files.rename(old, path)
             raise
-        if replaces:
-            self.discard(old)
+        self.files.delete(old)
+        journal.close(entry.number)
         return path
 
+    def recover(self, name: str) -> dict[str, str]:
+        """Finish or undo what stopped refreshes left; returns what was done, by pending folder."""
+        path, journal, done = f"{self.root}/{name}", self._journal(name), {}
+        for entry in journal.entries():
+            pending = entry.facts["path"]
+            done[pending] = "undone"
+            if entry.mark == SWITCHING:
+                if not self.files.exists(path):
+                    self.files.rename(pending, path)
+                if not self.files.exists(pending):
+                    done[pending] = "finished"
+                self.files.delete(entry.facts["old"])
+            self.files.delete(pending)
+            journal.close(entry.number)
+        return done
+
     def discard(self, pending: str) -> None:
-        self._system(pending).delete(self._path(pending), True)
+        self.files.delete(pending)
+        name = pending.rpartition("/.")[2].rpartition("-pending-")[0]
+        journal = self._journal(name)
+        for entry in journal.entries():
+            if entry.facts.get("path") == pending:
+                journal.close(entry.number)
 
     def read(self, where: str) -> DataFrame:
+        if not self.files.exists(where):
+            for entry in self._journal(where.rpartition("/")[2]).entries():
+                if entry.mark == SWITCHING and self.files.exists(entry.facts["path"]):
+                    where = entry.facts["path"]
         return self.spark.read.format(self.fmt).load(where)
 
-    def _path(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(name)
-
-    def _system(self, name: str):
-        return self._path(name).getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _rename(self, old: str, new: str) -> None:
-        if not self._system(old).rename(self._path(old), self._path(new)):
-            raise OSError(f"{old} could not become {new}")
+    def _journal(self, name: str) -> Journal:
+        return Journal(self.files, f"{self.root}/.{name}-journal")
 
 
 Sink = TableSink | FileSink

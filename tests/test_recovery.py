@@ -1,0 +1,179 @@
+"""Refreshes that are stopped between any two of their steps."""
+
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from claimloom.sources.journal import Files, Journal
+from claimloom.sources.tables import FileSink, TableSink
+
+
+class Killed(BaseException):
+    """A stop that no handler sees."""
+
+
+OLD, NEW, NEWEST = 5, 7, 11
+
+
+@pytest.fixture(params=["files", "tables"])
+def new_sink(request, spark, tmp_path):
+    layer = f"rec_{uuid.uuid4().hex[:8]}"
+    return lambda: FileSink(spark, str(tmp_path)) if request.param == "files" else TableSink(spark, layer)
+
+
+def refresh(sink, rows, name="t"):
+    return sink.publish(sink.store(sink.spark.range(0, rows, 1, 1), name), name)
+
+
+#: What changes anything outside, by object: (attribute path, method).
+STEPS = [("files", "write"), ("files", "rename"), ("files", "delete"), ("", "_set_location"), ("", "_create"), ("", "_drop")]
+
+
+def watched(sink, monkeypatch, stop_at, after):
+    """``sink`` counting its steps, and stopping before or after step number ``stop_at``."""
+    count = [0]
+    for owner, method in STEPS:
+        target = getattr(sink, owner) if owner else sink
+        if not hasattr(target, method):
+            continue
+
+        def step(*args, real=getattr(target, method), **kwargs):
+            count[0] += 1
+            if count[0] == stop_at and not after:
+                raise Killed
+            out = real(*args, **kwargs)
+            if count[0] == stop_at:
+                raise Killed
+            return out
+
+        monkeypatch.setattr(target, method, step)
+    return count
+
+
+def folders(sink, name="t"):
+    """What is left beside the published rows."""
+    files = sink.files
+    if isinstance(sink, FileSink):
+        journal = f"{sink.root}/.{name}-journal"
+        rest = [n for n in files.names(sink.root) if n not in (name, f".{name}-journal") and not n.endswith(".crc")]
+    else:
+        journal = f"{sink._versions(name)}/_journal"
+        rest = [n for n in files.names(sink._versions(name)) if n != "_journal"]
+    return rest, [n for n in files.names(journal) if not n.endswith(".crc")]
+
+
+def steps_of(new_sink, monkeypatch, first):
+    sink = new_sink()
+    if first:
+        refresh(sink, OLD, "counted")
+        refresh(sink, OLD, "counted")
+    with monkeypatch.context() as patch:
+        count = watched(sink, patch, -1, False)
+        refresh(sink, NEW, "counted")
+    return count[0]
+
+
+@pytest.mark.parametrize("after", [False, True])
+def test_stop_at_every_step(new_sink, monkeypatch, after):
+    steps = steps_of(new_sink, monkeypatch, first=True)
+    assert steps >= 5
+    for stop in range(1, steps + 1):
+        name = f"t{stop}"
+        sink = new_sink()
+        where = refresh(sink, OLD, name)
+        refresh(sink, OLD, name)
+        with monkeypatch.context() as patch:
+            watched(sink, patch, stop, after)
+            with pytest.raises(Killed):
+                refresh(sink, NEW, name)
+        # Readers see the old or the new rows, from another session's sink.
+        reader = new_sink()
+        sink.spark.catalog.clearCache()
+        assert reader.read(where).count() in (OLD, NEW), (stop, after)
+        # Recovery decides; after the next refresh nothing is left over.
+        reader.recover(name)
+        seen = reader.read(where).count()
+        assert seen in (OLD, NEW)
+        assert reader.recover(name) == {} and reader.read(where).count() == seen
+        refresh(new_sink(), NEWEST, name)
+        assert reader.read(where).count() == NEWEST
+        reader.recover(name)
+        rest, entries = folders(reader, name)
+        others = {f"t{n}" for n in range(steps + 2)} | {"counted"} | {f".t{n}-journal" for n in range(steps + 2)} | {".counted-journal"}
+        if isinstance(reader, FileSink):
+            assert not set(rest) - others and not entries
+        else:
+            assert len(rest) == 1 and not entries
+
+
+def test_stop_at_every_step_of_the_first_refresh(new_sink, monkeypatch):
+    steps = steps_of(new_sink, monkeypatch, first=False)
+    for stop in range(1, steps + 1):
+        name = f"n{stop}"
+        sink = new_sink()
+        with monkeypatch.context() as patch:
+            watched(sink, patch, stop, False)
+            with pytest.raises(Killed):
+                refresh(sink, NEW, name)
+        assert new_sink().read(refresh(new_sink(), NEWEST, name)).count() == NEWEST
+
+
+def test_the_version_before_stays_for_its_readers(spark):
+    sink = TableSink(spark, f"rec_{uuid.uuid4().hex[:8]}")
+    where = refresh(sink, OLD)
+    begun = spark.read.parquet(*sink.read(where).inputFiles())
+    refresh(sink, NEW)
+    assert begun.count() == OLD and sink.read(where).count() == NEW
+    rest, _ = folders(sink)
+    assert len(rest) == 2
+    sink.recover("t")
+    rest, entries = folders(sink)
+    assert len(rest) == 1 and not entries and sink.read(where).count() == NEW
+
+
+def test_changed_columns(spark, monkeypatch):
+    """Two steps of the catalog; a stop between them is finished by the next run."""
+    sink = TableSink(spark, f"rec_{uuid.uuid4().hex[:8]}")
+    where = refresh(sink, OLD)
+    other = spark.range(NEW).withColumn("more", F.lit("x"))
+    with monkeypatch.context() as patch:
+        patch.setattr(sink, "_create", lambda *a: (_ for _ in ()).throw(Killed))
+        with pytest.raises(Killed):
+            sink.publish(sink.store(other, "t"), "t")
+    again = TableSink(spark, sink.database)
+    assert set(again.recover("t").values()) == {"finished"}
+    assert again.read(where).columns == ["id", "more"] and again.read(where).count() == NEW
+
+
+def test_a_managed_table_from_elsewhere_is_taken_over(spark):
+    sink = TableSink(spark, f"rec_{uuid.uuid4().hex[:8]}")
+    spark.sql(f"create database {sink.database}")
+    spark.range(OLD).write.saveAsTable(f"{sink.database}.t")
+    where = refresh(sink, NEW)
+    assert sink.read(where).count() == NEW
+    refresh(sink, NEWEST)
+    assert sink.read(where).count() == NEWEST
+
+
+def test_a_mark_that_was_cut_off_counts_as_not_made(spark, tmp_path):
+    files = Files(spark)
+    journal = Journal(files, str(tmp_path))
+    number = journal.begin(path="p")
+    files.write(f"{tmp_path}/{number}.switching", '{"old": ')
+    assert [(e.mark, e.facts) for e in journal.entries()] == [("begun", {"path": "p"})]
+    journal.switching(number, old="o")
+    assert [(e.mark, e.facts) for e in journal.entries()] == [("switching", {"path": "p", "old": "o"})]
+    journal.close(number)
+    assert journal.entries() == []
+
+
+def test_a_refresh_that_can_not_be_published_leaves_nothing(new_sink, monkeypatch):
+    sink = new_sink()
+    where = refresh(sink, OLD)
+    pending = sink.store(sink.spark.range(NEW), "t")
+    sink.discard(pending)
+    assert sink.read(where).count() == OLD
+    rest, entries = folders(sink)
+    assert not entries or isinstance(sink, TableSink)
+    assert not [n for n in rest if "pending" in n]
