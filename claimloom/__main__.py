@@ -8,14 +8,13 @@ import sys
 from pyspark.sql import SparkSession
 
 from claimloom.payer import DEFAULT_PROFILE
-from claimloom.plans.build import build, named_relations, staging_views
+from claimloom.plans.build import build, staging_views
 from claimloom.sources.tables import (
     Layers,
     TableSink,
     newest_partition,
     raw_from_catalog,
     store_staging_views,
-    write_layer,
 )
 
 
@@ -27,21 +26,24 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--intermediate-database", default=layers.intermediate)
     parser.add_argument("--final-database", default=layers.final)
     parser.add_argument("--store-intermediate", action="store_true")
+    parser.add_argument("--hold-final", action="store_true", help="publish no table that fails a final check")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     raw = raw_from_catalog(spark, args.raw_database)
     store_staging_views(spark, args.raw_database, args.staging_database, staging_views())
-    if args.store_intermediate:
-        for name, df in named_relations(raw).items():
-            if name.startswith("int_"):
-                write_layer(df, name, args.intermediate_database)
     newest = {
         name: date
         for name in raw
         if (date := newest_partition(spark, f"{args.raw_database}.{name}")) is not None
     }
-    report = build(raw, TableSink(spark, args.final_database), newest=newest)
+    report = build(
+        raw,
+        TableSink(spark, args.final_database),
+        newest=newest,
+        intermediate_sink=TableSink(spark, args.intermediate_database) if args.store_intermediate else None,
+        hold_final=args.hold_final,
+    )
     for check in report.checks:
         verdict = "FAIL" if check.failures else "ok"
         print(f"{verdict} {check.layer} {check.table_name}.{check.column_name}: {check.failures}")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
@@ -12,8 +12,9 @@ def conform(
     df: DataFrame,
     schema: T.StructType,
     values: Mapping[str, Column] | None = None,
+    also: Sequence[str] = (),
 ) -> DataFrame:
-    """Exactly the contract's columns, in order, with its types and comments.
+    """Exactly the contract's columns, in order, with its types and comments, and ``also`` others.
 
     A column comes from ``values``, else from ``df``, else it is a typed NULL placeholder.
     Placeholders are added here, at the very end, so they never travel through a shuffle.
@@ -23,7 +24,8 @@ def conform(
     unknown = set(values) - set(schema.names)
     if unknown:
         raise ValueError(f"not in the contract: {sorted(unknown)}")
-    return df.withColumns(dict(values)).to(schema)
+    fitted = df.withColumns(dict(values))
+    return fitted.to(T.StructType([*schema.fields, *(fitted.schema[c] for c in also)]))
 
 
 def renamed(

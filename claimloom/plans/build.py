@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import types as T
 
-from claimloom.operators.quality import check_not_null, check_unique, null_counts
+from claimloom.operators.quality import SAME_KEY, check_not_null, duplicates_seen, null_counts
 from claimloom.operators.staging import stage
 from claimloom.payer import DEFAULT_PROFILE, PayerProfile
 from claimloom.plans import medical, members, pharmacy
@@ -118,22 +118,30 @@ def intermediate_relation(
     profile: PayerProfile = DEFAULT_PROFILE,
     full_months_only: bool = False,
     newest: dict[str, dt.date] | None = None,
+    count_keys: bool = False,
 ) -> DataFrame:
     """Normalized rows of an output before its final filter. Lazy, nothing is stored.
 
-    ``newest`` gives the newest file date of raw tables where a caller knows it.
+    ``newest`` gives the newest file date of raw tables where a caller knows it. ``count_keys``
+    adds ``SAME_KEY``, how many rows of the output have the row's unique key.
     """
     staged = staging_relations({table: raw[table] for table in INPUTS[name]})
     dates = [(newest or {}).get(table) for table in INPUTS[name]]
     date = None if None in dates else max(dates)
     if name == "medical_claim":
-        return medical.intermediate_medical_claims(staged[MEDICAL_CLAIMS], profile, newest=date)
+        return medical.intermediate_medical_claims(
+            staged[MEDICAL_CLAIMS], profile, newest=date, count_keys=count_keys
+        )
     if name == "pharmacy_claim":
-        return pharmacy.intermediate_pharmacy_claims(staged[PHARMACY_CLAIMS], profile, date)
+        return pharmacy.intermediate_pharmacy_claims(
+            staged[PHARMACY_CLAIMS], profile, date, count_keys
+        )
     feeds = members.member_feeds(staged[HMO_MEMBER], staged[PPO_MEMBER])
     if name == "eligibility":
-        return members.intermediate_member_eligibility(feeds, profile, full_months_only, date)
-    return members.intermediate_provider_attribution(feeds, profile)
+        return members.intermediate_member_eligibility(
+            feeds, profile, full_months_only, date, count_keys
+        )
+    return members.intermediate_provider_attribution(feeds, profile, count_keys)
 
 
 def final_relation(
@@ -155,11 +163,8 @@ def staging_views(profile: PayerProfile = DEFAULT_PROFILE) -> dict[str, tuple[st
     return {f"stg_{profile.payer}_{names[table]}": (table, RAW_SCHEMAS[table]) for table in names}
 
 
-def named_relations(
-    raw: dict[str, DataFrame], profile: PayerProfile = DEFAULT_PROFILE
-) -> dict[str, DataFrame]:
-    """Staging and intermediate relations under the names SQL users know them by."""
-    staged = staging_relations(raw)
+def intermediate_name(name: str, profile: PayerProfile = DEFAULT_PROFILE) -> str:
+    """The name SQL users know an output's intermediate relation by."""
     # Relation names.
     names = {
         "eligibility": "member_eligibility",
@@ -167,12 +172,17 @@ def named_relations(
         "medical_claim": "medical_claims",
         "pharmacy_claim": "pharmacy_claims",
     }
+    return f"int_{profile.payer}_{names[name]}"
+
+
+def named_relations(
+    raw: dict[str, DataFrame], profile: PayerProfile = DEFAULT_PROFILE
+) -> dict[str, DataFrame]:
+    """Staging and intermediate relations under the names SQL users know them by."""
+    staged = staging_relations(raw)
     return {
         **{name: staged[table] for name, (table, _) in staging_views(profile).items()},
-        **{
-            f"int_{profile.payer}_{short}": intermediate_relation(name, raw, profile)
-            for name, short in names.items()
-        },
+        **{intermediate_name(name, profile): intermediate_relation(name, raw, profile) for name in FINALIZE},
     }
 
 
@@ -181,14 +191,23 @@ def build(
     sink: Sink,
     profile: PayerProfile = DEFAULT_PROFILE,
     newest: dict[str, dt.date] | None = None,
+    intermediate_sink: Sink | None = None,
+    hold_final: bool = False,
 ) -> BuildReport:
     """Write all outputs and check every layer.
 
     Staging is checked first, and an output with a failed input is skipped. An output is stored
-    as pending, and its intermediate rows, all of them, are observed on the way, at no second
-    pass. It is published only if they pass; else the published table stays as it was. Final
-    checks read their few columns back from the published table. The four outputs are independent
-    jobs and run side by side; one that raises is reported and stops no other.
+    as pending, and its rows are observed on the way, at no second pass: intermediate ones, all of
+    them, for NULLs, final ones for NULLs and repeated keys. Repeated keys are found among
+    neighbours, in the partitioning and order that the choice of versions left. It is published
+    only if its intermediate rows pass, with ``hold_final`` only if the final ones pass as well;
+    else the published table stays as it was. Nothing is read back.
+
+    With ``intermediate_sink`` the intermediate rows are stored there, under the names SQL users
+    know, by the one pass that computes them; the output is then a filter over what was stored.
+
+    The four outputs are independent jobs and run side by side; one that raises is reported and
+    stops no other.
     """
     staged = staging_relations(raw)
     report = BuildReport()
@@ -196,26 +215,50 @@ def build(
     def staging_check(name: str) -> list[Check]:
         return _run("staging", check_not_null(staged[name], name, STAGING_NOT_NULL[name]))
 
+    def published(target: Sink, pending: str, name: str) -> None:
+        try:
+            report.written[name] = target.publish(pending, name)
+        except Exception:
+            target.discard(pending)
+            raise
+
     def output(name: str) -> None:
-        seen = Observation(name)
-        observed = intermediate_relation(name, raw, profile, newest=newest).observe(
-            seen, *null_counts(INTERMEDIATE_NOT_NULL[name])
+        unique = "+".join(FINAL_UNIQUE[name])
+        seen, final_seen = Observation(name), Observation(f"final {name}")
+        rows = (
+            intermediate_relation(name, raw, profile, newest=newest, count_keys=True)
+            .observe(seen, *null_counts(INTERMEDIATE_NOT_NULL[name]), duplicates_seen(unique))
+            .drop(SAME_KEY)
         )
-        pending = sink.store(FINALIZE[name](observed), name)
-        checks = [Check("intermediate", name, c, n) for c, n in seen.get.items()]
-        report.checks += checks
-        if any(c.failures for c in checks):
+        failed_rows = "a check of its intermediate rows failed"
+        if intermediate_sink is not None:
+            int_name = intermediate_name(name, profile)
+            pending = intermediate_sink.store(rows, int_name)
+            duplicates, checks = _observed("intermediate", name, seen, unique)
+            report.checks += checks
+            if any(c.failures for c in checks):
+                intermediate_sink.discard(pending)
+                report.skipped[name] = failed_rows
+                return
+            published(intermediate_sink, pending, int_name)
+            rows = intermediate_sink.read(report.written[int_name])
+        final = FINALIZE[name](rows).observe(final_seen, *null_counts(FINAL_NOT_NULL[name]))
+        pending = sink.store(final, name)
+        if intermediate_sink is None:
+            duplicates, checks = _observed("intermediate", name, seen, unique)
+            report.checks += checks
+        final_checks = [Check("final", name, c, n) for c, n in final_seen.get.items()]
+        final_checks.append(Check("final", name, unique, duplicates))
+        held = failed_rows if any(c.failures for c in checks) else ""
+        if not held:
+            report.checks += final_checks
+            if hold_final and any(c.failures for c in final_checks):
+                held = "a check of its final rows failed"
+        if held:
             sink.discard(pending)
-            report.skipped[name] = "a check of its intermediate rows failed"
+            report.skipped[name] = held
             return
-        try:
-            report.written[name] = sink.publish(pending, name)
-        except Exception:
-            sink.discard(pending)
-            raise
-        stored = sink.read(report.written[name])
-        report.checks += _run("final", check_not_null(stored, name, FINAL_NOT_NULL[name]))
-        report.checks += _run("final", check_unique(stored, name, FINAL_UNIQUE[name]))
+        published(sink, pending, name)
 
     with ThreadPoolExecutor(len(FINALIZE)) as pool:
         jobs = {name: pool.submit(staging_check, name) for name in STAGING_NOT_NULL}
@@ -237,6 +280,12 @@ def build(
     return report
 
 
+def _observed(layer: str, name: str, seen: Observation, unique: str) -> tuple[int, list[Check]]:
+    """Repeated keys, and the NULL checks, of a pass that is over."""
+    counts = dict(seen.get)
+    return counts.pop(unique), [Check(layer, name, c, n) for c, n in counts.items()]
+
+
 def _run(layer: str, result: DataFrame) -> list[Check]:
     """A check's handful of result rows."""
     return [Check(layer, **row.asDict()) for row in result.collect()]

@@ -21,6 +21,7 @@ from claimloom.functions.ids import absent_or_valid, member_key, person_id, vali
 from claimloom.operators.classify import claim_type_facts, span_facts, type_facts, type_label
 from claimloom.operators.conform import conform, renamed
 from claimloom.operators.pick import best, then_all_others
+from claimloom.operators.quality import SAME_KEY, with_same_key
 from claimloom.operators.reversal import matches_reversal, sign_facts
 from claimloom.operators.skew import (
     DEFAULT_RULE,
@@ -142,13 +143,24 @@ def _checked_ids() -> dict[str, Column]:
     return {target: valid_npi(source) for target, source in CHECKED_IDS.items()}
 
 
-def _by_window(lines: DataFrame) -> DataFrame:
+def _ids_pass() -> Column:
+    passes = F.lit(True)
+    for target, source in CHECKED_IDS.items():
+        passes = passes & absent_or_valid(source, target)
+    return passes
+
+
+def _with_counted_keys(winners: DataFrame, count_keys: bool) -> DataFrame:
+    return with_same_key(winners, [CLAIM, LINE], kept=_ids_pass()) if count_keys else winners
+
+
+def _by_window(lines: DataFrame, count_keys: bool) -> DataFrame:
     """Winning version of each line with line and claim facts; one shuffle, by claim."""
     ranking = then_all_others(lines.drop(CLAIM, LINE), VERSION_ORDER)
     by_line = Window.partitionBy(CLAIM, LINE).orderBy(*map(F.desc_nulls_last, ranking))
     all_versions = by_line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     by_claim = Window.partitionBy(CLAIM)
-    return (
+    winners = (
         lines.repartition(CLAIM)
         .select(
             "*",
@@ -158,11 +170,13 @@ def _by_window(lines: DataFrame) -> DataFrame:
         .where(F.col("_rank") == 1)
         .drop("_rank")
         .withColumns(_checked_ids())
-        .select("*", *(fact.over(by_claim).alias(name) for name, fact in _claim_facts().items()))
+    )
+    return _with_counted_keys(winners, count_keys).select(
+        "*", *(fact.over(by_claim).alias(name) for name, fact in _claim_facts().items())
     )
 
 
-def _by_aggregate(lines: DataFrame) -> DataFrame:
+def _by_aggregate(lines: DataFrame, count_keys: bool) -> DataFrame:
     """The same for few but huge claims: map-side combined, one broadcast row per claim."""
     per_line = lines.groupBy(CLAIM, LINE).agg(
         best(then_all_others(lines.drop(CLAIM, LINE), VERSION_ORDER)).alias("_row"),
@@ -171,12 +185,13 @@ def _by_aggregate(lines: DataFrame) -> DataFrame:
     per_claim = per_line.groupBy(CLAIM).agg(
         *(fact.alias(name) for name, fact in _claim_facts().items())
     )
-    return (
+    winners = (
         attach_broadcast(per_line, per_claim, [CLAIM])
         .select("*", "_row.*")
         .drop("_row")
         .withColumns(_checked_ids())
     )
+    return _with_counted_keys(winners, count_keys)
 
 
 def intermediate_medical_claims(
@@ -184,20 +199,20 @@ def intermediate_medical_claims(
     profile: PayerProfile = DEFAULT_PROFILE,
     rule: HotKeyRule = DEFAULT_RULE,
     newest: dt.date | None = None,
+    count_keys: bool = False,
 ) -> DataFrame:
     """Staged medical claims to the output contract.
 
     The winning version is chosen first; if it then fails the provider check its line is gone.
-    A claim with any reversed line keeps its other lines, without a claim type.
+    A claim with any reversed line keeps its other lines, without a claim type. ``count_keys``
+    adds how many rows have the row's key (``SAME_KEY``).
     """
     lines = pack(read_lines(latest_snapshot(staged, newest=newest)))
     hot = hot_keys(lines, [CLAIM], rule)
-    versions = _by_window(rows_without(lines, hot)).unionByName(
-        _by_aggregate(rows_with(lines, hot))
+    versions = _by_window(rows_without(lines, hot), count_keys).unionByName(
+        _by_aggregate(rows_with(lines, hot), count_keys)
     )
-    kept = versions.where(~_line_dropped())
-    for target, source in CHECKED_IDS.items():
-        kept = kept.where(absent_or_valid(source, target))
+    kept = versions.where(~_line_dropped() & _ids_pass())
     classified = F.col(CLAIM).isNotNull() & ~F.col("_any_reversed")
     return conform(
         kept.select("*", "_rest.*"),
@@ -217,6 +232,7 @@ def intermediate_medical_claims(
             "procedure_code_type": codes.tag_if_present("procedure_code_1", "icd-10-pcs"),
             "data_source": F.lit(profile.data_source),
         },
+        [SAME_KEY] if count_keys else [],
     )
 
 

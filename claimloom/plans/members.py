@@ -11,6 +11,7 @@ from claimloom.functions import codes
 from claimloom.functions.ids import member_key, person_id, valid_npi
 from claimloom.operators.conform import conform, renamed
 from claimloom.operators.pick import pick_current
+from claimloom.operators.quality import SAME_KEY, with_same_key
 from claimloom.operators.snapshot import latest_snapshot
 from claimloom.operators.union import tagged_union
 from claimloom.payer import DEFAULT_PROFILE, PayerProfile
@@ -60,6 +61,7 @@ def intermediate_member_eligibility(
     profile: PayerProfile = DEFAULT_PROFILE,
     full_months_only: bool = False,
     newest: dt.date | None = None,
+    count_keys: bool = False,
 ) -> DataFrame:
     """One row per member and month of the newest file date over both feeds.
 
@@ -67,21 +69,26 @@ def intermediate_member_eligibility(
 
     ``full_months_only`` is for callers that go on to ``eligibility``: as the choice prefers the
     highest count, rows below one can never lead to a full month and are dropped at the scan,
-    before the shuffle. Rows above one still take part: they hide their month.
+    before the shuffle. Rows above one still take part: they hide their month. ``count_keys`` adds
+    how many rows of ``eligibility`` have the row's key (``SAME_KEY``).
     """
     months = _keyed(
         latest_snapshot(feeds, newest=newest), ELIGIBILITY_RENAMED, {"gender": codes.gender("mem_gender")}
     )
     if full_months_only:
         months = months.where(F.col("x_mem_mth_cnt") >= FULL_MONTH)
+    group = ["member_id", "_month"]
     picked = pick_current(
-        months,
-        ["member_id", F.trunc("enrollment_start_date", "MM")],
+        months.withColumn("_month", F.trunc("enrollment_start_date", "MM")),
+        group,
         [F.col("x_mem_mth_cnt"), F.col("enrollment_end_date"), F.col("ingest_datetime")],
         ["file_name"],
-    ).withColumn("death_date", F.lit(None).cast("date"))
+    )
+    if count_keys:
+        span = ["enrollment_start_date", "enrollment_end_date"]
+        picked = with_same_key(picked, group, span, F.col("x_mem_mth_cnt").eqNullSafe(FULL_MONTH))
     return conform(
-        picked,
+        picked.withColumn("death_date", F.lit(None).cast("date")),
         ELIGIBILITY,
         {
             "person_id": person_id(profile, "member_id"),
@@ -94,6 +101,7 @@ def intermediate_member_eligibility(
             "x_program_type": F.col("plan"),
             "x_market": F.lit(profile.market),
         },
+        [SAME_KEY] if count_keys else [],
     )
 
 
@@ -108,7 +116,7 @@ def eligibility(intermediate: DataFrame) -> DataFrame:
 
 
 def intermediate_provider_attribution(
-    feeds: DataFrame, profile: PayerProfile = DEFAULT_PROFILE
+    feeds: DataFrame, profile: PayerProfile = DEFAULT_PROFILE, count_keys: bool = False
 ) -> DataFrame:
     """One row per member, plan and month over all file dates, newest file first."""
     months = _keyed(
@@ -116,12 +124,15 @@ def intermediate_provider_attribution(
         ATTRIBUTION_RENAMED,
         {"year_month": codes.year_month("mem_mth_st_dt")},
     )
+    group = ["member_id", "plan", "year_month"]
     picked = pick_current(
         months,
-        ["member_id", "plan", "year_month"],
+        group,
         [F.col("file_date"), F.col("member_term_date"), F.col("ingest_datetime")],
         ["file_name"],
     )
+    if count_keys:
+        picked = with_same_key(picked, group)
     return conform(
         picked,
         PROVIDER_ATTRIBUTION,
@@ -138,6 +149,7 @@ def intermediate_provider_attribution(
             "x_program_type": F.col("plan"),
             "x_market": F.lit(profile.market),
         },
+        [SAME_KEY] if count_keys else [],
     )
 
 

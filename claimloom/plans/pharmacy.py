@@ -16,6 +16,7 @@ from claimloom.functions.codes import is_yes
 from claimloom.functions.ids import member_key, person_id, valid_npi
 from claimloom.operators.conform import conform, renamed
 from claimloom.operators.pick import best, then_all_others
+from claimloom.operators.quality import SAME_KEY, with_same_key
 from claimloom.operators.reversal import (
     has_both_signs,
     is_any_reversed,
@@ -79,7 +80,10 @@ def _current_versions(rows: DataFrame) -> DataFrame:
 
 
 def intermediate_pharmacy_claims(
-    staged: DataFrame, profile: PayerProfile = DEFAULT_PROFILE, newest: dt.date | None = None
+    staged: DataFrame,
+    profile: PayerProfile = DEFAULT_PROFILE,
+    newest: dt.date | None = None,
+    count_keys: bool = False,
 ) -> DataFrame:
     """Staged pharmacy claims to the output contract.
 
@@ -89,7 +93,8 @@ def intermediate_pharmacy_claims(
     Claims without a number are a branch of their own, whose test for NULL reaches the Parquet
     reader. They alone depend on whether anything was reversed; the pass that finds out has "is
     there such a claim" among its filters, and where the table is partitioned by file date it
-    opens no file if there is none.
+    opens no file if there is none. ``count_keys`` adds how many rows have the row's key
+    (``SAME_KEY``).
     """
     rows = read_claims(latest_snapshot(staged, newest=newest))
     unnamed, named = rows.where(F.col(CLAIM).isNull()), rows.where(F.col(CLAIM).isNotNull())
@@ -97,10 +102,12 @@ def intermediate_pharmacy_claims(
     null_reversed = reversed_in(unnamed, amount)
     any_unnamed = unnamed.select(F.count("*") > 0).scalar()
     any_reversed = is_any_reversed(named.where(any_unnamed), [CLAIM], amount)
+    versions = _current_versions(named)
+    if count_keys:
+        versions = with_same_key(versions, [CLAIM], kept=F.col("ndc_code").isNotNull())
     winners = (
-        _current_versions(named)
-        .where(kept_by_not_in("_reversed", null_reversed))
-        .unionByName(_current_versions(unnamed).where(~F.col("_reversed") & ~any_reversed))
+        versions.where(kept_by_not_in("_reversed", null_reversed))
+        .unionByName(_current_versions(unnamed).where(~F.col("_reversed") & ~any_reversed), True)
     )
     return conform(
         winners.where(F.col("ndc_code").isNotNull()),
@@ -119,6 +126,7 @@ def intermediate_pharmacy_claims(
             "days_supply": truncated(F.col("days_supply")),
             "data_source": F.lit(profile.data_source),
         },
+        [SAME_KEY] if count_keys else [],
     )
 
 

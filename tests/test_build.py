@@ -6,11 +6,14 @@ import pytest
 from compare import rows_of_spark
 from conftest import DAY, OLD_DAY, run_time
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from claimloom import DEFAULT_PROFILE
 from claimloom.__main__ import main
+from claimloom.operators import pick
+from claimloom.operators.quality import SAME_KEY, check_unique
 from claimloom.operators.snapshot import latest_snapshot
-from claimloom.plans import build
+from claimloom.plans import build, medical, members, pharmacy
 from claimloom.sources import tables
 from claimloom.sources.tables import (
     HMO_MEMBER,
@@ -150,6 +153,76 @@ def test_final_checks_are_reported(spark, tmp_path, clean_raw, medical_rows):
     assert "medical_claim" in report.written
 
 
+def two_winners(df, keys, prefer, tiebreak=()):
+    """A choice that is broken: it leaves two rows of a key."""
+    ranking = [*prefer, *pick.then_all_others(df, tiebreak)]
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*map(F.desc_nulls_last, ranking)))
+    return df.withColumn("_rank", rank).where("_rank <= 2").drop("_rank")
+
+
+@pytest.fixture
+def broken_choice(monkeypatch, clean_raw, member_rows, medical_rows, pharmacy_rows):
+    """Two rows a key in every table."""
+    monkeypatch.setattr(members, "pick_current", two_winners)
+    version = pharmacy._current_versions
+    monkeypatch.setattr(pharmacy, "_current_versions", lambda rows: (lambda v: v.unionByName(v).repartition(pharmacy.CLAIM))(version(rows)))
+    by_window = medical._with_counted_keys
+    monkeypatch.setattr(medical, "_with_counted_keys", lambda rows, count: by_window(rows.unionByName(rows), count))
+    return clean_raw | {
+        HMO_MEMBER: member_rows(dict(mem_first_name="x"), dict(), dict(), dict(cursubid="2"), dict(cursubid="4", mem_mth_cnt=2), dict(cursubid="4")),
+        MEDICAL_CLAIMS: medical_rows(dict(), dict(clm_line_num=2), dict(int_clm_num="c2")),
+        PHARMACY_CLAIMS: pharmacy_rows(dict(), dict(int_clm_num="r2"), dict(int_clm_num="r3", clm_ndc=None)),
+    }
+
+
+#: Keys with two rows: member 1's month; its plan and month, and member 4's; all lines; claims with a drug.
+REPEATED = {"eligibility": 1, "provider_attribution": 2, "medical_claim": 3, "pharmacy_claim": 2}
+
+
+@pytest.mark.parametrize("hold", [False, True])
+def test_repeated_keys_are_found_on_the_way(sink, broken_choice, hold):
+    report = build.build(broken_choice, sink, hold_final=hold)
+    assert not report.errors
+    unique = {c.table_name: c.failures for c in report.checks if c.layer == "final" and "+" in c.column_name}
+    assert unique == REPEATED
+    assert set(report.skipped if hold else report.written) == set(build.FINALIZE)
+    if not hold:
+        for name, keys in build.FINAL_UNIQUE.items():
+            assert check_unique(sink.read(report.written[name]), name, keys).first().failures == REPEATED[name]
+
+
+def shuffles(df):
+    return str(df._jdf.queryExecution().executedPlan()).count("Exchange hashpartitioning")
+
+
+def test_counting_keys_shuffles_nothing(spark, sf_dir):
+    raw = raw_tables(spark, sf_dir)
+    for name in build.FINALIZE:
+        plain, counted = (build.intermediate_relation(name, raw, count_keys=c) for c in (False, True))
+        assert shuffles(plain) == shuffles(counted) > 0, name
+        assert counted.columns == [*plain.columns, SAME_KEY]
+        assert counted.where(f"{SAME_KEY} > 1").count() == 0
+
+
+def test_intermediate_rows_are_stored_in_the_pass(spark, clean_raw, medical_rows):
+    layer = f"inter_{uuid.uuid4().hex[:8]}"
+    inner, outer = TableSink(spark, layer), TableSink(spark, f"{layer}_final")
+    report = build.build(clean_raw, outer, intermediate_sink=inner)
+    assert report.ok and len(report.written) == 8
+    for name in build.FINALIZE:
+        stored = inner.read(report.written[build.intermediate_name(name)])
+        assert rows_of_spark(stored) == rows_of_spark(build.intermediate_relation(name, clean_raw))
+        assert rows_of_spark(outer.read(report.written[name])) == rows_of_spark(build.final_relation(name, clean_raw))
+    before = rows_of_spark(inner.read(f"{layer}.int_bcbs_medical_claims"))
+    # A value that can not be read, and rows that fail: their tables stay, the others are written.
+    raw = clean_raw | broken_medical(medical_rows)
+    raw |= {HMO_MEMBER: clean_raw[HMO_MEMBER].withColumn("mem_birth_dt", F.lit("19x0-01-01"))}
+    report = build.build(raw, outer, intermediate_sink=inner)
+    assert set(report.errors) == {"eligibility"} and set(report.skipped) == {"medical_claim"}
+    assert rows_of_spark(inner.read(f"{layer}.int_bcbs_medical_claims")) == before
+    assert {"pharmacy_claim", "provider_attribution"} <= set(report.written)
+
+
 def test_one_bad_value_stops_its_tables_only(sink, clean_raw):
     raw = clean_raw | {
         HMO_MEMBER: clean_raw[HMO_MEMBER].withColumn("mem_birth_dt", F.lit("19x0-01-01"))
@@ -165,9 +238,9 @@ def test_intermediate_check_sees_every_row(spark, tmp_path, clean_raw, monkeypat
     seen = []
     whole = build.intermediate_relation
 
-    def spy(name, raw, profile, full_months_only=False, newest=None):
+    def spy(name, raw, profile, full_months_only=False, newest=None, **rest):
         seen.append(full_months_only)
-        return whole(name, raw, profile, full_months_only, newest)
+        return whole(name, raw, profile, full_months_only, newest, **rest)
 
     monkeypatch.setattr(build, "intermediate_relation", spy)
     build.build(clean_raw, **files(spark, tmp_path))
