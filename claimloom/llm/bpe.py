@@ -39,9 +39,10 @@ KNOWN_PIECES = 500_000
 KNOWN_BYTES = 64_000_000
 
 #: Pieces of more bytes are contracted in windows of so many, each beginning ``STRIDE`` after the
-#: one before. Where two have no token in common (long runs of one sign), a wide window takes over.
-LONG = 255
-STRIDE = 191
+#: one before: a query takes as many steps as its longest piece has merges. Where two windows have
+#: no token in common (long runs of one sign), a wide window takes over.
+LONG = 96
+STRIDE = 64
 WIDE = 32_768
 
 #: ``piece`` rows (loc, id) lie one after the other, ``loc`` being piece number * 256 + offset. A
@@ -133,6 +134,7 @@ class Codec:
         for token, rank in self.ranks.items():
             self.lengths[rank] = len(token)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.known_bytes = 0
         self.db = duckdb.connect(
             config={"threads": 1, "memory_limit": "400MB", "temp_directory": "", "preserve_insertion_order": False}
@@ -183,43 +185,37 @@ class Codec:
 
     def learn(self, pieces: set[str]) -> None:
         """Make the ids of ``pieces`` known."""
-        if len(self.known) > KNOWN_PIECES or self.known_bytes > KNOWN_BYTES:
-            self.known.clear()
-            self.known_bytes = 0
-        queue: list[tuple[str, bytes]] = []
-        rows = 0
+        # Two generations: pieces that come again stay, others go with the older one.
+        if len(self.known) > KNOWN_PIECES // 2 or self.known_bytes > KNOWN_BYTES // 2:
+            self.older, self.known, self.known_bytes = self.known, {}, 0
+        short: list[tuple[str, bytes]] = []
+        long: list[tuple[str, bytes]] = []
         for piece in pieces:
             if piece in self.known:
                 continue
+            if (ids := self.older.get(piece)) is not None:
+                self.known[piece] = ids
+                continue
             data = piece.encode()
             if (rank := self.ranks.get(data)) is not None:
                 self.known[piece] = rank.to_bytes(4, "little")
-            elif len(data) > LONG:
-                self.known[piece] = self._long(data).tobytes()
-                self.known_bytes += len(self.known[piece])
             else:
-                queue.append((piece, data))
-                rows += len(data)
-                if rows >= QUERY_ROWS:
-                    self._flush(queue)
-                    rows = 0
-        self._flush(queue)
-
-    def _flush(self, queue: list[tuple[str, bytes]]) -> None:
-        if queue:
-            names, data = zip(*queue)
-            self.known.update(zip(names, (ids.tobytes() for ids in self._contract(list(data)))))
-            queue.clear()
-
-    def _long(self, data: bytes) -> np.ndarray:
-        """Ids of a long piece, from windows of bounded size."""
-        starts = range(0, max(len(data) - LONG, 0) + STRIDE, STRIDE)
-        distinct = list({data[at : at + LONG] for at in starts})
-        known: dict[bytes, np.ndarray] = {}
-        per = QUERY_ROWS // LONG
-        for at in range(0, len(distinct), per):
-            some = distinct[at : at + per]
-            known.update(zip(some, self._contract(some)))
+                (long if len(data) > LONG else short).append((piece, data))
+        # Pieces and windows of longer ones go through the same queries.
+        distinct = dict.fromkeys(data for _, data in short)
+        for _, data in long:
+            distinct.update(dict.fromkeys(data[at : at + LONG] for at in _starts(data)))
+        found: dict[bytes, np.ndarray] = {}
+        for some in _portioned(list(distinct), QUERY_ROWS):
+            found.update(zip(some, self._contract(some)))
+        for piece, data in short:
+            self.known[piece] = found[data].tobytes()
+        for piece, data in long:
+            self.known[piece] = self._joined(data, found).tobytes()
+            self.known_bytes += len(self.known[piece])
+
+    def _joined(self, data: bytes, known: dict[bytes, np.ndarray]) -> np.ndarray:
+        """Ids of a long piece, from those of its windows."""
         # ``ids`` and ``ends`` are the window at hand; before ``first`` its tokens are not its own.
         ids = known[data[:LONG]]
         ends = np.cumsum(self.lengths[ids])
@@ -296,6 +292,23 @@ class Codec:
         self.db.unregister("tokens")
 
 
+def _starts(data: bytes) -> range:
+    """Where the windows of a long piece begin; the last one reaches its end."""
+    return range(0, len(data) - LONG + STRIDE, STRIDE)
+
+
+def _portioned(pieces: list[bytes], rows: int) -> Iterator[list[bytes]]:
+    """Runs of pieces of about ``rows`` bytes."""
+    start = held = 0
+    for at, piece in enumerate(pieces):
+        held += len(piece)
+        if held >= rows:
+            yield pieces[start : at + 1]
+            start, held = at + 1, 0
+    if start < len(pieces):
+        yield pieces[start:]
+
+
 def _same_token(ids, ends, first: int, new, new_ends) -> tuple[int, int] | None:
     """Places of the first token that two windows share, from ``first`` on in one of them."""
     low = int(ends.searchsorted(new_ends[0]))
