@@ -10,8 +10,10 @@ from pyspark.sql import SparkSession
 from claimloom.payer import DEFAULT_PROFILE
 from claimloom.plans.build import build, staging_views
 from claimloom.sources.tables import (
+    MEDICAL_CLAIMS,
     Layers,
     TableSink,
+    is_bucketed_by,
     newest_partition,
     raw_from_catalog,
     store_staging_views,
@@ -43,6 +45,10 @@ def main(argv: list[str] | None = None) -> int:
         newest=newest,
         intermediate_sink=TableSink(spark, args.intermediate_database) if args.store_intermediate else None,
         hold_final=args.hold_final,
+        clustered=[
+            name for name in [MEDICAL_CLAIMS]
+            if is_bucketed_by(spark, f"{args.raw_database}.{name}", "int_clm_num")
+        ],
     )
     for check in report.checks:
         verdict = "FAIL" if check.failures else "ok"

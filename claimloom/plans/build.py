@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -119,19 +119,22 @@ def intermediate_relation(
     full_months_only: bool = False,
     newest: dict[str, dt.date] | None = None,
     count_keys: bool = False,
+    clustered: Collection[str] = (),
 ) -> DataFrame:
     """Normalized rows of an output before its final filter. Lazy, nothing is stored.
 
     ``newest`` gives the newest file date of raw tables where a caller knows it. ``count_keys``
-    adds ``SAME_KEY``, how many rows of the output have the row's unique key.
+    adds ``SAME_KEY``, how many rows of the output have the row's unique key. ``clustered`` names
+    raw tables that are bucketed by claim number.
     """
     staged = staging_relations({table: raw[table] for table in INPUTS[name]})
     dates = [(newest or {}).get(table) for table in INPUTS[name]]
     date = None if None in dates else max(dates)
     if name == "medical_claim":
         return medical.intermediate_medical_claims(
-            staged[MEDICAL_CLAIMS], profile, newest=date, count_keys=count_keys
-        )
+            staged[MEDICAL_CLAIMS], profile, newest=date, count_keys=count_keys,
+            clustered=MEDICAL_CLAIMS in clustered,
+        )
     if name == "pharmacy_claim":
         return pharmacy.intermediate_pharmacy_claims(
             staged[PHARMACY_CLAIMS], profile, date, count_keys
@@ -145,10 +148,14 @@ def intermediate_relation(
 
 
 def final_relation(
-    name: str, raw: dict[str, DataFrame], profile: PayerProfile = DEFAULT_PROFILE
+    name: str,
+    raw: dict[str, DataFrame],
+    profile: PayerProfile = DEFAULT_PROFILE,
+    clustered: Collection[str] = (),
 ) -> DataFrame:
     """One output table as a lazy frame."""
-    return FINALIZE[name](intermediate_relation(name, raw, profile, full_months_only=True))
+    rows = intermediate_relation(name, raw, profile, full_months_only=True, clustered=clustered)
+    return FINALIZE[name](rows)
 
 
 def staging_views(profile: PayerProfile = DEFAULT_PROFILE) -> dict[str, tuple[str, T.StructType]]:
@@ -193,6 +200,7 @@ def build(
     newest: dict[str, dt.date] | None = None,
     intermediate_sink: Sink | None = None,
     hold_final: bool = False,
+    clustered: Collection[str] = (),
 ) -> BuildReport:
     """Write all outputs and check every layer.
 
@@ -226,7 +234,9 @@ def build(
         unique = "+".join(FINAL_UNIQUE[name])
         seen, final_seen = Observation(name), Observation(f"final {name}")
         rows = (
-            intermediate_relation(name, raw, profile, newest=newest, count_keys=True)
+            intermediate_relation(
+                name, raw, profile, newest=newest, count_keys=True, clustered=clustered
+            )
             .observe(seen, *null_counts(INTERMEDIATE_NOT_NULL[name]), duplicates_seen(unique))
             .drop(SAME_KEY)
         )

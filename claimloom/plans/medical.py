@@ -154,14 +154,15 @@ def _with_counted_keys(winners: DataFrame, count_keys: bool) -> DataFrame:
     return with_same_key(winners, [CLAIM, LINE], kept=_ids_pass()) if count_keys else winners
 
 
-def _by_window(lines: DataFrame, count_keys: bool) -> DataFrame:
-    """Winning version of each line with line and claim facts; one shuffle, by claim."""
+def _by_window(lines: DataFrame, count_keys: bool = False, clustered: bool = False) -> DataFrame:
+    """Winning version of each line with line and claim facts; one shuffle, by claim, or none
+    where the table has its rows by claim already."""
     ranking = then_all_others(lines.drop(CLAIM, LINE), VERSION_ORDER)
     by_line = Window.partitionBy(CLAIM, LINE).orderBy(*map(F.desc_nulls_last, ranking))
     all_versions = by_line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     by_claim = Window.partitionBy(CLAIM)
     winners = (
-        lines.repartition(CLAIM)
+        (lines if clustered else lines.repartition(CLAIM))
         .select(
             "*",
             F.row_number().over(by_line).alias("_rank"),
@@ -176,8 +177,11 @@ def _by_window(lines: DataFrame, count_keys: bool) -> DataFrame:
     )
 
 
-def _by_aggregate(lines: DataFrame, count_keys: bool) -> DataFrame:
+def _by_aggregate(lines: DataFrame, count_keys: bool = False, clustered: bool = False) -> DataFrame:
     """The same for few but huge claims: map-side combined, one broadcast row per claim."""
+    if clustered:
+        # A huge claim lies in one bucket; its lines need not.
+        lines = lines.repartition(CLAIM, LINE)
     per_line = lines.groupBy(CLAIM, LINE).agg(
         best(then_all_others(lines.drop(CLAIM, LINE), VERSION_ORDER)).alias("_row"),
         *(fact.alias(name) for name, fact in _line_facts().items()),
@@ -200,17 +204,19 @@ def intermediate_medical_claims(
     rule: HotKeyRule = DEFAULT_RULE,
     newest: dt.date | None = None,
     count_keys: bool = False,
+    clustered: bool = False,
 ) -> DataFrame:
     """Staged medical claims to the output contract.
 
     The winning version is chosen first; if it then fails the provider check its line is gone.
     A claim with any reversed line keeps its other lines, without a claim type. ``count_keys``
-    adds how many rows have the row's key (``SAME_KEY``).
+    adds how many rows have the row's key (``SAME_KEY``). ``clustered`` says that the table is
+    bucketed by claim number: its partitioning serves all windows, and nothing wide is shuffled.
     """
     lines = pack(read_lines(latest_snapshot(staged, newest=newest)))
     hot = hot_keys(lines, [CLAIM], rule)
-    versions = _by_window(rows_without(lines, hot), count_keys).unionByName(
-        _by_aggregate(rows_with(lines, hot), count_keys)
+    versions = _by_window(rows_without(lines, hot), count_keys, clustered).unionByName(
+        _by_aggregate(rows_with(lines, hot), count_keys, clustered)
     )
     kept = versions.where(~_line_dropped() & _ids_pass())
     classified = F.col(CLAIM).isNotNull() & ~F.col("_any_reversed")

@@ -292,6 +292,42 @@ def store_staging_views(
     return stored
 
 
+def store_bucketed(
+    df: DataFrame, table: str, column: str, buckets: int, partition: str = "date_id"
+) -> str:
+    """A raw table partitioned by file date and bucketed by ``column``; returns its name.
+
+    Plans that group by the column take its partitioning over and shuffle no wide rows. A bucket
+    is read by one task: choose their number so that a bucket of one delivery fits a task, some
+    100 MB. Rows are brought to their buckets first, so a delivery has one file for each.
+    """
+    (
+        df.repartition(buckets, column)
+        .write.partitionBy(partition)
+        .bucketBy(buckets, column)
+        .sortBy(column)
+        .saveAsTable(table)
+    )
+    return table
+
+
+def is_bucketed_by(spark: SparkSession, table: str, column: str) -> bool:
+    """Whether a table is bucketed by just this column."""
+    return [c.name for c in spark.catalog.listColumns(table) if c.isBucket] == [column]
+
+
+def descriptions(spark: SparkSession, tables: list[str]) -> DataFrame:
+    """``table_name, column_name, description`` as stored: a table's own has column name ''."""
+    found = []
+    for table in tables:
+        rows = spark.sql("DESCRIBE EXTENDED IDENTIFIER(:t)", args={"t": table}).collect()
+        end = next(i for i, r in enumerate(rows) if r.col_name.startswith("# Detailed") or not r.col_name)
+        short = table.rpartition(".")[2]
+        found += [(short, r.col_name, r.comment) for r in rows[:end] if r.comment]
+        found += [(short, "", r.data_type) for r in rows[end:] if r.col_name == "Comment"]
+    return spark.createDataFrame(found, "table_name string, column_name string, description string")
+
+
 def newest_partition(spark: SparkSession, table: str, column: str = "date_id") -> dt.date | None:
     """The newest date of a table partitioned by it that has rows, from the catalog.
 

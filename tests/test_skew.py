@@ -3,10 +3,12 @@
 from compare import rows_of_spark
 from pyspark.sql import functions as F
 
-from claimloom.operators import classify, reversal, skew
-from claimloom.operators.skew import HotKeyRule
+from claimloom.operators import classify, pick, reversal, skew
+from claimloom.operators.skew import DEFAULT_RULE, HotKeyRule
+from claimloom.operators.staging import stage
 from claimloom.plans import build, medical
-from claimloom.sources.tables import MEDICAL_CLAIMS
+from claimloom.schemas import MEDICAL_RAW
+from claimloom.sources.tables import MEDICAL_CLAIMS, is_bucketed_by, store_bucketed
 from workload.raw_tables import raw_tables
 
 ALL_HOT = HotKeyRule(min_rows=0)
@@ -112,3 +114,48 @@ def test_no_hot_key_leaves_one_wide_shuffle_and_no_join(spark, sf_dir):
     plan = final_plan(versions)
     assert "LeftAnti" not in plan and "LeftSemi" not in plan and "SortAggregate" not in plan
     assert plan.count("REPARTITION_BY_COL") == 1
+
+
+def test_line_numbers_of_hot_claims(spark):
+    """The same numbers by blocks as by a window; equal rows included."""
+    df = skewed(spark).drop("flag").unionByName(skewed(spark).drop("flag").where("k = 'hot'"))
+    order = ["d", "line"]
+    want = rows_of_spark(pick.number_lines(df, "k", order, "n", NONE_HOT))
+    for rule in (ALL_HOT, SOME_HOT, HotKeyRule(500, 100)):
+        got = pick.number_lines(df, "k", order, "n", rule)
+        assert got.columns == [*df.columns, "n"] and rows_of_spark(got) == want
+    assert pick.number_lines(df.limit(0), "k", order, "n", ALL_HOT).count() == 0
+
+
+def test_a_hot_claim_is_many_blocks(spark, monkeypatch):
+    """A third of all rows under one claim, many of them equal: no block has more than a few parts."""
+    held = []
+    keep = pick.stored
+    monkeypatch.setattr(pick, "stored", lambda df, label: held.append(keep(df, label)) or held[-1])
+    rows = spark.range(30_000).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) as k", "cast(id % 2 as int) as d")
+    spark.conf.set("spark.sql.shuffle.partitions", 16)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = pick.number_lines(rows, "k", ["d"], "n", HotKeyRule(1000, 100))
+        numbers = [r.n for r in got.where("k = 'hot'").collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sorted(numbers) == list(range(1, 10_001))
+    sizes = [r["count"] for r in held[0].groupBy("_block").count().collect()]
+    assert len(sizes) > 8 and max(sizes) < 3 * 10_000 / 16
+
+
+def test_deliveries_bucketed_by_claim(spark, sf_dir):
+    """Nothing is shuffled by claim, and the rows are those of the plain table, skew or not."""
+    raw = raw_tables(spark, sf_dir)[MEDICAL_CLAIMS]
+    spark.sql("create database if not exists bucketed")
+    table = store_bucketed(raw, "bucketed.medical", "int_clm_num", 4)
+    assert is_bucketed_by(spark, table, "int_clm_num") and not is_bucketed_by(spark, table, "svcdt")
+    staged = stage(spark.read.table(table), MEDICAL_RAW)
+    plain = rows_of_spark(medical.intermediate_medical_claims(stage(raw, MEDICAL_RAW)))
+    for rule in (DEFAULT_RULE, SOME_HOT, ALL_HOT):
+        df = medical.intermediate_medical_claims(staged, rule=rule, clustered=True)
+        assert rows_of_spark(df) == plain
+    df = medical.intermediate_medical_claims(staged, clustered=True)
+    assert "hashpartitioning" not in final_plan(df)

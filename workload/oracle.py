@@ -454,6 +454,33 @@ from med where (sprovnpi is null or {_npi('sprovnpi')} is not null)
     "year_month": _with(["feeds"], f"select filename, {YEAR_MONTH} as year_month from feeds"),
     "not_null_report": _not_null_report(),
     "unique_report": _unique_report(),
+    "line_numbers_of_hot_claims": _with(
+        ["med"],
+        """select *, cast(row_number() over (partition by int_clm_num order by svcdt nulls first,
+  s3_path nulls first, clm_line_num nulls first) as int) as number
+from (select case when extract(day from svcdt) % 3 = 0 then 'hot' else int_clm_num end as int_clm_num,
+        clm_line_num, svcdt, s3_path from med)""",
+    ),
+    "table_descriptions": _with(
+        ["final_eligibility", "final_attribution", "final_medical", "final_pharmacy"],
+        """select d.table_name, column_name, description, n_rows from (values
+  ('eligibility', '', 'One row per member and full month of enrollment'),
+  ('eligibility', 'enrollment_status', 'Not delivered by the payer; always null'),
+  ('eligibility', 'hospice_flag', '1 in hospice, 0 not, null unknown; always null here'),
+  ('eligibility', 'institutional_snp_flag',
+   '1 in an institutional special needs plan, 0 not, null unknown; always null here'),
+  ('eligibility', 'long_term_institutional_flag',
+   '1 in a long-term institution, 0 not, null unknown; always null here'),
+  ('provider_attribution', '',
+   'One row per member, plan and month with the attributed primary care provider'),
+  ('medical_claim', '', 'Current version of each medical claim line'),
+  ('pharmacy_claim', '', 'Current version of each pharmacy claim')
+) d(table_name, column_name, description)
+join (select 'eligibility' as table_name, count(*) as n_rows from final_eligibility
+  union all select 'provider_attribution', count(*) from final_attribution
+  union all select 'medical_claim', count(*) from final_medical
+  union all select 'pharmacy_claim', count(*) from final_pharmacy) n using (table_name)""",
+    ),
     "duplicate_raw_lines": _with(
         ["med"],
         """select int_clm_num, clm_line_num, count(*) as n_rows from med
@@ -463,6 +490,7 @@ group by int_clm_num, clm_line_num having count(*) > 1""",
     "eligibility": _with(["final_eligibility"], "select * from final_eligibility"),
     "provider_attribution": _with(["final_attribution"], "select * from final_attribution"),
     "medical_claim": _with(["final_medical"], "select * from final_medical"),
+    "medical_claim_bucketed": _with(["final_medical"], "select * from final_medical"),
     "medical_claim_with_hot_claims": _with(["final_medical"], "select * from final_medical"),
     "pharmacy_claim": _with(["final_pharmacy"], "select * from final_pharmacy"),
 }

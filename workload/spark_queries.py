@@ -23,7 +23,9 @@ from claimloom.sources.tables import (
     MEDICAL_CLAIMS,
     PHARMACY_CLAIMS,
     PPO_MEMBER,
+    descriptions,
     raw_from_files,
+    store_bucketed,
     store_staging_views,
     write_files,
     write_layer,
@@ -480,6 +482,33 @@ def medical_claim_with_hot_claims(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def medical_claim_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries stored by claim: the windows take their partitioning over."""
+    database = _database(spark)
+    lines = raw_tables(spark, sf_dir)[MEDICAL_CLAIMS]
+    raw = {MEDICAL_CLAIMS: spark.read.table(store_bucketed(lines, f"{database}.{MEDICAL_CLAIMS}", "int_clm_num", 8))}
+    return _comparable(build.final_relation("medical_claim", raw, clustered=[MEDICAL_CLAIMS]))
+
+
+def line_numbers_of_hot_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All medical lines numbered by claim, a third of them under one claim: by blocks."""
+    lines = _medical(spark, sf_dir).select("int_clm_num", "clm_line_num", "svcdt", "s3_path")
+    hot = F.dayofmonth("svcdt") % 3 == 0
+    lines = lines.withColumn("int_clm_num", F.when(hot, "hot").otherwise(F.col("int_clm_num")))
+    return pick.number_lines(lines, "int_clm_num", ["svcdt", "s3_path"], "number", FEW_ROWS_ARE_HOT)
+
+
+def table_descriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Descriptions of all tables and their columns as stored, with the tables' numbers of rows."""
+    database, raw = _database(spark), raw_tables(spark, sf_dir)
+    tables = [write_layer(build.final_relation(name, raw), name, database) for name in build.FINALIZE]
+    rows = reduce(
+        DataFrame.unionByName,
+        (spark.read.table(t).agg(F.lit(t.rpartition(".")[2]).alias("table_name"), F.count("*").alias("n_rows")) for t in tables),
+    )
+    return descriptions(spark, tables).join(rows, "table_name")
+
+
 def _null_keys(rule: HotKeyRule) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         staged = stage(medical_with_null_keys(spark, sf_dir), MEDICAL_RAW)
@@ -519,6 +548,7 @@ QUERIES: dict[str, Query] = {
     "pick_member_month": pick_member_month,
     "pick_member_plan_month": pick_member_plan_month,
     "line_numbers": line_numbers,
+    "line_numbers_of_hot_claims": line_numbers_of_hot_claims,
     "valid_npi": valid_npi,
     "npi_null_policy": npi_null_policy,
     "npi_drop_policy": npi_drop_policy,
@@ -536,11 +566,13 @@ QUERIES: dict[str, Query] = {
     "not_null_report": not_null_report,
     "unique_report": unique_report,
     "duplicate_raw_lines": duplicate_raw_lines,
+    "table_descriptions": table_descriptions,
     "int_member_eligibility": int_member_eligibility,
     "eligibility": _final("eligibility"),
     "provider_attribution": _final("provider_attribution"),
     "medical_claim": _final("medical_claim"),
     "medical_claim_with_hot_claims": medical_claim_with_hot_claims,
+    "medical_claim_bucketed": medical_claim_bucketed,
     "medical_claim_from_text": medical_claim_from_text,
     "medical_claim_null_keys": _null_keys(DEFAULT_RULE),
     "medical_claim_null_keys_hot": _null_keys(FEW_ROWS_ARE_HOT),
