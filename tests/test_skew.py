@@ -50,6 +50,33 @@ def test_number_of_hot_keys_is_bounded(spark):
         assert skew.hot_keys(skewed(spark), ["k"], HotKeyRule(0, max_keys)).count() < max(max_keys, 1)
 
 
+def test_every_hot_key_is_a_candidate(spark):
+    """Many keys, a few of them just above the bound, under a sketch that can not hold them all."""
+    rule = HotKeyRule(min_rows=100, max_keys=200)
+    rows = spark.range(0, 400_000, 1, 16).selectExpr(
+        "case when id % 190 < 5 then concat('h', id % 190) else cast(id as string) end as k"
+    )
+    assert rule.tracked == 1050
+    candidates = skew.hot_candidates(rows, ["k"], rule)
+    hashes = {r.item for r in candidates.collect()}
+    hot = {r.k for r in skew.hot_keys(rows, ["k"], rule).collect()}
+    exact = rows.groupBy("k").count().where("count > 100 and count * 200 > 400000")
+    assert hot == {r.k for r in exact.collect()} == {f"h{n}" for n in range(5)}
+    assert hashes >= {r.h for r in exact.select(F.xxhash64("k").alias("h")).collect()} and len(hashes) <= 400
+    assert skew.hot_keys(rows.limit(0), ["k"], rule).count() == 0
+
+
+def shuffled_bytes(spark, df):
+    """What the sketches of ``df`` take, all tasks together."""
+    sketch = F.call_function("approx_top_k_accumulate", F.xxhash64("k"), F.lit(HotKeyRule(max_keys=200).tracked))
+    return df.groupBy(F.spark_partition_id()).agg(sketch.alias("s")).select(F.sum(F.length("s.sketch"))).first()[0]
+
+
+def test_sketches_do_not_grow_with_keys(spark):
+    few, many = (spark.range(0, n, 1, 4).selectExpr("cast(id as string) as k") for n in (20_000, 400_000))
+    assert shuffled_bytes(spark, many) < 1.5 * shuffled_bytes(spark, few)
+
+
 def test_split_is_complete_and_disjoint(spark):
     df = skewed(spark)
     for rule in (HotKeyRule(100, 100), ALL_HOT, NONE_HOT):
