@@ -3,8 +3,13 @@
 The four raw tables are first derived from the test tables and stored the way deliveries are,
 as Parquet partitioned by file date. Each output is then timed from those files to a stored
 table, planning included. One untimed round warms the JVM; the median of the timed rounds
-counts. Two harder inputs are timed beside the four tables and do not count in the sum: a third of
-all medical lines under one claim, and twelve cumulative pharmacy deliveries.
+counts. Other inputs are timed beside the four tables and do not count in the sum: a third of all
+medical lines under one claim, twelve cumulative pharmacy deliveries, and pharmacy claims that all
+have a number.
+
+``calibration_sec`` is a fixed job that calls no code of this library: rows made, shuffled, sorted and
+grouped. It is timed in every round, so that a slower machine can be told from slower code:
+``per_calibration`` are the seconds of the tables divided by it.
 
 ``shuffles`` are the stages of a run that wrote shuffle records, whatever became of them in the
 final plan, and ``shuffle_mb`` what they wrote; both are read from Spark's event log.
@@ -69,6 +74,16 @@ def restated(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {PHARMACY_CLAIMS: rows}
 
 
+def calibration(spark: SparkSession) -> float:
+    """Seconds of a job that stays the same in every round of development."""
+    started = time.perf_counter()
+    rows = spark.range(0, 6_000_000, 1, 8).select(
+        F.xxhash64("id").alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"), F.col("id") % 400_000
+    ).toDF("k", "v", "g")
+    rows.repartition(8, "k").sortWithinPartitions("k").groupBy("g").agg(F.max("v").alias("m")).agg(F.max("m")).collect()
+    return time.perf_counter() - started
+
+
 def shuffled(events: str) -> dict[str, tuple[int, float]]:
     """Stages that wrote shuffle records, and their MB, by job description."""
     stage_of: dict[int, str] = {}
@@ -103,13 +118,20 @@ def main() -> None:
             df.repartition(8).write.partitionBy("date_id").parquet(f"{scratch}/{folder}/{name}")
     prepared = time.perf_counter() - started
 
+    rows = raw[PHARMACY_CLAIMS].where("int_clm_num is not null")
+    inputs["named"] = {PHARMACY_CLAIMS: rows}
+    rows.repartition(8).write.partitionBy("date_id").parquet(f"{scratch}/named/{PHARMACY_CLAIMS}")
     runs = {name: (name, "raw") for name in FINALIZE}
     runs |= {
         "medical_claim_skewed": ("medical_claim", "skewed"),
         "pharmacy_claim_12_deliveries": ("pharmacy_claim", "restated"),
+        "pharmacy_claim_all_named": ("pharmacy_claim", "named"),
     }
     timings: dict[str, list[float]] = {run: [] for run in runs}
+    calibrations = []
     for round_ in range(ROUNDS + 1):
+        spark.sparkContext.setJobDescription("calibration")
+        calibrations.append(calibration(spark))
         for run, (name, folder) in runs.items():
             if folder != "raw" and 0 < round_ < ROUNDS:
                 continue  # the harder inputs: once to warm up, once timed
@@ -119,6 +141,7 @@ def main() -> None:
             write_files(final_relation(name, tables), run, f"{scratch}/out{round_}")
             if round_:
                 timings[run].append(time.perf_counter() - started)
+    unit = statistics.median(calibrations[1:])
     seconds = {run: round(statistics.median(t), 3) for run, t in timings.items()}
     spark.stop()
     moved = shuffled(events)
@@ -133,6 +156,8 @@ def main() -> None:
                 "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
                 "shuffles": {run: count for run, (count, _) in last.items()},
                 "shuffle_mb": {run: round(mb, 2) for run, (_, mb) in last.items()},
+                "calibration_sec": round(unit, 3),
+                "per_calibration": {run: round(sec / unit, 3) for run, sec in seconds.items()},
                 "prepare_raw_sec": round(prepared, 3),
             }
         )

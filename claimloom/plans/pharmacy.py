@@ -1,7 +1,8 @@
 """Pharmacy claims: the current version of each claim that was not reversed.
 
 A reversal removes a claim as a whole, so choosing the current version and detecting reversals
-can share one grouped aggregate: one wide shuffle, combined on the map side, and no join.
+share one partitioning by claim: one wide shuffle, one sort, no join. Claims too large for one task
+take a path of partial aggregates instead; both paths give the same rows.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from claimloom.functions.amounts import to_double, to_int, truncated
 from claimloom.functions.codes import is_yes
@@ -24,6 +26,7 @@ from claimloom.operators.reversal import (
     reversed_in,
     sign_facts,
 )
+from claimloom.operators.skew import DEFAULT_RULE, HotKeyRule, hot_keys, rows_with, rows_without
 from claimloom.operators.snapshot import latest_snapshot
 from claimloom.payer import DEFAULT_PROFILE, PayerProfile
 from claimloom.schemas import PHARMACY_CLAIM
@@ -55,8 +58,12 @@ NUMBERS = {
     "deductible_amount": "deduct_amt",
 }
 
+AMOUNT = "allowed_amount"
+
 # Which version of a claim is the current one: highest first, NULL last.
 VERSION_ORDER = ("_current", "file_date", "ingest_datetime", "file_name")
+# Columns that decide on a claim.
+DECIDING = (CLAIM, *VERSION_ORDER, AMOUNT, "ndc_code")
 
 
 def read_claims(staged: DataFrame) -> DataFrame:
@@ -70,13 +77,46 @@ def read_claims(staged: DataFrame) -> DataFrame:
     return renamed(staged, RENAMED, computed)
 
 
-def _current_versions(rows: DataFrame) -> DataFrame:
-    """The best version of each claim, and whether the claim was reversed."""
+def pack(rows: DataFrame) -> DataFrame:
+    """Columns that take part in the choice stay columns; all others travel as one struct.
+
+    Shuffle, sort and window then copy the struct as a block of bytes, not field by field.
+    """
+    rest = [c for c in rows.columns if c not in DECIDING]
+    return rows.select(*DECIDING, F.struct(*rest).alias("_rest"))
+
+
+def _by_window(rows: DataFrame) -> DataFrame:
+    """The best version of each claim with the signs of all; one shuffle, by claim."""
+    ranking = then_all_others(rows.drop(CLAIM), VERSION_ORDER)
+    by_claim = Window.partitionBy(CLAIM).orderBy(*map(F.desc_nulls_last, ranking))
+    whole = by_claim.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return (
+        rows.select(
+            "*",
+            F.row_number().over(by_claim).alias("_rank"),
+            *(fact.over(whole).alias(name) for name, fact in sign_facts(AMOUNT).items()),
+        )
+        .where(F.col("_rank") == 1)
+        .drop("_rank")
+    )
+
+
+def _by_aggregate(rows: DataFrame) -> DataFrame:
+    """The same for few but huge claims, combined on the map side."""
     per_claim = rows.groupBy(CLAIM).agg(
         best(then_all_others(rows.drop(CLAIM), VERSION_ORDER)).alias("_row"),
-        *(fact.alias(name) for name, fact in sign_facts("allowed_amount").items()),
+        *(fact.alias(name) for name, fact in sign_facts(AMOUNT).items()),
     )
-    return per_claim.select(CLAIM, "_row.*", has_both_signs("_low", "_high").alias("_reversed"))
+    return per_claim.select(CLAIM, "_row.*", *sign_facts(AMOUNT))
+
+
+def _current_versions(rows: DataFrame, rule: HotKeyRule) -> DataFrame:
+    """The best version of each claim, and whether the claim was reversed. Claims without a number
+    are one claim here."""
+    hot = hot_keys(rows, [CLAIM], rule)
+    versions = _by_window(rows_without(rows, hot)).unionByName(_by_aggregate(rows_with(rows, hot)))
+    return versions.withColumn("_reversed", has_both_signs("_low", "_high"))
 
 
 def intermediate_pharmacy_claims(
@@ -84,31 +124,32 @@ def intermediate_pharmacy_claims(
     profile: PayerProfile = DEFAULT_PROFILE,
     newest: dt.date | None = None,
     count_keys: bool = False,
+    rule: HotKeyRule = DEFAULT_RULE,
 ) -> DataFrame:
     """Staged pharmacy claims to the output contract.
 
     Reversed claims are removed with the meaning of NOT IN. The winning version is chosen
     first; if it has no drug code its claim is gone.
 
-    Claims without a number are a branch of their own, whose test for NULL reaches the Parquet
-    reader. They alone depend on whether anything was reversed; the pass that finds out has "is
-    there such a claim" among its filters, and where the table is partitioned by file date it
+    Claims without a number depend on whether anything was reversed. Their own signs are read with
+    a test for NULL that reaches the Parquet reader; the pass that finds out about all others has
+    "is there such a claim" among its filters, and where the table is partitioned by file date it
     opens no file if there is none. ``count_keys`` adds how many rows have the row's key
     (``SAME_KEY``).
     """
     rows = read_claims(latest_snapshot(staged, newest=newest))
     unnamed, named = rows.where(F.col(CLAIM).isNull()), rows.where(F.col(CLAIM).isNotNull())
-    amount = "allowed_amount"
-    null_reversed = reversed_in(unnamed, amount)
+    null_reversed = reversed_in(unnamed, AMOUNT)
     any_unnamed = unnamed.select(F.count("*") > 0).scalar()
-    any_reversed = is_any_reversed(named.where(any_unnamed), [CLAIM], amount)
-    versions = _current_versions(named)
+    any_reversed = is_any_reversed(named.where(any_unnamed), [CLAIM], AMOUNT)
+    versions = _current_versions(pack(rows), rule)
     if count_keys:
         versions = with_same_key(versions, [CLAIM], kept=F.col("ndc_code").isNotNull())
-    winners = (
-        versions.where(kept_by_not_in("_reversed", null_reversed))
-        .unionByName(_current_versions(unnamed).where(~F.col("_reversed") & ~any_reversed), True)
-    )
+    # NOT IN: a claim without a number is in no set, but passes an empty one only.
+    passes = F.when(
+        F.col(CLAIM).isNull(), ~F.col("_reversed") & ~any_reversed
+    ).otherwise(kept_by_not_in("_reversed", null_reversed))
+    winners = versions.where(passes).select("*", "_rest.*")
     return conform(
         winners.where(F.col("ndc_code").isNotNull()),
         PHARMACY_CLAIM,

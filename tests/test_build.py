@@ -165,7 +165,7 @@ def broken_choice(monkeypatch, clean_raw, member_rows, medical_rows, pharmacy_ro
     """Two rows a key in every table."""
     monkeypatch.setattr(members, "pick_current", two_winners)
     version = pharmacy._current_versions
-    monkeypatch.setattr(pharmacy, "_current_versions", lambda rows: (lambda v: v.unionByName(v).repartition(pharmacy.CLAIM))(version(rows)))
+    monkeypatch.setattr(pharmacy, "_current_versions", lambda *rows: (lambda v: v.unionByName(v).repartition(pharmacy.CLAIM))(version(*rows)))
     by_window = medical._with_counted_keys
     monkeypatch.setattr(medical, "_with_counted_keys", lambda rows, count: by_window(rows.unionByName(rows), count))
     return clean_raw | {

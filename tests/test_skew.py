@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 from claimloom.operators import classify, pick, reversal, skew
 from claimloom.operators.skew import DEFAULT_RULE, HotKeyRule
 from claimloom.operators.staging import stage
-from claimloom.plans import build, medical
-from claimloom.schemas import MEDICAL_RAW
-from claimloom.sources.tables import MEDICAL_CLAIMS, is_bucketed_by, store_bucketed
+from claimloom.plans import build, medical, pharmacy
+from claimloom.schemas import MEDICAL_RAW, PHARMACY_RAW
+from claimloom.sources.tables import MEDICAL_CLAIMS, PHARMACY_CLAIMS, is_bucketed_by, store_bucketed
 from workload.raw_tables import raw_tables
 
 ALL_HOT = HotKeyRule(min_rows=0)
@@ -186,3 +186,41 @@ def test_deliveries_bucketed_by_claim(spark, sf_dir):
         assert rows_of_spark(df) == plain
     df = medical.intermediate_medical_claims(staged, clustered=True)
     assert "hashpartitioning" not in final_plan(df)
+
+
+def test_pharmacy_does_not_depend_on_the_rule(spark, sf_dir):
+    """A third of the rows under one claim, some without a claim number; reversed or not."""
+    staged = build.staging_relations(raw_tables(spark, sf_dir))[PHARMACY_CLAIMS]
+    number = F.expr(
+        "case when day(svcdt) % 3 = 0 then 'hot' when day(svcdt) = 7 then null else int_clm_num end"
+    )
+    for paid in ("paid", "'5'"):
+        rows = staged.withColumn("int_clm_num", number).withColumn("paid", F.expr(paid))
+        results = [rows_of_spark(pharmacy.intermediate_pharmacy_claims(rows, rule=rule)) for rule in RULES]
+        assert results[0] == results[1] == results[2]
+        assert results[0].total() > 50 or paid == "paid"
+
+
+def test_pharmacy_takes_one_wide_shuffle(spark, sf_dir, tmp_path):
+    """From files, all claims with a number: nothing is aggregated by sorting, one wide exchange."""
+    rows = raw_tables(spark, sf_dir)[PHARMACY_CLAIMS].where("int_clm_num is not null")
+    rows.write.partitionBy("date_id").parquet(f"{tmp_path}/rx")
+    staged = stage(spark.read.parquet(f"{tmp_path}/rx"), PHARMACY_RAW)
+    plan = main_plan(pharmacy.intermediate_pharmacy_claims(staged))
+    assert "SortAggregate" not in plan and "Join" not in plan
+    assert plan.count("Exchange hashpartitioning(claim_id") == 1
+
+
+def main_plan(df):
+    """The plan adaptive execution ended up with, without its subqueries."""
+    df.collect()
+    lines = df._jdf.queryExecution().toString().split("== Final Plan ==", 1)[1].splitlines()
+    end = next(n for n, line in enumerate(lines) if line.startswith("+- == Initial Plan =="))
+    kept, inside = [], None
+    for line in lines[:end]:
+        depth = len(line) - len(line.lstrip(" :+-"))
+        if inside is not None and depth > inside:
+            continue
+        inside = depth if line.lstrip(" :+-").startswith("Subquery ") else None
+        kept.append(line)
+    return "\n".join(kept)
