@@ -3,8 +3,9 @@
 A source's weight is its token share to the power of an exponent, normalised. The exponent is
 bisected: the largest one that reaches a target entropy, but no smaller than a limit on repetition
 allows. A source's budget is its weight times the tokens of the mix. It is spent epoch by epoch:
-whole permutations of its documents, then the head of one more. Everything is DataFrame
-expressions; the driver sees a few numbers per round of the bisection.
+whole permutations of its documents, then the head of one more. The mix is cut into blocks, and
+every block has its share of every source's budget. Everything is DataFrame expressions; the
+driver sees a few numbers per round of the bisection.
 """
 
 from __future__ import annotations
@@ -37,9 +38,11 @@ class Mix:
     seed: int = 42
 
 
-def _tokens(text_col: str) -> Column:
-    """Bytes of the text, the tokens of a byte-level model before merges."""
-    return F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("long")
+def _tokens(text_col: str, token_col: str | None) -> Column:
+    """Tokens as counted in ``token_col``; else bytes of the text, the tokens of a byte-level model
+    before merges."""
+    counted = F.octet_length(F.col(text_col).cast("string")) if token_col is None else F.col(token_col)
+    return F.greatest(F.coalesce(counted.cast("long"), F.lit(0).cast("long")), F.lit(0).cast("long"))
 
 
 def _document(id_col: str, text_col: str) -> Column:
@@ -110,15 +113,17 @@ def bisect_exponent(totals: DataFrame, mix: Mix) -> float:
     return alpha
 
 
-def plan_mix(docs: DataFrame, mix: Mix, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """``source, tokens, weight, epochs, whole, cut``, one row per source, stored.
+def plan_mix(
+    docs: DataFrame, mix: Mix, id_col: str, text_col: str, source_col: str, token_col: str | None = None
+) -> DataFrame:
+    """``source, tokens, docs, weight, epochs, whole, cut``, one row per source, stored.
 
     A source gives ``whole`` epochs and, of one more, the documents whose key is at most ``cut``.
     """
     keyed = saved(
         docs.select(
             F.col(source_col).cast("string").alias("source"),
-            _tokens(text_col).alias("tokens"),
+            _tokens(text_col, token_col).alias("tokens"),
             _document(id_col, text_col).alias("document"),
         ),
         "keyed",
@@ -139,6 +144,7 @@ def plan_mix(docs: DataFrame, mix: Mix, id_col: str, text_col: str, source_col:
     weighted = totals.select(
         "source",
         "tokens",
+        "docs",
         F.when(empty, 0.0).otherwise(F.pow(share, F.lit(alpha)) / F.lit(z)).alias("weight"),
         F.when(empty, 1.0).otherwise(F.pow(relative, F.lit(alpha - 1)) * scale).alias("epochs"),
     ).select("*", F.floor("epochs").alias("whole"))
@@ -173,7 +179,7 @@ def plan_mix(docs: DataFrame, mix: Mix, id_col: str, text_col: str, source_col:
         .agg(F.max("key").alias("cut"))
     )
     plan = weighted.join(cuts, F.col("source").eqNullSafe(F.col("of")), "left").select(
-        "source", "tokens", "weight", "epochs", "whole", F.coalesce("cut", F.lit(-1)).alias("cut")
+        "source", "tokens", "docs", "weight", "epochs", "whole", F.coalesce("cut", F.lit(-1)).alias("cut")
     )
     return saved(plan, "plan")
 
@@ -181,11 +187,8 @@ def plan_mix(docs: DataFrame, mix: Mix, id_col: str, text_col: str, source_col:
 def realise(
     docs: DataFrame, plan: DataFrame, mix: Mix, id_col: str, text_col: str, source_col: str
 ) -> DataFrame:
-    """``docs`` as often as the plan says, with ``__mix``: ``epoch``, ``place`` and ``weight``.
-
-    ``place`` runs from 0 to 1 over the budget of the source; ordered by it, the mix has the
-    target weights all the way.
-    """
+    """``docs`` as often as the plan says, with ``__mix``: ``epoch``, ``key`` (the place in that
+    epoch's permutation), ``weight`` and ``budget`` of the source."""
     joined = docs.join(
         plan.select(F.struct("*").alias("__plan")),
         F.col(source_col).cast("string").eqNullSafe(F.col("__plan.source")),
@@ -195,34 +198,60 @@ def realise(
     copies = F.col("__plan.whole") + one_more
     epochs = F.when(copies > 0, F.sequence(F.lit(0).cast("long"), copies - 1))
     copied = joined.withColumn("__epoch", F.explode(epochs))
-    key = _key(mix.seed, F.col("__epoch"), document)
-    # The head of the last epoch, up to the cut, fills what is left of the budget.
-    part = F.col("__plan.epochs") - F.col("__plan.whole")
-    head = part * key / F.greatest(F.col("__plan.cut"), F.lit(1))
-    inside = F.when(F.col("__epoch") < F.col("__plan.whole"), key * F.lit(2.0**-63)).otherwise(head)
-    place = (F.col("__epoch") + inside) / F.col("__plan.epochs")
     return copied.select(
         *(docs[c] for c in docs.columns),
         F.struct(
-            F.col("__epoch").alias("epoch"), place.alias("place"), F.col("__plan.weight").alias("weight")
+            F.col("__epoch").alias("epoch"),
+            _key(mix.seed, F.col("__epoch"), document).alias("key"),
+            F.col("__plan.weight").alias("weight"),
+            (F.col("__plan.tokens") * F.col("__plan.epochs")).alias("budget"),
         ).alias("__mix"),
     )
 
 
+def _starts(copies: DataFrame, bits: int) -> DataFrame:
+    """``copies`` (``source, epoch, key, tokens``) with ``start``: tokens of the source before it.
+
+    Two levels: sums of runs of keys, then the rows of a run. A source of ``n`` copies has about
+    ``sqrt(n)`` runs of ``sqrt(n)`` copies, so a source of any size is many tasks.
+    """
+    runs = copies.withColumn("run", F.shiftright("key", 63 - bits))
+    by_run = Window.partitionBy("source").orderBy("epoch", "run")
+    before = (
+        runs.groupBy("source", "epoch", "run").agg(F.sum("tokens").alias("n"))
+        .select(
+            F.col("source").alias("of"), F.col("epoch").alias("in_epoch"), F.col("run").alias("at"),
+            (F.sum("n").over(by_run) - F.col("n")).alias("before"),
+        )
+    )
+    same = (
+        F.col("source").eqNullSafe(F.col("of")) & (F.col("epoch") == F.col("in_epoch")) & (F.col("run") == F.col("at"))
+    )
+    by_key = Window.partitionBy("source", "epoch", "run").orderBy("key").rangeBetween(Window.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("tokens").over(by_key), F.lit(0).cast("long"))
+    return (
+        runs.join(before, same)
+        .withColumn("start", F.col("before") + inside)
+        .drop("of", "in_epoch", "at", "before", "run")
+    )
+
+
 def mix_documents(
     docs: DataFrame,
     mix: Mix = Mix(),
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    token_col: str | None = None,
 ) -> DataFrame:
-    """The mix as documents: every column of ``docs``, a row per copy.
+    """The mix as documents: every column of ``docs``, a row per copy. Tokens are those counted in
+    ``token_col``, or else bytes of the text.
 
     Empty and NULL texts have no tokens and cost no budget; a source of those only is kept once.
     NULL is a source of its own. Repeated rows share their place in a permutation and are taken
     together. An empty table gives no rows.
     """
-    plan = plan_mix(docs, mix, id_col, text_col, source_col)
+    plan = plan_mix(docs, mix, id_col, text_col, source_col, token_col)
     return realise(docs, plan, mix, id_col, text_col, source_col).drop("__mix")
 
 
@@ -232,23 +261,33 @@ def mixed_order(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    token_col: str | None = None,
 ) -> DataFrame:
     """``<id>, <source>, tokens, weight, epoch, place, block``: the mix as an order.
 
-    ``block`` numbers the blocks of ``block_tokens``; a source's copies are spread over them in
-    proportion to its weight. Odd inputs as in ``mix_documents``.
+    ``place`` is the share of the source's budget spent before the copy; ordered by it, the mix
+    has the target weights all the way. ``block`` numbers the blocks of ``block_tokens``: of
+    every source a block has its weight, to within one document. Odd inputs as in
+    ``mix_documents``; copies without tokens, and repeated rows, share a place.
     """
-    plan = plan_mix(docs, mix, id_col, text_col, source_col)
-    spent = _tokens(text_col)
-    rows = realise(docs, plan, mix, id_col, text_col, source_col)
-    budget = plan.agg(F.sum(F.col("tokens") * F.col("epochs"))).first()[0] or 0
-    blocks = max(1, math.ceil(budget / mix.block_tokens))
-    return rows.select(
-        id_col,
-        source_col,
-        spent.alias("tokens"),
-        F.col("__mix.weight").alias("weight"),
-        F.col("__mix.epoch").alias("epoch"),
-        F.col("__mix.place").alias("place"),
-        F.least(F.floor(F.col("__mix.place") * blocks), F.lit(blocks - 1).cast("long")).alias("block"),
+    plan = plan_mix(docs, mix, id_col, text_col, source_col, token_col)
+    copies = realise(docs, plan, mix, id_col, text_col, source_col).select(
+        F.col(id_col).alias("id"),
+        F.col(source_col).alias("given"),
+        F.col(source_col).cast("string").alias("source"),
+        _tokens(text_col, token_col).alias("tokens"),
+        "__mix.*",
+    )
+    budget, most = plan.agg(F.sum(F.col("tokens") * F.col("epochs")), F.max("docs")).first()
+    blocks = max(1, math.ceil((budget or 0) / mix.block_tokens))
+    bits = max(1, math.ceil(math.log2(max(most or 1, 2)) / 2))
+    place = F.when(F.col("budget") > 0, F.least(F.col("start") / F.col("budget"), F.lit(1.0))).otherwise(0.0)
+    return _starts(copies, bits).withColumn("place", place).select(
+        F.col("id").alias(id_col),
+        F.col("given").alias(source_col),
+        "tokens",
+        "weight",
+        "epoch",
+        "place",
+        F.least(F.floor(F.col("place") * blocks), F.lit(blocks - 1).cast("long")).alias("block"),
     )

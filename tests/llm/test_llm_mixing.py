@@ -95,6 +95,56 @@ def test_blocks_hold_the_weights(spark):
     assert all(abs(b["big"] / sum(b.values()) - share) < 0.2 for b in blocks.values())
 
 
+def test_blocks_have_budgets_of_their_own(spark):
+    """Uneven documents: of every source a block has its share of the budget, to one document."""
+    rows = [
+        (k * 10_000 + n, "x" * (1 + (n * 37) % 400), name)
+        for k, (name, count) in enumerate({"big": 900, "middle": 300, "small": 90}.items())
+        for n in range(count)
+    ]
+    mix = Mix(entropy=0.95, max_epochs=3.0, block_tokens=30_000)
+    got = mixing.mixed_order(documents(spark, rows), mix).collect()
+    blocks = 1 + max(r.block for r in got)
+    assert blocks > 5
+    spent = Counter()
+    for r in got:
+        spent[r.source, r.block] += r.tokens
+    for name in ("big", "middle", "small"):
+        budget = sum(n for (s, _), n in spent.items() if s == name)
+        for block in range(blocks):
+            assert abs(spent[name, block] - budget / blocks) <= 2 * 400
+    # Places follow the order of epochs and keys, from nothing spent to all.
+    assert min(r.place for r in got) == 0 and max(r.place for r in got) < 1
+    for name in ("big", "small"):
+        order = sorted((r.place, r.epoch) for r in got if r.source == name)
+        assert [e for _, e in order] == sorted(e for _, e in order)
+
+
+def test_token_counts_as_a_column(spark):
+    """Weights, budgets and places by counted tokens: against a plain mix of a small corpus."""
+    docs = corpus(spark).selectExpr("doc_id", "text", "source", "cast(doc_id % 7 + 1 as int) as counted", "1 as tokens")
+    mix = Mix(entropy=0.9, max_epochs=None, block_tokens=500)
+    got = mixing.mixed_order(docs, mix, token_col="counted").collect()
+    sums = Counter()
+    for r in docs.collect():
+        sums[r.source] += r.counted
+    frame = spark.createDataFrame(list(sums.items()), "source string, tokens long")
+    alpha = mixing.bisect_exponent(frame, mix)
+    z = sum((n / sum(sums.values())) ** alpha for n in sums.values())
+    for name, n in sums.items():
+        weight = (n / sum(sums.values())) ** alpha / z
+        assert abs(next(r.weight for r in got if r.source == name) - weight) < 1e-9
+        epochs = (n / max(sums.values())) ** (alpha - 1)
+        spent = sorted(((r.epoch, r.place, r.tokens) for r in got if r.source == name))
+        assert 0 <= sum(t for _, _, t in spent) - n * epochs < 8
+        before = 0
+        for _, place, tokens in sorted(spent, key=lambda x: x[1]):
+            assert abs(place - before / (n * epochs)) < 1e-9
+            before += tokens
+    none = docs.withColumn("counted", docs.counted * 0 - 1)
+    assert {r.place for r in mixing.mixed_order(none, mix, token_col="counted").collect()} == {0.0}
+
+
 def test_odd_documents(spark):
     rows = [(i, t, s) for (i, t), s in zip(odd_rows(), ["a", None, "a", "b", "c", None, "c"] * 9)]
     docs = documents(spark, rows)
