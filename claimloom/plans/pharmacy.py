@@ -111,12 +111,18 @@ def _by_aggregate(rows: DataFrame) -> DataFrame:
     return per_claim.select(CLAIM, "_row.*", *sign_facts(AMOUNT))
 
 
-def _current_versions(rows: DataFrame, rule: HotKeyRule) -> DataFrame:
+def _current_versions(rows: DataFrame, rule: HotKeyRule, count_keys: bool) -> DataFrame:
     """The best version of each claim, and whether the claim was reversed. Claims without a number
     are one claim here."""
+
+    def counted(versions: DataFrame) -> DataFrame:
+        # On each side of the union: there the rows are partitioned by claim.
+        kept = F.col("ndc_code").isNotNull()
+        return with_same_key(versions, [CLAIM], kept=kept) if count_keys else versions
+
     hot = hot_keys(rows, [CLAIM], rule)
-    versions = _by_window(rows_without(rows, hot)).unionByName(_by_aggregate(rows_with(rows, hot)))
-    return versions.withColumn("_reversed", has_both_signs("_low", "_high"))
+    cold, few = _by_window(rows_without(rows, hot)), _by_aggregate(rows_with(rows, hot))
+    return counted(cold).unionByName(counted(few)).withColumn("_reversed", has_both_signs("_low", "_high"))
 
 
 def intermediate_pharmacy_claims(
@@ -142,9 +148,7 @@ def intermediate_pharmacy_claims(
     null_reversed = reversed_in(unnamed, AMOUNT)
     any_unnamed = unnamed.select(F.count("*") > 0).scalar()
     any_reversed = is_any_reversed(named.where(any_unnamed), [CLAIM], AMOUNT)
-    versions = _current_versions(pack(rows), rule)
-    if count_keys:
-        versions = with_same_key(versions, [CLAIM], kept=F.col("ndc_code").isNotNull())
+    versions = _current_versions(pack(rows), rule, count_keys)
     # NOT IN: a claim without a number is in no set, but passes an empty one only.
     passes = F.when(
         F.col(CLAIM).isNull(), ~F.col("_reversed") & ~any_reversed

@@ -164,8 +164,8 @@ def two_winners(df, keys, prefer, tiebreak=()):
 def broken_choice(monkeypatch, clean_raw, member_rows, medical_rows, pharmacy_rows):
     """Two rows a key in every table."""
     monkeypatch.setattr(members, "pick_current", two_winners)
-    version = pharmacy._current_versions
-    monkeypatch.setattr(pharmacy, "_current_versions", lambda *rows: (lambda v: v.unionByName(v).repartition(pharmacy.CLAIM))(version(*rows)))
+    version = pharmacy._by_window
+    monkeypatch.setattr(pharmacy, "_by_window", lambda rows: version(rows).unionByName(version(rows)))
     by_window = medical._with_counted_keys
     monkeypatch.setattr(medical, "_with_counted_keys", lambda rows, count: by_window(rows.unionByName(rows), count))
     return clean_raw | {
