@@ -1,12 +1,14 @@
 """Embedding near-duplicates by collision counting on one-dimensional projections.
 
-Unit vectors are projected on random directions. Leading projections, cut into cells, deal
-vectors into groups; inside a group vectors are sorted by one more projection, and for every pair
-inside its query-centred window the collisions over all counting projections are counted: windows
-``|x_j - q_j| <= w`` around the query's own value. Pairs that collide often enough are verified by
-cosine in double precision. Window, count, cells and tables follow from the recall wanted for a
-pair just at the threshold. No pair is ever written out: tasks return link counts and a spanning
-forest of their links.
+Unit vectors are projected on random directions. Leading projections, cut into cells, deal vectors
+into groups. In a group the vectors are sorted by each of the counting projections in turn, and
+every pair inside a query-centred window ``|x_j - q| <= w`` of the sorted values gets one more
+collision. Pairs that collide often enough are verified by cosine in double precision. Window,
+count, cells and tables follow from the recall wanted for a pair just at the threshold.
+
+Counting needs no vectors: a value is rounded to a byte, so 32 bytes a class travel to its cells.
+Only classes with enough collisions in a cell go there once more with their vectors. No pair is
+ever written out: tasks return link counts and a spanning forest of their links.
 """
 
 from __future__ import annotations
@@ -26,6 +28,12 @@ from claimloom.llm.shared import forest, group_numbers, saved, whole_groups
 
 #: Vectors of one block; a task compares two blocks of a cell.
 BLOCK = 1024
+#: Half a window in steps of a code. Windows reach from half a step below to half a step above.
+REACH = 12
+#: Pairs of places whose collisions are counted at once.
+PLACES = 1 << 21
+#: A group: a cell, and the two blocks of it that meet.
+KEYS = ["cell", "lo", "hi"]
 
 
 @dataclass(frozen=True)
@@ -71,11 +79,6 @@ class Projections:
     def window(self) -> float:
         return self.spread
 
-    @property
-    def sorted_window(self) -> float:
-        """Window of the sorting projection, wide enough to lose none but one in ten thousand."""
-        return 4 * self.spread
-
     @property
     def needed(self) -> int:
         """Collisions that a pair at the threshold reaches with chance ``count_recall``."""
@@ -90,27 +93,28 @@ class Projections:
         return np.random.default_rng([self.seed, purpose, length]).standard_normal((length, count))
 
     def cells(self, units: np.ndarray) -> np.ndarray:
-        """A hash of each row's cell in every table, and the sorting projection of the table."""
+        """A hash of each row's cell in every table; cells of two tables or lengths differ."""
         n, length = units.shape
         flat = units @ self.directions(length, self.tables * self.leading, 1)
         shift = np.random.default_rng([self.seed, 2]).random(self.tables * self.leading)
         grid = np.floor(flat / self.cell + shift).astype(np.int64).astype(np.uint64)
         grid = grid.reshape(n, self.tables, self.leading)
-        out = np.full((n, self.tables), length, np.uint64)
+        out = np.tile(np.arange(self.tables, dtype=np.uint64) << np.uint64(32) | np.uint64(length), (n, 1))
         for k in range(self.leading):
             out = (out ^ (grid[:, :, k] + np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xBF58476D1CE4E5B9)
             out ^= out >> np.uint64(29)
         return out.view(np.int64)
 
-    def sorting(self, units: np.ndarray) -> np.ndarray:
-        return units @ self.directions(units.shape[1], self.tables, 3)
-
-    def counted(self, units: np.ndarray) -> np.ndarray:
-        return units @ self.directions(units.shape[1], self.counting, 4)
+    def codes(self, units: np.ndarray) -> np.ndarray:
+        """The counting projections in steps of a window. Values off the scale share its ends: more
+        collisions, none lost."""
+        values = units @ self.directions(units.shape[1], self.counting, 4)
+        step = self.window / (REACH + 0.5)
+        return (np.clip(np.rint(values / step), -128, 127) + 128).astype(np.uint8)
 
 
-def _units(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of one length as a matrix of unit vectors, with their numbers of copies apart."""
+def _units(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """Vectors of one length as a matrix of unit vectors."""
     lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     length = len(lists[0])
     flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
@@ -127,66 +131,120 @@ def usable(vector: str) -> Column:
     return F.coalesce(F.col(vector).isNotNull() & ~bad & some, F.lit(False))
 
 
-def _dealt(plan: Projections):
-    """``table, cell, cid`` rows of every class."""
+def _projected(plan: Projections):
+    """``cid, vector, copies`` rows with the cells and codes of each."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lengths = pc.list_value_length(batch.column(1))
             for length in pc.unique(lengths):
                 part = batch.filter(pc.equal(lengths, length))
-                cells = plan.cells(_units(part.column(1)))
-                table = np.tile(np.arange(plan.tables, dtype=np.int32), len(cells))
+                units = _units(part.column(1))
+                cells, codes = plan.cells(units), plan.codes(units)
+                n = len(units)
+                starts = pa.array(np.arange(n + 1, dtype=np.int32) * plan.tables)
+                ends = np.arange(n + 1, dtype=np.int32) * plan.counting
+                buffers = [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(codes.tobytes())]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(table),
-                        pa.array(cells.reshape(-1)),
-                        pa.array(np.repeat(part.column(0).to_numpy(), plan.tables)),
+                        *part.columns,
+                        pa.ListArray.from_arrays(starts, pa.array(cells.reshape(-1))),
+                        pa.Array.from_buffers(pa.binary(), n, buffers),
                     ],
-                    names=["tab", "cell", "cid"],
+                    names=["cid", "vector", "copies", "cells", "codes"],
                 )
 
     return run
 
 
-def _compared(plan: Projections):
-    """Links of the classes in a cell: ``cid, links`` counts, and ``cid, other`` forest rows."""
-    keys = ["tab", "cell", "lo", "hi"]
-
-    def pairs(table: pa.Table, units: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        tab = table.column("tab").to_numpy()
-        sorting = plan.sorting(units)[np.arange(len(tab)), tab]
-        order = np.lexsort((sorting, group_numbers(table, keys)))
-        group = group_numbers(table, keys)[order]
-        x, tab, u = sorting[order], tab[order], units[order]
-        lo, hi, block = (table.column(c).to_numpy()[order] for c in ("lo", "hi", "block"))
-        counted, cells = plan.counted(u).astype(np.float32), plan.cells(u)
-        at = np.arange(len(x))
-        by = 0
-        while len(at):
-            by += 1
-            at = at[at + by < len(x)]
-            to = at + by
-            # Sorted windows: a row whose next one is outside has no further ones inside.
-            at = at[(group[at] == group[to]) & (x[to] - x[at] <= plan.sorted_window)]
-            for start in range(0, len(at), 65_536):
-                a = at[start : start + 65_536]
-                b = a + by
-                across = (lo[a] == hi[a]) | (block[a] != block[b])
-                a, b = a[across], b[across]
-                hits = (np.abs(counted[a] - counted[b]) <= plan.window).sum(axis=1)
-                a, b = a[hits >= plan.needed], b[hits >= plan.needed]
-                if not len(a):
-                    continue
+def collisions(codes: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """How often two rows of a group collide, by place: row ``i`` and a later ``j`` of group ``g``
+    have theirs at ``base[g] + i * size[g] + j``, where ``base`` adds up the squares before.
+
+    Groups are runs of rows, ``size`` long from ``start``. For each projection all groups are sorted
+    at once; from each value on, a window holds the rows up to ``REACH`` steps above, so a pair
+    within reach is met once, from its lower value.
+    """
+    n = len(codes)
+    group = np.repeat(np.arange(len(size)), size)
+    local = np.arange(n) - np.repeat(start, size)
+    row = np.repeat(np.cumsum(size * size) - size * size, size) + local * np.repeat(size, size)
+    counts = np.zeros(int((size * size).sum()), np.uint8)
+    value = np.arange(256)
+    top = np.minimum(value + REACH, 255)
+    place = np.arange(n)
+    for k in range(codes.shape[1]):
+        key = group * 256 + codes[:, k]
+        order = np.argsort(key, kind="stable")
+        upto = np.cumsum(np.bincount(key, minlength=len(size) * 256)).reshape(-1, 256)
+        after = upto[:, top].reshape(-1)[key[order]] - place - 1
+        total = np.cumsum(after)
+        if not total[-1]:
+            continue
+        low = np.repeat(place, after)
+        high = np.arange(total[-1]) - np.repeat(total - after - place - 1, after)
+        i, j = order[low], order[high]
+        counts[row[np.minimum(i, j)] + local[np.maximum(i, j)]] += 1
+    return counts
+
+
+def _colliding(table: pa.Table, plan: Projections) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one group, of two blocks where it has two, with enough collisions."""
+    codes = np.frombuffer(b"".join(table.column("codes").to_pylist()), np.uint8).reshape(-1, plan.counting)
+    whole = table.column("lo").to_numpy() == table.column("hi").to_numpy()
+    block = table.column("block").to_numpy()
+    group = group_numbers(table, KEYS)
+    size = np.bincount(group)
+    start = np.cumsum(size) - size
+    chunk = (np.cumsum(size * size) - 1) // PLACES
+    for number in np.unique(chunk):
+        mine = np.flatnonzero(chunk == number)
+        first, sizes = start[mine[0]], size[mine]
+        starts = start[mine] - first
+        squares = sizes * sizes
+        base = np.cumsum(squares) - squares
+        found = collisions(codes[first : first + sizes.sum()], starts, sizes)
+        hits = np.flatnonzero(found >= plan.needed)
+        g = np.searchsorted(base, hits, side="right") - 1
+        i, j = np.divmod(hits - base[g], sizes[g])
+        a, b = first + starts[g] + i, first + starts[g] + j
+        across = whole[a] | (block[a] != block[b])
+        yield a[across], b[across]
+
+
+def _candidates(plan: Projections):
+    """The rows of a group that collide often enough with another one."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches, KEYS, rows=16_384):
+            some = np.zeros(table.num_rows, bool)
+            for a, b in _colliding(table, plan):
+                some[a] = some[b] = True
+            yield from table.drop_columns("codes").filter(pa.array(some)).combine_chunks().to_batches()
+
+    return run
+
+
+def _verified(plan: Projections):
+    """Links of the classes of a group: ``cid, links`` counts, and ``cid, other`` forest rows."""
+
+    def pairs(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        units = _units(table.column("vector"))
+        cells = table.column("cells").combine_chunks().flatten().to_numpy().reshape(-1, plan.tables)
+        cell = table.column("cell").to_numpy()
+        for left, right in _colliding(table, plan):
+            for at in range(0, len(left), 65_536):
+                a, b = left[at : at + 65_536], right[at : at + 65_536]
                 # A pair belongs to the first table in which it shares a cell.
-                first = (cells[a] == cells[b]).argmax(axis=1) == tab[a]
-                a, b = a[first], b[first]
-                near = np.einsum("ij,ij->i", u[a], u[b]) >= plan.threshold
-                yield order[a[near]], order[b[near]]
+                first = (cells[a] == cells[b]).argmax(axis=1)
+                mine = cells[a, first] == cell[a]
+                a, b = a[mine], b[mine]
+                near = np.einsum("ij,ij->i", units[a], units[b]) >= plan.threshold
+                yield a[near], b[near]
 
     def by_length(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
         """Whole groups, vectors of one length at a time."""
-        for table in whole_groups(batches, keys, rows=16_384):
+        for table in whole_groups(batches, KEYS, rows=8_192):
             lengths = pc.list_value_length(table.column("vector"))
             for length in pc.unique(lengths):
                 yield table.filter(pc.equal(lengths, length))
@@ -196,7 +254,7 @@ def _compared(plan: Projections):
             cid, copies = table.column("cid").to_numpy(), table.column("copies").to_numpy()
             links = np.zeros(len(cid), np.int64)
             left, right, held = [], [], 0
-            for a, b in pairs(table, _units(table.column("vector"))):
+            for a, b in pairs(table):
                 np.add.at(links, a, copies[b])
                 np.add.at(links, b, copies[a])
                 left.append(cid[a])
@@ -224,29 +282,48 @@ def _compared(plan: Projections):
 
 
 def class_links(classes: DataFrame, plan: Projections, block: int = BLOCK) -> DataFrame:
-    """``cid, links, other`` from ``classes`` (``cid, vector, copies``), linear in their number.
+    """``cid, links, other`` from ``classes`` (``cid, vector, copies``).
 
     ``links`` adds up, over rows of a class, to the copies of other classes linked with it;
     ``other`` joins the classes of a component. A cell of more than ``block`` classes is dealt as
-    pairs of blocks. Vectors of different lengths never share a cell.
+    pairs of blocks. Vectors of different lengths never link. Cells and codes are computed once and
+    stored, so that every task sees the same ones.
     """
-    rows = classes.select("cid", "vector").mapInArrow(_dealt(plan), "tab int, cell long, cid long")
-    keys = ["tab", "cell"]
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    parts = F.ceil(F.col("n") / block).cast("long")
+    kind = classes.schema["vector"].dataType.simpleString()
+    placed = saved(
+        classes.select("cid", "vector", "copies").mapInArrow(
+            _projected(plan), f"cid long, vector {kind}, copies long, cells array<long>, codes binary"
+        ),
+        "projected",
+    )
+    rows = placed.select("cid", F.explode("cells").alias("cell"), "codes")
+    # Stored, so that its size is known: Spark broadcasts it if small, else joins by sorting.
+    large = saved(
+        rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
+        .select("cell", F.ceil(F.col("n") / block).cast("int").alias("parts")),
+        "large-cells",
+    )
+    parts = F.coalesce("parts", F.lit(1))
     dealt = (
-        rows.join(sizes, keys)
-        .select(*keys, "cid", parts.alias("parts"), F.pmod(F.xxhash64("cid"), parts).alias("block"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+        rows.join(large, "cell", "left")
+        .withColumn("parts", parts)
+        .withColumn("block", F.pmod(F.xxhash64("cid"), "parts").cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
         .select(
-            *keys, F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
-            "block", "cid",
+            "cell", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+            "block", "cid", "codes",
         )
-        .join(classes.select("cid", "vector", "copies"), "cid")
     )
-    order = [*keys, "lo", "hi"]
-    tasks = dealt.repartition(*order).sortWithinPartitions(*order, "cid")
-    return tasks.mapInArrow(_compared(plan), "cid long, links long, other long")
+
+    def grouped(df: DataFrame) -> DataFrame:
+        return df.repartition(*KEYS).sortWithinPartitions(*KEYS, "cid")
+
+    candidates = grouped(dealt).mapInArrow(
+        _candidates(plan), "cell long, lo int, hi int, block int, cid long"
+    )
+    return grouped(candidates.join(placed, "cid")).mapInArrow(
+        _verified(plan), "cid long, links long, other long"
+    )
 
 
 def near_vectors(

@@ -99,12 +99,51 @@ def test_recall_at_the_threshold(rows):
     a /= np.linalg.norm(a, axis=1, keepdims=True)
     b = np.stack([near(rng, v, 0.95) for v in a])
     shared = (plan.cells(a) == plan.cells(b)).any(axis=1)
-    hits = (np.abs(plan.counted(a) - plan.counted(b)) <= plan.window).sum(axis=1) >= plan.needed
+    hits = collided(plan, a, b) >= plan.needed
     assert (shared & hits).mean() >= 0.94
-    unrelated = (np.abs(plan.counted(a) - plan.counted(np.roll(a, 1, axis=0))) <= plan.window).sum(axis=1)
+    unrelated = collided(plan, a, np.roll(a, 1, axis=0))
     assert (unrelated >= plan.needed).mean() < 0.05
 
 
+def collided(plan, a, b):
+    """Collisions of two vectors, code by code."""
+    return (np.abs(plan.codes(a).astype(int) - plan.codes(b)) <= p.REACH).sum(axis=1)
+
+
+def test_windows_on_sorted_projections_count_every_collision():
+    """Against a comparison of all pairs: sizes from one row on, ends of the scale, ties."""
+    rng = np.random.default_rng(5)
+    size = np.array([1, 7, 2, 40, 1, 90])
+    codes = rng.integers(0, 256, (size.sum(), 32)).astype(np.uint8)
+    codes[10:30] = codes[9] // 2
+    codes[60:70, :16] = 255
+    codes[70:80, :16] = 255 - p.REACH
+    start = np.cumsum(size) - size
+    got, base = p.collisions(codes, start, size), np.cumsum(size**2) - size**2
+    for g, n in enumerate(size):
+        part = codes[start[g] : start[g] + n].astype(int)
+        want = np.triu((np.abs(part[:, None] - part[None]) <= p.REACH).sum(axis=2), 1)
+        assert (got[base[g] : base[g] + n * n].reshape(n, n) == want).all()
+
+
+def test_codes_travel_and_vectors_only_of_candidates(spark):
+    """Of unlike vectors next to none is read again; the rows dealt to cells hold no vector."""
+    rng = np.random.default_rng(6)
+    rows = [(n, rng.standard_normal(64)) for n in range(3000)]
+    rows += [(9000 + n, near(rng, rows[n][1], 0.99)) for n in range(20)]
+    classes = table(spark, rows).selectExpr("vec_id as cid", "embedding as vector", "1L as copies")
+    plan = p.Projections(len(rows))
+    placed = classes.mapInArrow(
+        p._projected(plan), "cid long, vector array<float>, copies long, cells array<long>, codes binary"
+    )
+    dealt = placed.selectExpr("explode(cells) as cell", "0 as lo", "0 as hi", "0 as block", "cid", "codes")
+    tasks = dealt.repartition(*p.KEYS).sortWithinPartitions(*p.KEYS)
+    again = tasks.mapInArrow(p._candidates(plan), "cell long, lo int, hi int, block int, cid long")
+    ids = {r.cid for r in again.select("cid").distinct().collect()}
+    assert ids >= {n for n in range(20)} | {9000 + n for n in range(20)}
+    assert again.count() < 0.1 * dealt.count()
+
+
 def colliding():
     """Two unlike vectors of one 64-bit hash: the second element is solved for."""
     p1, p2, whole = 0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, (1 << 64) - 1
