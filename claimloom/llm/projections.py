@@ -31,7 +31,7 @@ BLOCK = 1024
 #: Half a window in steps of a code. Windows reach from half a step below to half a step above.
 REACH = 12
 #: Pairs of places whose collisions are counted at once.
-PLACES = 1 << 21
+PLACES = 1 << 18
 #: A group: a cell, and the two blocks of it that meet.
 KEYS = ["cell", "lo", "hi"]
 
@@ -158,33 +158,29 @@ def _projected(plan: Projections):
 
 
 def collisions(codes: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """How often two rows of a group collide, by place: row ``i`` and a later ``j`` of group ``g``
-    have theirs at ``base[g] + i * size[g] + j``, where ``base`` adds up the squares before.
+    """How often two rows of a group collide, by place: those of rows ``i`` and ``j`` of group ``g``
+    are the sum of ``base[g] + i * size[g] + j`` and ``base[g] + j * size[g] + i``, where ``base``
+    adds up the squares before.
 
     Groups are runs of rows, ``size`` long from ``start``. For each projection all groups are sorted
     at once; from each value on, a window holds the rows up to ``REACH`` steps above, so a pair
-    within reach is met once, from its lower value.
+    within reach is met once, from the one sorted first.
     """
-    n = len(codes)
-    group = np.repeat(np.arange(len(size)), size)
-    local = np.arange(n) - np.repeat(start, size)
-    row = np.repeat(np.cumsum(size * size) - size * size, size) + local * np.repeat(size, size)
-    counts = np.zeros(int((size * size).sum()), np.uint8)
-    value = np.arange(256)
-    top = np.minimum(value + REACH, 255)
-    place = np.arange(n)
+    squares = size * size
+    local = (np.arange(len(codes)) - np.repeat(start, size)).astype(np.int32)
+    row = (np.repeat(np.cumsum(squares) - squares, size) + local * np.repeat(size, size)).astype(np.int32)
+    group = np.repeat(np.arange(len(size), dtype=np.int32), size) * 256
+    counts = np.zeros(int(squares.sum()), np.uint8)
+    top = np.minimum(np.arange(256) + REACH, 255)
+    after_place = np.arange(1, len(codes) + 1, dtype=np.int32)
     for k in range(codes.shape[1]):
-        key = group * 256 + codes[:, k]
-        order = np.argsort(key, kind="stable")
-        upto = np.cumsum(np.bincount(key, minlength=len(size) * 256)).reshape(-1, 256)
-        after = upto[:, top].reshape(-1)[key[order]] - place - 1
-        total = np.cumsum(after)
-        if not total[-1]:
-            continue
-        low = np.repeat(place, after)
-        high = np.arange(total[-1]) - np.repeat(total - after - place - 1, after)
-        i, j = order[low], order[high]
-        counts[row[np.minimum(i, j)] + local[np.maximum(i, j)]] += 1
+        key = group + codes[:, k]
+        order = np.argsort(key)
+        upto = np.cumsum(np.bincount(key, minlength=len(size) * 256), dtype=np.int32).reshape(-1, 256)
+        inside = upto[:, top].reshape(-1)[key[order]] - after_place
+        total = np.cumsum(inside, dtype=np.int32)
+        other = np.arange(total[-1], dtype=np.int32) + np.repeat(after_place - total + inside, inside)
+        counts[np.repeat(row[order], inside) + local[order][other]] += 1
     return counts
 
 
@@ -204,10 +200,14 @@ def _colliding(table: pa.Table, plan: Projections) -> Iterator[tuple[np.ndarray,
         squares = sizes * sizes
         base = np.cumsum(squares) - squares
         found = collisions(codes[first : first + sizes.sum()], starts, sizes)
-        hits = np.flatnonzero(found >= plan.needed)
+        # One of a pair's two places has half of what it needs; where both have, the first counts.
+        half = (plan.needed + 1) // 2
+        hits = np.flatnonzero(found >= half)
         g = np.searchsorted(base, hits, side="right") - 1
         i, j = np.divmod(hits - base[g], sizes[g])
-        a, b = first + starts[g] + i, first + starts[g] + j
+        back = found[base[g] + j * sizes[g] + i]
+        enough = (found[hits] + back >= plan.needed) & ((i < j) | (back < half))
+        a, b = (first + starts[g] + i)[enough], (first + starts[g] + j)[enough]
         across = whole[a] | (block[a] != block[b])
         yield a[across], b[across]
 
