@@ -9,12 +9,13 @@ from pyspark.sql import SparkSession
 
 from claimloom.payer import DEFAULT_PROFILE
 from claimloom.plans.build import build, staging_views
+from claimloom.plans.stored_views import drop_intermediate_views, store_intermediate_views
 from claimloom.sources.tables import (
     MEDICAL_CLAIMS,
     Layers,
     TableSink,
     is_bucketed_by,
-    newest_partition,
+    newest_delivery,
     raw_from_catalog,
     store_staging_views,
 )
@@ -27,17 +28,23 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--staging-database", default=layers.staging)
     parser.add_argument("--intermediate-database", default=layers.intermediate)
     parser.add_argument("--final-database", default=layers.final)
-    parser.add_argument("--store-intermediate", action="store_true")
+    how = parser.add_mutually_exclusive_group()
+    how.add_argument("--store-intermediate", action="store_true", help="intermediate rows as tables")
+    how.add_argument("--intermediate-views", action="store_true", help="intermediate relations as stored views")
     parser.add_argument("--hold-final", action="store_true", help="publish no table that fails a final check")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     raw = raw_from_catalog(spark, args.raw_database)
     store_staging_views(spark, args.raw_database, args.staging_database, staging_views())
+    if args.intermediate_views:
+        store_intermediate_views(spark, args.staging_database, args.intermediate_database)
+    if args.store_intermediate:
+        drop_intermediate_views(spark, args.intermediate_database)
     newest = {
         name: date
         for name in raw
-        if (date := newest_partition(spark, f"{args.raw_database}.{name}")) is not None
+        if (date := newest_delivery(spark, f"{args.raw_database}.{name}")) is not None
     }
     report = build(
         raw,

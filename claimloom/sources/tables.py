@@ -6,6 +6,8 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -142,7 +144,7 @@ class TableSink:
         return table
 
     def _set_location(self, table: str, path: str) -> None:
-        self.spark.sql(f"ALTER TABLE IDENTIFIER(:t) SET LOCATION {_literal(path)}", args={"t": table})
+        self.spark.sql(f"ALTER TABLE IDENTIFIER(:t) SET LOCATION {literal(path)}", args={"t": table})
 
     def _drop(self, table: str) -> None:
         self.spark.sql("DROP TABLE IDENTIFIER(:t)", args={"t": table})
@@ -345,7 +347,43 @@ def newest_partition(spark: SparkSession, table: str, column: str = "date_id") -
     return None
 
 
-def _literal(text: str) -> str:
+def newest_from_statistics(spark: SparkSession, path: str, column: str = "date_id") -> dt.date | None:
+    """The newest date of Parquet files, from the statistics in their footers.
+
+    For tables that are not partitioned by it: Spark's reader answers the maximum itself, and no
+    page of data is read. The caller's session keeps its settings. None where the column is no
+    date or missing, where there are no rows, or where a block has no statistics of it, as one
+    without any date; ``latest_snapshot`` then finds the maximum by a scan.
+    """
+    try:
+        date = newest_in_footers(spark, path, column).first()[0]
+    except (PySparkException, Py4JError):
+        return None
+    return date if isinstance(date, dt.date) and not isinstance(date, dt.datetime) else None
+
+
+def newest_in_footers(spark: SparkSession, path: str, column: str = "date_id") -> DataFrame:
+    """One row with the maximum, as a plan that pushes the aggregate to the Parquet reader."""
+    session = spark.newSession()
+    old = session.conf.get("spark.sql.sources.useV1SourceList").split(",")
+    session.conf.set("spark.sql.sources.useV1SourceList", ",".join(f for f in old if f != "parquet"))
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return session.read.parquet(path).agg(F.max(column))
+
+
+def newest_delivery(spark: SparkSession, table: str, column: str = "date_id") -> dt.date | None:
+    """The newest date of a table: from its partitions if it is partitioned by it, else from file
+    statistics where it is stored as Parquet."""
+    if any(c.isPartition for c in spark.catalog.listColumns(table)):
+        return newest_partition(spark, table, column)
+    rows = spark.sql("DESCRIBE EXTENDED IDENTIFIER(:t)", args={"t": table}).collect()
+    facts = {r.col_name: r.data_type for r in rows}
+    if (facts.get("Provider") or "").lower() != "parquet":
+        return None
+    return newest_from_statistics(spark, facts["Location"], column)
+
+
+def literal(text: str) -> str:
     """A SQL string."""
     escaped = text.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"

@@ -330,6 +330,8 @@ ORACLE: dict[str, str] = {
         )
         for name in ("medical_claim_null_keys", "medical_claim_null_keys_hot")
     },
+    "medical_claim_from_view": _with(["final_medical"], "select * from final_medical"),
+    "pharmacy_claim_from_view": _with(["final_pharmacy"], "select * from final_pharmacy"),
     "pharmacy_claim_from_files": _with(["final_pharmacy"], "select * from final_pharmacy"),
     "lineage": _with(
         ["med"],
@@ -342,6 +344,9 @@ ORACLE: dict[str, str] = {
     "latest_snapshot_pharmacy": _with(
         ["rx_new"], "select int_clm_num, date_id, s3_path from rx_new"
     ),
+    "latest_snapshot_from_statistics": _with(
+        ["rx_new"], "select int_clm_num, date_id, s3_path from rx_new"
+    ),
     "latest_snapshot_member_union": _with(
         ["feeds_new"], "select plan, date_id, filename from feeds_new"
     ),

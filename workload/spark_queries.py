@@ -16,6 +16,7 @@ from claimloom.operators.snapshot import latest_snapshot
 from claimloom.operators.staging import stage
 from claimloom.payer import DEFAULT_PROFILE
 from claimloom.plans import build, medical, members
+from claimloom.plans.stored_views import store_intermediate_views
 from claimloom.schemas import MEDICAL_RAW, MEMBER_RAW, PHARMACY_RAW
 from claimloom.sources.shared import new_folder
 from claimloom.sources.tables import (
@@ -24,6 +25,7 @@ from claimloom.sources.tables import (
     PHARMACY_CLAIMS,
     PPO_MEMBER,
     descriptions,
+    newest_from_statistics,
     raw_from_files,
     store_bucketed,
     store_staging_views,
@@ -125,6 +127,22 @@ def staging_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _comparable(spark.read.table(store_staging_views(spark, database, database, views)[0]))
 
 
+def _final_from_view(name: str) -> Query:
+    """The last step of an output over its stored intermediate view, read by name."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        database, raw = _database(spark), raw_tables(spark, sf_dir)
+        inputs = build.INPUTS[name]
+        for table in inputs:
+            write_layer(raw[table], table, database)
+        views = {view: of for view, of in build.staging_views().items() if of[0] in inputs}
+        store_staging_views(spark, database, database, views)
+        view = store_intermediate_views(spark, database, database, outputs=[name])[name]
+        return _comparable(build.FINALIZE[name](spark.read.table(view)))
+
+    return query
+
+
 def _text_deliveries(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     raw = raw_tables(spark, sf_dir)
     return {name: as_delivered(df, ("_run_time",)) for name, df in raw.items()}
@@ -161,6 +179,15 @@ def latest_snapshot_pharmacy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pharmacy_snapshot(spark, sf_dir).select("int_clm_num", "date_id", "s3_path")
 
 
+def latest_snapshot_from_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pharmacy snapshot of files not partitioned by date, its date from their footers."""
+    path = f"{new_folder(spark, 'unpartitioned')}/rows"
+    raw_tables(spark, sf_dir)[PHARMACY_CLAIMS].write.parquet(path)
+    staged = stage(spark.read.parquet(path), PHARMACY_RAW)
+    rows = latest_snapshot(staged, newest=newest_from_statistics(spark, path))
+    return rows.select("int_clm_num", "date_id", "s3_path")
+
+
 def latest_snapshot_member_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_snapshot(_feeds(spark, sf_dir)).select("plan", "date_id", "filename")
 
@@ -526,6 +553,9 @@ QUERIES: dict[str, Query] = {
     "raw_files": raw_files,
     "layer_table": layer_table,
     "staging_view": staging_view,
+    "medical_claim_from_view": _final_from_view("medical_claim"),
+    "pharmacy_claim_from_view": _final_from_view("pharmacy_claim"),
+    "latest_snapshot_from_statistics": latest_snapshot_from_statistics,
     "lineage": lineage,
     "lineage_from_text": lineage_from_text,
     "latest_snapshot_medical": latest_snapshot_medical,
