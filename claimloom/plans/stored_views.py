@@ -124,7 +124,7 @@ def medical_claims(staged: str, profile: PayerProfile = DEFAULT_PROFILE) -> str:
     return f"""
 WITH snapshot AS ({_newest(staged)}),
 lines AS (SELECT {_named(lines)} FROM snapshot),
-packed AS (SELECT {", ".join(medical.DECIDING)}, struct({", ".join(rest)}) AS _rest FROM lines),
+packed AS (SELECT /*+ REPARTITION(claim_id) */ {", ".join(medical.DECIDING)}, struct({", ".join(rest)}) AS _rest FROM lines),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY claim_id, claim_line_number ORDER BY {ranking}) AS _rank,
     {_both_signs("min(allowed_amount) OVER line", "max(allowed_amount) OVER line")} AS _reversed,

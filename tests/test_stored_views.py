@@ -44,7 +44,12 @@ def same(spark, views, raw):
 
 def test_views_equal_the_plans(spark, sf_dir):
     raw = raw_tables(spark, sf_dir)
-    same(spark, views_of(spark, raw, "views_all"), raw)
+    views = views_of(spark, raw, "views_all")
+    same(spark, views, raw)
+    # Lines and claims share the one shuffle by claim.
+    plan = spark.read.table(views["medical_claim"])._jdf.queryExecution().toString()
+    physical = plan[plan.index("== Physical Plan ==") :]
+    assert physical.count("Exchange hashpartitioning") == 1
 
 
 @pytest.mark.parametrize("rows", ["none", "some", "unnamed", "unnamed reversed"])
