@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 import uuid
 from dataclasses import dataclass
 
@@ -23,6 +24,9 @@ MEDICAL_CLAIMS = "commercial_medical_claims"
 PHARMACY_CLAIMS = "commercial_pharmacy_claims"
 RAW_TABLES = (HMO_MEMBER, PPO_MEMBER, MEDICAL_CLAIMS, PHARMACY_CLAIMS)
 
+#: Rows of a bucket, all deliveries together: some 100 MB of a wide table.
+BUCKET_ROWS = 500_000
+
 
 @dataclass(frozen=True)
 class Layers:
@@ -300,9 +304,11 @@ def store_bucketed(
     """A raw table partitioned by file date and bucketed by ``column``; returns its name.
 
     Plans that group by the column take its partitioning over and shuffle no wide rows. A bucket
-    is read by one task: choose their number so that a bucket of one delivery fits a task, some
-    100 MB. Rows are brought to their buckets first, so a delivery has one file for each.
+    is written and read by one task, so there are more than ``buckets`` where the table has more
+    than ``BUCKET_ROWS`` rows for each; they are counted first. Rows are brought to their buckets
+    first, so a delivery has one file for each.
     """
+    buckets = max(buckets, math.ceil(df.count() / BUCKET_ROWS))
     (
         df.repartition(buckets, column)
         .write.partitionBy(partition)
