@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from claimloom.payer import PayerProfile
 from claimloom.schemas import PASSTHROUGH, TABLE_COMMENTS
 from claimloom.sources.journal import SWITCHING, Files, Journal
+from claimloom.sources.shared import open_writers
 
 # Names of the raw tables.
 HMO_MEMBER = "commercial_hmo_member"
@@ -26,6 +27,9 @@ RAW_TABLES = (HMO_MEMBER, PPO_MEMBER, MEDICAL_CLAIMS, PHARMACY_CLAIMS)
 
 #: Rows of a bucket, all deliveries together: some 100 MB of a wide table.
 BUCKET_ROWS = 500_000
+#: Deliveries that one task writes at once, and bytes that each of them gathers before it writes.
+OPEN_DELIVERIES = 8
+ROW_GROUP_BYTES = 32 << 20
 
 
 @dataclass(frozen=True)
@@ -58,6 +62,16 @@ def raw_from_files(spark: SparkSession, root: str, fmt: str = "parquet") -> dict
     return {name: spark.read.format(fmt).load(f"{root}/{name}") for name in RAW_TABLES}
 
 
+def write_deliveries(df: DataFrame, path: str, partition: str = "date_id") -> None:
+    """A raw table as files, a folder for each delivery.
+
+    A task holds a few dates only, so their files are written side by side: wide rows are not
+    sorted by date, and a large task does not spill them.
+    """
+    with open_writers(df.sparkSession, OPEN_DELIVERIES):
+        df.write.option("parquet.block.size", ROW_GROUP_BYTES).partitionBy(partition).parquet(path)
+
+
 def database_of(spark: SparkSession, layer: str | None) -> str:
     """A configured layer is used verbatim, without blanks around it; none means the current
     database."""

@@ -1,8 +1,9 @@
-"""Large tables."""
+"""Large tables: bucket numbers, deliveries written without a sort."""
 
 from compare import rows_of_spark
 
 from claimloom.sources import tables
+from claimloom.sources.shared import OPEN_WRITERS, open_writers
 
 
 def test_buckets_grow_with_the_table(spark, monkeypatch):
@@ -14,3 +15,31 @@ def test_buckets_grow_with_the_table(spark, monkeypatch):
         facts = {r.col_name: r.data_type for r in spark.sql(f"describe extended {table}").collect()}
         assert int(facts["Num Buckets"]) == buckets
         assert rows_of_spark(spark.read.table(table)) == rows_of_spark(df)
+
+
+def _insert_sorts(spark):
+    plan = spark.sql("explain insert into deliveries.t select k, date_id from delivered").first()[0]
+    return "Sort " in plan
+
+
+def test_deliveries_are_written_without_a_sort(spark, tmp_path, monkeypatch):
+    df = spark.range(200).selectExpr(
+        "id as k", "if(id % 5 = 0, null, date_add(date '2024-03-01', cast(id % 20 as int))) as date_id"
+    )
+    df.createOrReplaceTempView("delivered")
+    spark.sql("create database if not exists deliveries")
+    spark.sql("create table deliveries.t (k bigint, date_id date) using parquet partitioned by (date_id)")
+    assert _insert_sorts(spark)
+    with open_writers(spark, 8):
+        assert not _insert_sorts(spark)
+    assert OPEN_WRITERS not in spark.conf.getAll
+    inside = []
+
+    def noting(*args):
+        inside.append(args)
+        return open_writers(*args)
+
+    monkeypatch.setattr(tables, "open_writers", noting)
+    # More dates than open files: the rest is sorted, and no row is lost.
+    tables.write_deliveries(df.coalesce(1), f"{tmp_path}/t")
+    assert inside and rows_of_spark(spark.read.parquet(f"{tmp_path}/t")) == rows_of_spark(df)

@@ -29,6 +29,7 @@ from claimloom.sources.tables import (
     raw_from_files,
     store_bucketed,
     store_staging_views,
+    write_deliveries,
     write_files,
     write_layer,
 )
@@ -90,7 +91,7 @@ def _delivered_files(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """All raw tables written as deliveries, by file date, and read with the file reader."""
     root = new_folder(spark, "raw")
     for name, df in raw_tables(spark, sf_dir).items():
-        df.write.partitionBy("date_id").parquet(f"{root}/{name}")
+        write_deliveries(df, f"{root}/{name}")
     return raw_from_files(spark, root)
 
 
