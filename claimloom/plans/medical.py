@@ -34,6 +34,7 @@ from claimloom.operators.skew import (
 from claimloom.operators.snapshot import latest_snapshot
 from claimloom.payer import DEFAULT_PROFILE, PayerProfile
 from claimloom.schemas import MEDICAL_CLAIM
+from claimloom.sources.shared import in_compiled_methods
 
 CLAIM, LINE = "claim_id", "claim_line_number"
 
@@ -213,6 +214,7 @@ def intermediate_medical_claims(
     adds how many rows have the row's key (``SAME_KEY``). ``clustered`` says that the table is
     bucketed by claim number: its partitioning serves all windows, and nothing wide is shuffled.
     """
+    in_compiled_methods(staged.sparkSession)
     lines = pack(read_lines(latest_snapshot(staged, newest=newest)))
     hot = hot_keys(lines, [CLAIM], rule)
     versions = _by_window(rows_without(lines, hot), count_keys, clustered).unionByName(

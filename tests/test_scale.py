@@ -1,9 +1,12 @@
-"""Large tables: bucket numbers, deliveries written without a sort."""
+"""Large tables: bucket numbers, deliveries written without a sort, code that Java compiles."""
+
+import datetime as dt
 
 from compare import rows_of_spark
 
-from claimloom.sources import tables
-from claimloom.sources.shared import OPEN_WRITERS, open_writers
+from claimloom.plans import medical
+from claimloom.sources import shared, tables
+from claimloom.sources.shared import METHOD_LIMIT, OPEN_WRITERS, in_compiled_methods, open_writers
 
 
 def test_buckets_grow_with_the_table(spark, monkeypatch):
@@ -43,3 +46,13 @@ def test_deliveries_are_written_without_a_sort(spark, tmp_path, monkeypatch):
     # More dates than open files: the rest is sorted, and no row is lost.
     tables.write_deliveries(df.coalesce(1), f"{tmp_path}/t")
     assert inside and rows_of_spark(spark.read.parquet(f"{tmp_path}/t")) == rows_of_spark(df)
+
+
+def test_wide_projections_are_cut_into_methods(spark, medical_rows):
+    spark.conf.unset(METHOD_LIMIT)
+    medical.intermediate_medical_claims(medical_rows({"date_id": dt.date(2024, 3, 31)}))
+    assert int(spark.conf.get(METHOD_LIMIT)) == shared.METHOD_BYTES < 8000
+    spark.conf.set(METHOD_LIMIT, 65535)
+    in_compiled_methods(spark)
+    assert spark.conf.get(METHOD_LIMIT) == "65535"
+    spark.conf.unset(METHOD_LIMIT)

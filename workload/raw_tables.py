@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimloom.schemas import MEDICAL_RAW, PASSTHROUGH
+from claimloom.sources.shared import in_compiled_methods
 from claimloom.sources.tables import HMO_MEMBER, MEDICAL_CLAIMS, PHARMACY_CLAIMS, PPO_MEMBER
 
 MEDICAL_SQL = """
@@ -124,6 +125,7 @@ TABLES = ("lineitem", "orders", "customer", "events")
 
 
 def _derive(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    in_compiled_methods(spark)
     used = [t for t in TABLES if f"{{{t}}}" in sql]
     return spark.sql(sql, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used})
 
