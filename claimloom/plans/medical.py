@@ -10,6 +10,7 @@ one task take a path of partial aggregates instead; both paths give the same row
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,12 +32,14 @@ from claimloom.operators.skew import (
     rows_with,
     rows_without,
 )
-from claimloom.operators.snapshot import latest_snapshot
+from claimloom.operators.snapshot import latest_snapshot, newest_with_rows
 from claimloom.payer import DEFAULT_PROFILE, PayerProfile
 from claimloom.schemas import MEDICAL_CLAIM
 from claimloom.sources.shared import in_compiled_methods
 
 CLAIM, LINE = "claim_id", "claim_line_number"
+#: Lines that one task sorts by claim: some 300 MB of memory.
+TASK_ROWS = 400_000
 
 # Raw column of each output column that is only renamed.
 RENAMED = {
@@ -155,15 +158,26 @@ def _with_counted_keys(winners: DataFrame, count_keys: bool) -> DataFrame:
     return with_same_key(winners, [CLAIM, LINE], kept=_ids_pass()) if count_keys else winners
 
 
-def _by_window(lines: DataFrame, count_keys: bool = False, clustered: bool = False) -> DataFrame:
+def _by_claim(lines: DataFrame, rows: int) -> DataFrame:
+    """Shuffled by claim, into as many partitions as the session says or more, so that the sort of
+    none is larger than a task's memory."""
+    tasks = math.ceil(rows / TASK_ROWS)
+    if tasks <= int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return lines.repartition(CLAIM)
+    return lines.repartition(tasks, CLAIM)
+
+
+def _by_window(
+    lines: DataFrame, count_keys: bool = False, clustered: bool = False, rows: int = 0
+) -> DataFrame:
     """Winning version of each line with line and claim facts; one shuffle, by claim, or none
-    where the table has its rows by claim already."""
+    where the table has its rows by claim already. ``rows`` is about how many lines there are."""
     ranking = then_all_others(lines.drop(CLAIM, LINE), VERSION_ORDER)
     by_line = Window.partitionBy(CLAIM, LINE).orderBy(*map(F.desc_nulls_last, ranking))
     all_versions = by_line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     by_claim = Window.partitionBy(CLAIM)
     winners = (
-        (lines if clustered else lines.repartition(CLAIM))
+        (lines if clustered else _by_claim(lines, rows))
         .select(
             "*",
             F.row_number().over(by_line).alias("_rank"),
@@ -213,11 +227,15 @@ def intermediate_medical_claims(
     A claim with any reversed line keeps its other lines, without a claim type. ``count_keys``
     adds how many rows have the row's key (``SAME_KEY``). ``clustered`` says that the table is
     bucketed by claim number: its partitioning serves all windows, and nothing wide is shuffled.
+    Else the lines of the newest date are counted when this is called.
     """
     in_compiled_methods(staged.sparkSession)
+    rows = 0
+    if not clustered:
+        newest, rows = newest_with_rows(staged, newest=newest)
     lines = pack(read_lines(latest_snapshot(staged, newest=newest)))
     hot = hot_keys(lines, [CLAIM], rule)
-    versions = _by_window(rows_without(lines, hot), count_keys, clustered).unionByName(
+    versions = _by_window(rows_without(lines, hot), count_keys, clustered, rows).unionByName(
         _by_aggregate(rows_with(lines, hot), count_keys, clustered)
     )
     kept = versions.where(~_line_dropped() & _ids_pass())

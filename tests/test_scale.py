@@ -3,7 +3,9 @@
 import datetime as dt
 
 from compare import rows_of_spark
+from pyspark.sql import functions as F
 
+from claimloom.operators.snapshot import newest_with_rows
 from claimloom.plans import medical
 from claimloom.sources import shared, tables
 from claimloom.sources.shared import METHOD_LIMIT, OPEN_WRITERS, in_compiled_methods, open_writers
@@ -48,10 +50,26 @@ def test_deliveries_are_written_without_a_sort(spark, tmp_path, monkeypatch):
     assert inside and rows_of_spark(spark.read.parquet(f"{tmp_path}/t")) == rows_of_spark(df)
 
 
+def test_partitions_grow_with_the_lines(spark, medical_rows, monkeypatch):
+    """At any number of lines a task the rows are the same; without a date there are none."""
+    old, none = dt.date(2024, 2, 29), {"date_id": None}
+    lines = medical_rows(*({"int_clm_num": str(i), "clm_line_num": i % 3} for i in range(50)), {"date_id": old}, none)
+    assert newest_with_rows(lines) == (dt.date(2024, 3, 31), 50)
+    assert newest_with_rows(lines, newest=old) == (old, 1)
+    assert newest_with_rows(medical_rows(none)) == (None, 0)
+    assert newest_with_rows(lines.withColumn("date_id", F.col("date_id").cast("string"))) == (None, 52)
+    plain = rows_of_spark(medical.intermediate_medical_claims(lines))
+    monkeypatch.setattr(medical, "TASK_ROWS", 5)
+    df = medical.intermediate_medical_claims(lines)
+    assert "hashpartitioning(claim_id" in (plan := df._jdf.queryExecution().toString()) and ", 10), REPARTITION_BY_NUM" in plan
+    assert len(plain) == 50 and rows_of_spark(df) == plain
+    assert medical.intermediate_medical_claims(medical_rows(none)).count() == 0
+
+
 def test_wide_projections_are_cut_into_methods(spark, medical_rows):
     spark.conf.unset(METHOD_LIMIT)
     medical.intermediate_medical_claims(medical_rows({"date_id": dt.date(2024, 3, 31)}))
-    assert int(spark.conf.get(METHOD_LIMIT)) == shared.METHOD_BYTES < 8000
+    assert int(spark.conf.get(METHOD_LIMIT)) == shared.METHOD_BYTES == 8000
     spark.conf.set(METHOD_LIMIT, 65535)
     in_compiled_methods(spark)
     assert spark.conf.get(METHOD_LIMIT) == "65535"
