@@ -37,6 +37,7 @@ def test_deliveries_are_written_without_a_sort(spark, tmp_path, monkeypatch):
     assert _insert_sorts(spark)
     with open_writers(spark, 8):
         assert not _insert_sorts(spark)
+    spark.catalog.dropTempView("delivered")
     assert OPEN_WRITERS not in spark.conf.getAll
     inside = []
 
