@@ -169,15 +169,15 @@ def collisions(codes: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.nda
     squares = size * size
     local = (np.arange(len(codes)) - np.repeat(start, size)).astype(np.int32)
     row = (np.repeat(np.cumsum(squares) - squares, size) + local * np.repeat(size, size)).astype(np.int32)
-    group = np.repeat(np.arange(len(size), dtype=np.int32), size) * 256
+    # Groups lie so far apart that no window reaches the next one.
+    group = np.repeat(np.arange(len(size), dtype=np.int32), size) * 512
     counts = np.zeros(int(squares.sum()), np.uint8)
-    top = np.minimum(np.arange(256) + REACH, 255)
     after_place = np.arange(1, len(codes) + 1, dtype=np.int32)
     for k in range(codes.shape[1]):
         key = group + codes[:, k]
         order = np.argsort(key)
-        upto = np.cumsum(np.bincount(key, minlength=len(size) * 256), dtype=np.int32).reshape(-1, 256)
-        inside = upto[:, top].reshape(-1)[key[order]] - after_place
+        key = key[order]
+        inside = np.searchsorted(key, key + np.int32(REACH), side="right").astype(np.int32) - after_place
         total = np.cumsum(inside, dtype=np.int32)
         other = np.arange(total[-1], dtype=np.int32) + np.repeat(after_place - total + inside, inside)
         counts[np.repeat(row[order], inside) + local[order][other]] += 1

@@ -1,6 +1,7 @@
 """Embedding links against all cosines; recall on pairs just at the threshold."""
 
 import struct
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -127,6 +128,22 @@ def test_windows_on_sorted_projections_count_every_collision():
         assert (np.triu(places + places.T, 1) == want).all() and not places.diagonal().any()
 
 
+def test_small_groups_cost_what_their_rows_cost():
+    """No array with a place for each of 256 codes of every group: a few bytes a row and a pair."""
+    rng = np.random.default_rng(8)
+    size = np.full(20_000, 2)
+    codes = rng.integers(0, 256, (size.sum(), 4)).astype(np.uint8)
+    tracemalloc.start()
+    try:
+        got = p.collisions(codes, np.cumsum(size) - size, size)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    want = (np.abs(codes[::2].astype(int) - codes[1::2]) <= p.REACH).sum(axis=1)
+    assert (got.reshape(-1, 4)[:, 1] + got.reshape(-1, 4)[:, 2] == want).all()
+    assert peak < 200 * len(codes)
+
+
 def test_codes_travel_and_vectors_only_of_candidates(spark):
     """Of unlike vectors next to none is read again; the rows dealt to cells hold no vector."""
     rng = np.random.default_rng(6)
