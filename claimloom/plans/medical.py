@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -158,13 +158,17 @@ def _with_counted_keys(winners: DataFrame, count_keys: bool) -> DataFrame:
     return with_same_key(winners, [CLAIM, LINE], kept=_ids_pass()) if count_keys else winners
 
 
-def _by_claim(lines: DataFrame, rows: int) -> DataFrame:
-    """Shuffled by claim, into as many partitions as the session says or more, so that the sort of
-    none is larger than a task's memory."""
+def partitions_by_claim(spark: SparkSession, rows: int) -> int | None:
+    """Partitions that ``rows`` lines ask for, so that the sort of none is larger than a task's
+    memory; None if the session's own number is enough."""
     tasks = math.ceil(rows / TASK_ROWS)
-    if tasks <= int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")):
-        return lines.repartition(CLAIM)
-    return lines.repartition(tasks, CLAIM)
+    return tasks if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def _by_claim(lines: DataFrame, rows: int) -> DataFrame:
+    """Shuffled by claim, into as many partitions as the session says or more."""
+    tasks = partitions_by_claim(lines.sparkSession, rows)
+    return lines.repartition(CLAIM) if tasks is None else lines.repartition(tasks, CLAIM)
 
 
 def _by_window(

@@ -4,18 +4,21 @@ A stored view outlives the session and is read by name, as SQL users expect. It
 is read. Renames, amounts, contracts and ranking columns are the plans' own constants; each SELECT has
 the shape of its plan: windows over one partitioning, no join. A view keeps a hot claim in one task,
 which spills; the build's own path for hot claims needs what a stored text can not have, a look
-at the data before the plan is made.
+at the data before the plan is made. The number of partitions by claim is in the text: it follows
+from the lines that were there when the view was stored, and does not change the rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Collection, Iterable, Mapping
 
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from claimloom.functions.codes import NO_CODE
 from claimloom.functions.ids import NPI_DIGITS, NPI_LUHN_PREFIX
+from claimloom.operators.snapshot import newest_with_rows
 from claimloom.payer import DEFAULT_PROFILE, PayerProfile
 from claimloom.plans import medical, members, pharmacy
 from claimloom.plans.build import FINALIZE, intermediate_name, staging_views
@@ -91,8 +94,12 @@ def _newest(relation: str) -> str:
     return f"SELECT * FROM {relation} WHERE date_id = (SELECT max(date_id) FROM {relation})"
 
 
-def medical_claims(staged: str, profile: PayerProfile = DEFAULT_PROFILE) -> str:
-    """The SELECT of ``plans.medical.intermediate_medical_claims``."""
+def medical_claims(
+    staged: str, profile: PayerProfile = DEFAULT_PROFILE, partitions: int | None = None
+) -> str:
+    """The SELECT of ``plans.medical.intermediate_medical_claims``, in so many partitions by claim,
+    or the reading session's own number."""
+    number = "" if partitions is None else f"{partitions}, "
     lines = {
         **medical.RENAMED,
         **{raw: raw for raw in medical.READ_LATER},
@@ -124,7 +131,7 @@ def medical_claims(staged: str, profile: PayerProfile = DEFAULT_PROFILE) -> str:
     return f"""
 WITH snapshot AS ({_newest(staged)}),
 lines AS (SELECT {_named(lines)} FROM snapshot),
-packed AS (SELECT /*+ REPARTITION(claim_id) */ {", ".join(medical.DECIDING)}, struct({", ".join(rest)}) AS _rest FROM lines),
+packed AS (SELECT /*+ REPARTITION({number}claim_id) */ {", ".join(medical.DECIDING)}, struct({", ".join(rest)}) AS _rest FROM lines),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY claim_id, claim_line_number ORDER BY {ranking}) AS _rank,
     {_both_signs("min(allowed_amount) OVER line", "max(allowed_amount) OVER line")} AS _reversed,
@@ -240,18 +247,32 @@ def provider_attribution(hmo: str, ppo: str, profile: PayerProfile = DEFAULT_PRO
 SELECT {_fitted(PROVIDER_ATTRIBUTION, values, names)} FROM picked"""
 
 
-def intermediate_selects(staging_database: str, profile: PayerProfile = DEFAULT_PROFILE) -> dict[str, str]:
-    """The SELECT of each output's intermediate relation, over the stored staging views."""
+def intermediate_selects(
+    staging_database: str, profile: PayerProfile = DEFAULT_PROFILE, by_claim: int | None = None
+) -> dict[str, str]:
+    """The SELECT of each output's intermediate relation, over the stored staging views.
+
+    ``by_claim`` is the number of partitions of medical lines, if not the session's own."""
     stg = {raw: f"`{staging_database}`.{name}" for name, (raw, _) in staging_views(profile).items()}
     feeds = stg[HMO_MEMBER], stg[PPO_MEMBER]
     return {
         "eligibility": member_eligibility(*feeds, profile),
         "provider_attribution": provider_attribution(*feeds, profile),
-        "medical_claim": medical_claims(stg[MEDICAL_CLAIMS], profile),
+        "medical_claim": medical_claims(stg[MEDICAL_CLAIMS], profile, by_claim),
         "pharmacy_claim": pharmacy_claims(stg[PHARMACY_CLAIMS], profile),
     }
 
 
+def _partitions_by_claim(spark: SparkSession, staging_database: str, profile: PayerProfile) -> int | None:
+    """What the newest medical lines ask for. Lines that can not be read are left to the reader."""
+    [staged] = [name for name, (raw, _) in staging_views(profile).items() if raw == MEDICAL_CLAIMS]
+    try:
+        _, rows = newest_with_rows(spark.read.table(f"`{staging_database}`.{staged}"))
+    except PySparkException:
+        return None
+    return medical.partitions_by_claim(spark, rows)
+
+
 def store_intermediate_views(
     spark: SparkSession,
     staging_layer: str,
@@ -261,13 +282,17 @@ def store_intermediate_views(
 ) -> dict[str, str]:
     """Stored views over the stored staging views; returns their qualified names by output.
 
+    The newest medical lines are counted, by one pass over their dates: store the views anew when
+    the table has grown by much, or large tasks spill.
     A table of such a name (from a build that stored its intermediate rows) is not replaced:
     Spark raises.
     """
     database = database_of(spark, layer)
     spark.sql("CREATE DATABASE IF NOT EXISTS IDENTIFIER(:db)", args={"db": database})
     stored = {}
-    selects = intermediate_selects(database_of(spark, staging_layer), profile)
+    staging = database_of(spark, staging_layer)
+    by_claim = _partitions_by_claim(spark, staging, profile) if "medical_claim" in outputs else None
+    selects = intermediate_selects(staging, profile, by_claim)
     for output in outputs:
         stored[output] = f"{database}.{intermediate_name(output, profile)}"
         spark.sql(f"CREATE OR REPLACE VIEW IDENTIFIER(:v) AS {selects[output]}", args={"v": stored[output]})

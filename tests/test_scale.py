@@ -6,9 +6,11 @@ from compare import rows_of_spark
 from pyspark.sql import functions as F
 
 from claimloom.operators.snapshot import newest_with_rows
-from claimloom.plans import medical
+from claimloom.plans import build, medical
+from claimloom.plans.stored_views import store_intermediate_views
 from claimloom.sources import shared, tables
 from claimloom.sources.shared import METHOD_LIMIT, OPEN_WRITERS, in_compiled_methods, open_writers
+from claimloom.sources.tables import MEDICAL_CLAIMS
 
 
 def test_buckets_grow_with_the_table(spark, monkeypatch):
@@ -67,6 +69,21 @@ def test_partitions_grow_with_the_lines(spark, medical_rows, monkeypatch):
     assert medical.intermediate_medical_claims(medical_rows(none)).count() == 0
 
 
+def test_stored_view_has_partitions_for_its_lines(spark, medical_rows, monkeypatch):
+    """Counted when the view is stored; the rows are the plan's at any number, and without lines."""
+    lines = medical_rows(*({"int_clm_num": str(i), "clm_line_num": i % 3} for i in range(50)), {"date_id": None})
+    spark.sql("create database if not exists views_scale")
+    monkeypatch.setattr(medical, "TASK_ROWS", 5)
+    for df, number in ((lines, ", 10), REPARTITION_BY_NUM"), (lines.limit(0), "), REPARTITION_BY_COL")):
+        df.write.mode("overwrite").saveAsTable(f"views_scale.{MEDICAL_CLAIMS}")
+        staged = {name: of for name, of in build.staging_views().items() if of[0] == MEDICAL_CLAIMS}
+        tables.store_staging_views(spark, "views_scale", "views_scale", staged)
+        view = store_intermediate_views(spark, "views_scale", "views_scale", outputs=["medical_claim"])["medical_claim"]
+        got = spark.newSession().read.table(view)
+        assert number in got._jdf.queryExecution().toString()
+        assert rows_of_spark(got) == rows_of_spark(medical.intermediate_medical_claims(df))
+
+
 def test_wide_projections_are_cut_into_methods(spark, medical_rows):
     spark.conf.unset(METHOD_LIMIT)
     medical.intermediate_medical_claims(medical_rows({"date_id": dt.date(2024, 3, 31)}))
