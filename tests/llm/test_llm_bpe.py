@@ -77,6 +77,35 @@ def test_small_memory_of_pieces(reference, monkeypatch):
     same([f"unheard{i} ofwords{i * i}" for i in range(100)], reference)
 
 
+def test_pieces_that_come_again_are_not_contracted_again(monkeypatch):
+    """After a million distinct pieces the first ones are still known."""
+    coder = bpe.Codec(RANK_FILE, PATTERN)
+    asked = []
+
+    def contract(pieces):
+        asked.append(len(pieces))
+        return [np.zeros(1, np.int32)] * len(pieces)
+
+    monkeypatch.setattr(coder, "_contract", contract)
+    sets = [{f"{n}unheard{i}" for i in range(200_000)} for n in range(5)]
+    for pieces in sets:
+        coder.learn(pieces)
+    assert sum(asked) == 1_000_000
+    coder.learn(sets[0])
+    assert sum(asked) == 1_000_000
+    assert len(coder.known) + len(coder.older) <= bpe.KNOWN_PIECES + 2 * len(sets[0])
+
+
+def test_decode_keeps_order_around_every_run_of_eight():
+    coder = bpe.codec(RANK_FILE, PATTERN)
+    tokens = {rank: token for token, rank in coder.ranks.items()}
+    rng = np.random.default_rng(3)
+    docs = [rng.choice(sorted(tokens), n).astype("<i4") for n in (*range(26), 1000, 4096)]
+    docs.append(coder.byte_ids[np.arange(256)].astype("<i4"))
+    docs.append(np.full(100, coder.ranks[b"\0"], "<i4"))
+    assert coder.decode(docs) == [b"".join(tokens[i] for i in ids.tolist()) for ids in docs]
+
+
 def digests(text, reference):
     ids = reference.encode_ordinary(text or "")
     return (
