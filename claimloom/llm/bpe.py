@@ -29,12 +29,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimloom.llm.shared import small_batches
+
 #: Token rows that one recursive query starts with, and characters of texts held at once.
 QUERY_ROWS = 200_000
 BATCH_CHARS = 2_000_000
 #: Tokens that one query decodes; a longer document is decoded in consecutive ranges.
 DECODE_ROWS = 1_000_000
-#: Distinct pieces whose ids a worker remembers, and bytes of those ids.
+#: Distinct pieces whose ids a worker remembers, and bytes of those pieces and ids.
 KNOWN_PIECES = 1_000_000
 KNOWN_BYTES = 64_000_000
 
@@ -199,11 +201,11 @@ class Codec:
             if piece in self.known:
                 continue
             if (ids := self.older.get(piece)) is not None:
-                self.known[piece] = ids
+                self._remember(piece, ids)
                 continue
             data = piece.encode()
             if (rank := self.ranks.get(data)) is not None:
-                self.known[piece] = rank.to_bytes(4, "little")
+                self._remember(piece, rank.to_bytes(4, "little"))
             else:
                 (long if len(data) > LONG else short).append((piece, data))
         # Pieces and windows of longer ones go through the same queries.
@@ -214,10 +216,13 @@ class Codec:
         for some in _portioned(list(distinct), QUERY_ROWS):
             found.update(zip(some, self._contract(some)))
         for piece, data in short:
-            self.known[piece] = found[data].tobytes()
+            self._remember(piece, found[data].tobytes())
         for piece, data in long:
-            self.known[piece] = self._joined(data, found).tobytes()
-            self.known_bytes += len(self.known[piece])
+            self._remember(piece, self._joined(data, found).tobytes())
+
+    def _remember(self, piece: str, ids: bytes) -> None:
+        self.known[piece] = ids
+        self.known_bytes += len(piece) + len(ids)
 
     def _joined(self, data: bytes, known: dict[bytes, np.ndarray]) -> np.ndarray:
         """Ids of a long piece, from those of its windows."""
@@ -331,11 +336,13 @@ def codec(rank_file: str, pattern: str) -> Codec:
 
 
 def _portions(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Bounds of runs of texts of about ``BATCH_CHARS`` characters."""
+    """Bounds of runs of texts of about ``BATCH_CHARS`` characters, none much shorter than others."""
+    whole = sum(len(text or "") for text in texts)
+    most = whole / max(1, round(whole / BATCH_CHARS)) or BATCH_CHARS
     start = chars = 0
     for at, text in enumerate(texts):
         chars += len(text or "")
-        if chars >= BATCH_CHARS:
+        if chars >= most:
             yield start, at + 1
             start, chars = at + 1, 0
     if start < len(texts):
@@ -371,6 +378,7 @@ def encode_texts(
                     names=[id_col, "ids", "n_tokens", "ids_sha256", "decoded_sha256"],
                 )
 
+    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(
         run,

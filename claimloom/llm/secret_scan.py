@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimloom.llm.shared import small_batches
+
 #: Kinds in the order in which spans of one start are listed; the first three are the base.
 KINDS = ("assign", "access", "hex", "forge", "registry", "iban")
 BASE = KINDS[:3]
@@ -208,6 +210,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     names=[id_col, "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
                 )
 
+    small_batches(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, {SPAN_COLUMNS}")
 
@@ -228,6 +231,7 @@ def mask_secrets(docs: DataFrame, text_col: str = "text") -> DataFrame:
                     place, part.schema.field(place), pa.array(texts, part.schema.field(place).type)
                 )
 
+    small_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
 
 

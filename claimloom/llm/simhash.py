@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.llm.components import components
-from claimloom.llm.shared import forest, group_numbers, saved, whole_groups
+from claimloom.llm.shared import forest, group_numbers, saved, small_batches, whole_groups
 
 BITS = 64
 SEED = 42
@@ -67,6 +67,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> D
                     names=["id", "fp", "text_key"],
                 )
 
+    small_batches(docs.sparkSession)
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return narrow.mapInArrow(run, "id long, fp long, text_key string")
 

@@ -96,6 +96,26 @@ def test_pieces_that_come_again_are_not_contracted_again(monkeypatch):
     assert len(coder.known) + len(coder.older) <= bpe.KNOWN_PIECES + 2 * len(sets[0])
 
 
+def test_memory_of_pieces_is_bounded_in_bytes(monkeypatch):
+    """Short pieces of many ids count with their bytes, as long ones do."""
+    monkeypatch.setattr(bpe, "KNOWN_BYTES", 100_000)
+    coder = bpe.Codec(RANK_FILE, PATTERN)
+    monkeypatch.setattr(coder, "_contract", lambda pieces: [np.zeros(90, np.int32)] * len(pieces))
+    for n in range(20):
+        coder.learn({f"{n:040}unheard{i:040}" for i in range(100)})
+    # 450 bytes a piece: 100 more than a half of the limit has, in each generation.
+    assert len(coder.known) + len(coder.older) <= 2 * (100_000 // 2 // 447 + 100)
+
+
+def test_portions_are_even(monkeypatch):
+    monkeypatch.setattr(bpe, "BATCH_CHARS", 100)
+    for texts in (["x" * 10] * 21, ["x" * 10] * 10, ["x" * 10] * 14, [None, ""], ["x" * 1000, "y"], []):
+        bounds = list(bpe._portions(texts))
+        assert [at for start, end in bounds for at in range(start, end)] == list(range(len(texts)))
+        assert all(end - start >= 7 for start, end in bounds[:-1] if texts[0] == "x" * 10)
+    assert list(bpe._portions(["x" * 10] * 21)) == [(0, 11), (11, 21)]
+
+
 def test_decode_keeps_order_around_every_run_of_eight():
     coder = bpe.codec(RANK_FILE, PATTERN)
     tokens = {rank: token for token, rank in coder.ranks.items()}

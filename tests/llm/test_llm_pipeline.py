@@ -1,11 +1,12 @@
 """The pipeline against the plain twins of its stages."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_fixtures import SF, components, documents, odd_rows
 
 import corpus_pipeline
-from claimloom.llm import line_rules, secret_scan, simhash
+from claimloom.llm import bpe, line_rules, queries, secret_scan, shared, simhash
 from claimloom.llm.queries import pipeline
 from claimloom.llm.shared import saved
 
@@ -72,3 +73,33 @@ def test_odd_documents(spark):
             rows = saved(stage(spark, rows, SF), "odd")
         found = rows.count()
         assert (found > 0) == (given is docs)
+
+
+def test_texts_reach_the_workers_in_batches_of_few_bytes(spark):
+    """Long texts come in many batches, after any stage that runs Python; a user's limit stays."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["bytes"])
+
+    texts = spark.range(0, 4000, 1, 1).selectExpr("id doc_id", "'s' source", "repeat('word ', 1000) text")
+    before = spark.conf.getAll.get(shared.BATCH_LIMIT)
+    try:
+        for stage in (
+            lambda docs: line_rules.line_facts(docs, "doc_id", "text", "source"),
+            lambda docs: simhash.fingerprints(docs, "doc_id", "text", 3),
+            secret_scan.scan_secrets,
+            secret_scan.mask_secrets,
+            lambda docs: bpe.encode_texts(docs, queries.RANK_FILE, queries.PATTERN),
+        ):
+            spark.conf.unset(shared.BATCH_LIMIT)
+            stage(texts)
+            got = [r.bytes for r in texts.mapInArrow(sizes, "bytes long").collect()]
+            assert len(got) >= 4 and max(got) < shared.BATCH_BYTES + 10_000
+        spark.conf.set(shared.BATCH_LIMIT, 9_000_000)
+        secret_scan.scan_secrets(texts)
+        assert int(spark.conf.get(shared.BATCH_LIMIT).rstrip("b")) == 9_000_000
+    finally:
+        spark.conf.unset(shared.BATCH_LIMIT)
+        if before is not None:
+            spark.conf.set(shared.BATCH_LIMIT, before)
