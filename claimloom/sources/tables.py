@@ -5,18 +5,19 @@ from __future__ import annotations
 import datetime as dt
 import math
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimloom.payer import PayerProfile
 from claimloom.schemas import PASSTHROUGH, TABLE_COMMENTS
 from claimloom.sources.journal import SWITCHING, Files, Journal
-from claimloom.sources.shared import open_writers
+from claimloom.sources.shared import open_writers, shuffles_dropped
 
 # Names of the raw tables.
 HMO_MEMBER = "commercial_hmo_member"
@@ -27,6 +28,10 @@ RAW_TABLES = (HMO_MEMBER, PPO_MEMBER, MEDICAL_CLAIMS, PHARMACY_CLAIMS)
 
 #: Rows of a bucket, all deliveries together: some 100 MB of a wide table.
 BUCKET_ROWS = 500_000
+#: Passes in which a large table is brought to its buckets, at most; each reads its source again.
+PASSES = 16
+#: Such a table is read by column and once a job: smaller files are worth their time.
+BUCKET_CODEC = "zstd"
 #: Deliveries that one task writes at once, and bytes that each of them gathers before it writes.
 OPEN_DELIVERIES = 8
 ROW_GROUP_BYTES = 32 << 20
@@ -321,18 +326,60 @@ def store_bucketed(
     is written and read by one task, so there are more than ``buckets`` where the table has more
     than ``BUCKET_ROWS`` rows for each; they are counted first. Rows are brought to their buckets
     first, so a delivery has one file for each.
+
+    Wide rows in a shuffle take several times the room of the table itself. A large table is
+    therefore written in passes over ``df``, ``PASSES`` at most, of a bucket for every core at least:
+    each has a share of the buckets, whose rows are found by the hash that buckets are made by, and
+    its shuffle is gone before the next. ``df`` must give the same rows every time. Nobody sees rows
+    of the table before the last pass is through.
     """
-    buckets = max(buckets, math.ceil(df.count() / BUCKET_ROWS))
-    (
-        df.repartition(buckets, column)
-        .write.partitionBy(partition)
-        .bucketBy(buckets, column)
-        .sortBy(column)
-        .saveAsTable(table)
-    )
+    spark = df.sparkSession
+    with shuffles_dropped(spark):
+        full = max(1, math.ceil(df.count() / BUCKET_ROWS))
+        buckets = max(buckets, full)
+        cores = spark.sparkContext.defaultParallelism
+        passes = math.ceil(full / (cores * math.ceil(full / (cores * PASSES))))
+        share = math.ceil(buckets / passes)
+        bucket = F.pmod(F.hash(column), F.lit(buckets))
+
+        def writer(rows: DataFrame) -> DataFrameWriter:
+            by_bucket = rows.repartitionById(share, bucket).write.option("compression", BUCKET_CODEC)
+            return by_bucket.partitionBy(partition).bucketBy(buckets, column).sortBy(column)
+
+        if passes == 1:
+            writer(df).saveAsTable(table)
+        else:
+            of_pass = F.floor(bucket / share)
+            _store_in_passes(table, writer, df, [of_pass == n for n in range(passes)])
     return table
 
 
+def _store_in_passes(
+    table: str, writer: Callable[[DataFrame], DataFrameWriter], df: DataFrame, passes: list[Column]
+) -> None:
+    """A partitioned table of the rows of each pass in turn.
+
+    The table is created empty. Passes add files to its folder through a second catalog entry, so
+    it has no partitions, and no rows, until those in the folder are made known to the catalog. If
+    a pass fails, the table is dropped.
+    """
+    spark = df.sparkSession
+    writer(df.limit(0)).saveAsTable(table)
+    facts = spark.sql("DESCRIBE EXTENDED IDENTIFIER(:t)", args={"t": table}).collect()
+    folder = {r.col_name: r.data_type for r in facts}["Location"]
+    filled = f"{table}__{uuid.uuid4().hex}"
+    try:
+        for condition in passes:
+            writer(df.where(condition)).mode("append").option("path", folder).saveAsTable(filled)
+        spark.sql("MSCK REPAIR TABLE IDENTIFIER(:t)", args={"t": table})
+    except Exception:
+        spark.sql("DROP TABLE IDENTIFIER(:t)", args={"t": table})
+        raise
+    finally:
+        # Not managed: its files stay.
+        spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": filled})
+
+
 def is_bucketed_by(spark: SparkSession, table: str, column: str) -> bool:
     """Whether a table is bucketed by just this column."""
     return [c.name for c in spark.catalog.listColumns(table) if c.isBucket] == [column]

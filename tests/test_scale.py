@@ -1,8 +1,13 @@
 """Large tables: bucket numbers, deliveries written without a sort, code that Java compiles."""
 
 import datetime as dt
+import os
+import re
+import time
 
+import pytest
 from compare import rows_of_spark
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from claimloom.operators.snapshot import newest_with_rows
@@ -24,6 +29,72 @@ def test_buckets_grow_with_the_table(spark, monkeypatch):
         assert rows_of_spark(spark.read.table(table)) == rows_of_spark(df)
 
 
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def _tables(spark, database):
+    return [r.tableName for r in spark.sql(f"show tables in {database}").collect() if not r.isTemporary]
+
+
+def _delivered(spark, rows):
+    """Keys that repeat, some NULL, as some dates are; the keys come out of a shuffle."""
+    return (
+        spark.range(rows)
+        .selectExpr("if(id % 50 = 0, null, cast(id % 900 as string)) as k", "id")
+        .repartition(3, "id")
+        .selectExpr("k", "id", "if(id % 7 = 0, null, date_add(date '2024-03-01', cast(id % 2 as int))) as date_id")
+    )
+
+
+def test_a_large_bucketed_table_is_stored_in_passes(spark, monkeypatch):
+    """No shuffle holds the whole table or is left behind; the table is as one pass would make it."""
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 100)
+    monkeypatch.setattr(tables, "PASSES", 3)
+    spark.sql("create database if not exists passes")
+    df, store, seen, before = _delivered(spark, 2950), tables._store_in_passes, [], _shuffle_files(spark)
+
+    def noting(table, writer, rows, passes):
+        seen.extend(rows.where(p).count() for p in passes)
+        store(table, writer, rows, passes)
+
+    monkeypatch.setattr(tables, "_store_in_passes", noting)
+    table = tables.store_bucketed(df, "passes.t", "k", 4)
+    assert len(seen) == 3 and sum(seen) == 2950 and max(seen) < 2950 / 2
+    until = time.time() + 20
+    while (left := _shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left and shared.DROP_SHUFFLES not in spark.conf.getAll
+
+    facts = {r.col_name: r.data_type for r in spark.sql(f"describe extended {table}").collect()}
+    assert (facts["Num Buckets"], facts["Type"]) == ("30", "MANAGED") and tables.is_bucketed_by(spark, table, "k")
+    got = spark.newSession().read.table(table)
+    assert rows_of_spark(got.select(*df.columns)) == rows_of_spark(df)
+    assert tables.newest_partition(spark, table) == dt.date(2024, 3, 2)
+    # A bucket of a delivery is one file, and groups by key need no shuffle.
+    files = [(os.path.dirname(f), re.search(r"_(\d{5})\.", f)[1]) for f in got.inputFiles()]
+    assert len(files) == len(set(files)) and len({bucket for _, bucket in files}) > 20
+    assert "Exchange" not in got.groupBy("k").count()._jdf.queryExecution().toString()
+    assert _tables(spark, "passes") == ["t"]
+
+
+def test_a_pass_that_fails_leaves_no_table(spark, monkeypatch):
+    monkeypatch.setattr(tables, "BUCKET_ROWS", 100)
+    spark.sql("create database if not exists stopped")
+    df = _delivered(spark, 950)
+    number = F.when(F.col("id") == 77, F.raise_error(F.lit("no row"))).otherwise(F.col("id"))
+    with pytest.raises(Exception, match="no row"):
+        tables.store_bucketed(df.withColumn("id", number), "stopped.t", "k", 4)
+    assert not _tables(spark, "stopped")
+    tables.store_bucketed(df, "stopped.t", "k", 4)
+    with pytest.raises(AnalysisException, match="ALREADY_EXISTS"):
+        tables.store_bucketed(df.limit(500), "stopped.t", "k", 4)
+    assert _tables(spark, "stopped") == ["t"]
+    assert rows_of_spark(spark.read.table("stopped.t").select(*df.columns)) == rows_of_spark(df)
+    assert spark.read.table(tables.store_bucketed(df.limit(0), "stopped.none", "k", 4)).count() == 0
+
+
 def _insert_sorts(spark):
     plan = spark.sql("explain insert into deliveries.t select k, date_id from delivered").first()[0]
     return "Sort " in plan
